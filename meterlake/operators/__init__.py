@@ -1,7 +1,7 @@
 """DataFrame operators; each takes and returns DataFrames and never collects rows."""
 
 from meterlake.operators.conform import combine_feeds, conform
-from meterlake.operators.merge import TimeBounds, bound_target, insert_missing, time_bounds
+from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, TimeBounds, bound_target, insert_missing, time_bounds
 from meterlake.operators.report import batch_report, device_stats, with_totals
 from meterlake.operators.select import (
     DEFAULT_BROADCAST_IDS,
@@ -13,6 +13,7 @@ from meterlake.operators.select import (
 )
 
 __all__ = [
+    "DEFAULT_BROADCAST_KEYS",
     "DEFAULT_BROADCAST_IDS",
     "TimeBounds",
     "batch_report",

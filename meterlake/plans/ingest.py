@@ -7,9 +7,10 @@ Plan of ``store_batch`` (boundaries in brackets):
    result, checkpointed];
 3. target = stored keys, bounded by the batch's time range (partition and
    Parquet pruning) and by per-device ranges [broadcast of the stats];
-4. anti join batch ▷ target on (device, time, event null-safe) [one shuffle
-   on the full key, so a hot device spreads over all tasks; AQE splits a
-   skewed key];
+4. anti join batch ▷ target on (device, time, event null-safe): a
+   broadcast of the stored keys when their counted number is small, else a
+   sort-merge join [one shuffle on the full key, so a hot device spreads
+   over all tasks; AQE splits a skewed key];
 5. one append, range-clustered by (partition, day, device, time, event);
 6. report from the stats (+ totals from the table) [checkpointed].
 """
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
 from meterlake.operators.conform import combine_feeds, conform
-from meterlake.operators.merge import bound_target, insert_missing, time_bounds
+from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, bound_target, insert_missing, time_bounds
 from meterlake.operators.report import batch_report, device_stats, with_totals
 from meterlake.operators.select import DEFAULT_BROADCAST_IDS, fits_broadcast, known_devices, registry_ids
 from meterlake.schemas import CANONICAL_FEEDS, DayFeeds
@@ -48,6 +49,7 @@ def store_batch(
     spec: TableSpec,
     with_row_totals: bool = False,
     max_broadcast: int = DEFAULT_BROADCAST_IDS,
+    max_broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
     cache_batch: bool = True,
 ) -> DataFrame:
     """Add to the table the rows of known devices whose key is not stored yet,
@@ -77,7 +79,10 @@ def store_batch(
             partition_filter=_partition_filter(spec),
             device_ranges=stats if small_registry else None,
         )
-        write_rows(insert_missing(known, target, lay), spec)
+        target_keys = target.select(*[column(k) for k in lay.key])
+        # stored keys in range are counted before they may be broadcast
+        strategy = "broadcast" if target_keys.count() <= max_broadcast_keys else "merge"
+        write_rows(insert_missing(known, target_keys, lay, strategy), spec)
         report = batch_report(ids, stats, lay)
         if with_row_totals:
             report = with_totals(report, read_table(spark, spec), lay)

@@ -1,0 +1,51 @@
+"""The same daily load in the per-device shape, for comparison in the bench.
+
+One driver loop over the collected registry ids; for each device: filter and
+sort the cached batch, look at its first row, then create the device's own
+table or add its missing keys, then count. Several Spark jobs per device,
+run one after another. It stores the same rows as ``store_batch`` (one
+table per device instead of one partitioned table) and exists only to be
+measured against it; do not use it for loads.
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterlake.functions.columns import column
+from meterlake.operators.merge import insert_missing
+from meterlake.plans.ingest import load_day
+from meterlake.schemas import CANONICAL_FEEDS, DayFeeds
+from meterlake.sources.table import TableSpec, read_table, table_exists
+
+
+def device_spec(base: TableSpec, device_id: int) -> TableSpec:
+    return TableSpec(f"{base.path.rstrip('/')}/device_{device_id}", base.layout, None, base.fmt)
+
+
+def ingest_day_per_device(
+    spark: SparkSession, date: str, in_dir: str, base: TableSpec, feeds: DayFeeds = CANONICAL_FEEDS
+) -> list[tuple[int, int]]:
+    lay = base.layout
+    ids, rows = load_day(spark, date, in_dir, base, feeds)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    report = []
+    try:
+        for device_id in [r[0] for r in ids.collect()]:
+            device_rows = rows.where(column(lay.device) == F.lit(device_id)).orderBy(
+                column(lay.time).asc_nulls_first(), column(lay.event).asc_nulls_first()
+            )
+            if not device_rows.head(1):
+                report.append((device_id, 0))
+                continue
+            spec = device_spec(base, device_id)
+            new: DataFrame = device_rows
+            if table_exists(spark, spec.path):
+                new = insert_missing(device_rows, read_table(spark, spec), lay)
+            new.write.mode("append").parquet(spec.path)
+            report.append((device_id, device_rows.count()))
+    finally:
+        rows.unpersist()
+    return report

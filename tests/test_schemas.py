@@ -1,0 +1,57 @@
+from collections import Counter
+
+from pyspark.sql import types as T
+
+from meterlake import schemas as S
+
+
+def _type_counts(schema):
+    return Counter(f.dataType.simpleString() for f in schema.fields)
+
+
+def test_feed_arity():
+    assert len(S.REGISTRY.fields) == 6
+    assert len(S.PERIODIC.fields) == 244
+    assert len(S.EVENT.fields) == 31
+
+
+def test_canonical_layout_counts():
+    assert len(S.CANONICAL.fields) == 244
+    assert _type_counts(S.CANONICAL) == Counter({"double": 221, "int": 16, "string": 4, "bigint": 2, "timestamp": 1})
+    assert S.CANONICAL.names[:4] == ["device_id", "timestamp", "event_id", "fhz"]
+    assert S.CANONICAL.names[-1] == "dl3"
+    assert all(f.nullable for f in S.CANONICAL.fields)
+
+
+def test_canonical_follows_periodic_order():
+    periodic = [f for f in S.PERIODIC.fields if f.name not in ("id", "meter", "timestamp")]
+    canonical = [f for f in S.CANONICAL.fields if f.name not in S.CANONICAL_LAYOUT.key]
+    assert [(f.name, f.dataType) for f in periodic] == [(f.name, f.dataType) for f in canonical]
+
+
+def test_harmonic_rule():
+    names = S.harmonic_names()
+    assert len(names) == 120 and len(set(names)) == 120
+    assert names[:3] == ["u1l1", "u3l1", "u5l1"]
+    assert names[19:21] == ["u39l1", "u1l2"]
+    assert names[60] == "i1l1" and names[-1] == "i39l3"
+
+
+def test_event_map_is_bijection_on_event_fields():
+    sources = list(S.EVENT_MAP.values())
+    assert len(sources) == len(set(sources)) == 31
+    assert set(sources) == set(S.EVENT.names)
+    assert set(S.EVENT_MAP) <= set(S.CANONICAL.names)
+    for canon, src in S.EVENT_MAP.items():
+        assert S.CANONICAL[canon].dataType == S.EVENT[src].dataType
+
+
+def test_periodic_map_covers_everything_but_event_id():
+    assert set(S.PERIODIC_MAP) == set(S.CANONICAL.names) - {"event_id"}
+    assert S.PERIODIC_MAP["device_id"] == "meter"
+
+
+def test_key_types():
+    assert isinstance(S.CANONICAL["device_id"].dataType, T.LongType)
+    assert isinstance(S.CANONICAL["timestamp"].dataType, T.TimestampType)
+    assert isinstance(S.CANONICAL["event_id"].dataType, T.LongType)
