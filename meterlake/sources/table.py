@@ -144,7 +144,9 @@ def write_rows(rows: DataFrame, spec: TableSpec, mode: str = "append") -> None:
     session (AQE coalesces small ranges).
     """
     lay = spec.layout
-    out = rows.select(*[column(n).cast(lay.type_of(n)).alias(n) for n in lay.names])
+    out = rows
+    if [(f.name, f.dataType) for f in rows.schema.fields] != [(f.name, f.dataType) for f in lay.schema.fields]:
+        out = rows.select(*[column(n).cast(lay.type_of(n)).alias(n) for n in lay.names])
     if spec.partition_by in ("month", "day"):
         out = out.withColumn(spec.partition_by, spec.partition_value(column(lay.time)))
     keys = sort_keys(spec)
