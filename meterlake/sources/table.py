@@ -149,7 +149,10 @@ def write_rows(rows: DataFrame, spec: TableSpec, mode: str = "append") -> None:
         out = rows.select(*[column(n).cast(lay.type_of(n)).alias(n) for n in lay.names])
     if spec.partition_by in ("month", "day"):
         out = out.withColumn(spec.partition_by, spec.partition_value(column(lay.time)))
-    keys = sort_keys(spec)
+    # a deterministic row hash ends the range key: rows sharing one key
+    # (e.g. a stuck meter clock) still spread over tasks, and a retried task
+    # sends every row to the same range as before (unlike rand())
+    keys = sort_keys(spec) + [F.xxhash64(*[column(n) for n in lay.names]).asc()]
     out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
     writer = out.write.format(spec.fmt).mode(mode)
     if spec.partition_column is not None:

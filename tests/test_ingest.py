@@ -139,3 +139,20 @@ def test_loop_form_stores_the_same_rows(spark, tmp_dir, inputs):
     # second pass inserts the null-time row again; the set form lists ids once
     assert [k for k in looped if k[1] is None] == [(2, None, None, 6.003)] * 2
     assert [k for k in stored if k[1] is None] == [(2, None, None, 6.003)]
+
+
+def test_arrival_stream_loads_each_date_once(spark, tmp_dir, inputs):
+    from meterlake.streaming.arrivals import ingest_arrivals
+
+    spec = TableSpec(os.path.join(tmp_dir, "t"))
+    ckpt = os.path.join(tmp_dir, "stream-ckpt")
+    q = ingest_arrivals(spark, inputs, spec, ckpt)
+    q.awaitTermination(300)
+    direct = TableSpec(os.path.join(tmp_dir, "direct"))
+    for d in (D1, D2):
+        ingest_day(spark, d, inputs, direct)
+    assert key_bag(stored_rows(spark, spec)) == key_bag(stored_rows(spark, direct))
+    # a second run finds no new registry file and stores nothing
+    q2 = ingest_arrivals(spark, inputs, spec, ckpt)
+    q2.awaitTermination(300)
+    assert stored_rows(spark, spec).count() == stored_rows(spark, direct).count()
