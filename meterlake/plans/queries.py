@@ -22,7 +22,12 @@ from meterlake.sources.csv import day_inputs, read_events, read_periodic, read_r
 from meterlake.sources.table import TableSpec, create_table, read_device
 
 NARROW = roles.NARROW
-ORDER = [column(n).asc_nulls_first() for n in NARROW.names if n != NARROW.device]
+
+
+def _order():
+    """(time, event, measures) ascending, nulls first: a total order of a device's rows."""
+    return [column(n).asc_nulls_first() for n in NARROW.names if n != NARROW.device]
+
 
 # Rows already stored / delivered again in the merge queries: two
 # overlapping status sets, so some keys sit on both sides with other measures.
@@ -59,7 +64,7 @@ def q_known_devices(spark, sf_dir):
 def q_one_device(spark, sf_dir):
     spec = _spec(spark, "one-device")
     create_table(roles.known_rows(spark, sf_dir), spec)
-    return with_position(read_device(spark, spec, roles.DEVICE_PROBE), ORDER)
+    return with_position(read_device(spark, spec, roles.DEVICE_PROBE), _order())
 
 
 def q_create_table(spark, sf_dir):
