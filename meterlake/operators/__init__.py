@@ -5,6 +5,7 @@ from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, TimeBounds, bound_
 from meterlake.operators.report import batch_report, device_stats, with_totals
 from meterlake.operators.select import (
     DEFAULT_BROADCAST_IDS,
+    count_and_fit,
     first_row_per_device,
     fits_broadcast,
     known_devices,
@@ -19,6 +20,7 @@ __all__ = [
     "batch_report",
     "bound_target",
     "combine_feeds",
+    "count_and_fit",
     "conform",
     "device_stats",
     "first_row_per_device",

@@ -24,6 +24,12 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+def count_and_fit(df: DataFrame, max_rows: int) -> tuple[int, bool]:
+    """Row count (one number back) and whether it allows a broadcast."""
+    n = df.count()
+    return n, n <= max_rows
+
+
 def known_devices(
     rows: DataFrame,
     ids: DataFrame,

@@ -27,7 +27,7 @@ from meterlake.functions.columns import column
 from meterlake.operators.conform import combine_feeds, conform
 from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, bound_target, insert_missing, time_bounds
 from meterlake.operators.report import batch_report, device_stats, with_totals
-from meterlake.operators.select import DEFAULT_BROADCAST_IDS, fits_broadcast, known_devices, registry_ids
+from meterlake.operators.select import DEFAULT_BROADCAST_IDS, count_and_fit, known_devices, registry_ids
 from meterlake.schemas import CANONICAL_FEEDS, DayFeeds
 from meterlake.scratch import checkpoint_dir
 from meterlake.sources.csv import day_inputs, has_event_feed, read_events, read_periodic, read_registry
@@ -63,7 +63,8 @@ def store_batch(
     spark = rows.sparkSession
     lay = spec.layout
     checkpoint_dir(spark)
-    small_registry = fits_broadcast(ids, max_broadcast)
+    listed, small_registry = count_and_fit(ids, max_broadcast)
+    log.info("storing data from %d listed devices", listed)  # duplicates counted, as listed
     known = known_devices(rows, ids, lay, broadcast_ids=small_registry)
     if cache_batch:
         # read the feeds once: stats, range sampling and the write reuse it;

@@ -156,3 +156,13 @@ def test_arrival_stream_loads_each_date_once(spark, tmp_dir, inputs):
     q2 = ingest_arrivals(spark, inputs, spec, ckpt)
     q2.awaitTermination(300)
     assert stored_rows(spark, spec).count() == stored_rows(spark, direct).count()
+
+
+def test_ensure_schema(spark):
+    from meterlake.sources import ensure_schema
+
+    ensure_schema(spark, "meterlake_test_schema")
+    ensure_schema(spark, "meterlake_test_schema")  # idempotent
+    assert "meterlake_test_schema" in [d.name for d in spark.catalog.listDatabases()]
+    with pytest.raises(ValueError):
+        ensure_schema(spark, "bad name; drop")
