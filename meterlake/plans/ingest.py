@@ -31,7 +31,7 @@ from meterlake.operators.select import DEFAULT_BROADCAST_IDS, count_and_fit, kno
 from meterlake.schemas import CANONICAL_FEEDS, DayFeeds
 from meterlake.scratch import checkpoint_dir
 from meterlake.sources.csv import day_inputs, has_event_feed, read_events, read_periodic, read_registry
-from meterlake.sources.table import TableSpec, read_table, write_rows
+from meterlake.sources.table import TableSpec, read_table, table_exists, write_rows
 
 log = logging.getLogger(__name__)
 
@@ -72,18 +72,21 @@ def store_batch(
         known = known.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = device_stats(known, lay).checkpoint(eager=True)
-        bounds = time_bounds(stats)
-        target = bound_target(
-            read_table(spark, spec, keep_partition=True),
-            lay,
-            bounds,
-            partition_filter=_partition_filter(spec),
-            device_ranges=stats if small_registry else None,
-        )
-        target_keys = target.select(*[column(k) for k in lay.key])
-        # stored keys in range are counted before they may be broadcast
-        strategy = "broadcast" if target_keys.count() <= max_broadcast_keys else "merge"
-        write_rows(insert_missing(known, target_keys, lay, strategy), spec)
+        if table_exists(spark, spec.path):
+            target = bound_target(
+                read_table(spark, spec, keep_partition=True),
+                lay,
+                time_bounds(stats),
+                partition_filter=_partition_filter(spec),
+                device_ranges=stats if small_registry else None,
+            )
+            target_keys = target.select(*[column(k) for k in lay.key])
+            # stored keys in range are counted before they may be broadcast
+            strategy = "broadcast" if target_keys.count() <= max_broadcast_keys else "merge"
+            new_rows = insert_missing(known, target_keys, lay, strategy)
+        else:
+            new_rows = known  # a new table: every batch row is missing
+        write_rows(new_rows, spec)
         report = batch_report(ids, stats, lay)
         if with_row_totals:
             report = with_totals(report, read_table(spark, spec), lay)
