@@ -40,7 +40,7 @@ def _partition_filter(spec: TableSpec):
     if spec.partition_by not in ("month", "day"):
         return None
     part = F.col(spec.partition_by)
-    return lambda low, high: part.between(spec.partition_value(F.lit(low)), spec.partition_value(F.lit(high)))
+    return lambda low, high: part.between(spec.partition_value(low), spec.partition_value(high))
 
 
 def store_batch(
@@ -76,7 +76,7 @@ def store_batch(
             target = bound_target(
                 read_table(spark, spec, keep_partition=True),
                 lay,
-                time_bounds(stats),
+                time_bounds(stats, lay.type_of(lay.time)),
                 partition_filter=_partition_filter(spec),
                 device_ranges=stats if small_registry else None,
             )

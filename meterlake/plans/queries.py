@@ -204,8 +204,8 @@ def _known_sql(p_where: str = "", e_where: str = "") -> str:
     )
 
 
-def _ts(value) -> str:
-    return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S}'"
+def _ts(value: str) -> str:
+    return f"TIMESTAMP '{value}'"
 
 
 def _range_where(column_name: str, bounds) -> str:

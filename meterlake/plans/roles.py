@@ -9,8 +9,6 @@ overlapping, so that a re-delivered key is seen twice.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,8 +84,9 @@ NARROW_EVENT_FEED = Feed(
 NARROW_FEEDS = DayFeeds(registry=REGISTRY_FEED, periodic=NARROW_PERIODIC_FEED, events=NARROW_EVENT_FEED)
 
 # Two delivery dates cut by time, overlapping: (date, periodic [from, to), event [from, to)).
-DAY_A = ("2024-01-29", (None, dt.datetime(1999, 1, 1)), (None, dt.datetime(2024, 1, 20)))
-DAY_B = ("2024-01-30", (dt.datetime(1998, 1, 1), None), (dt.datetime(2024, 1, 10), None))
+# Bounds are wall-clock text, compared as timestamp_ntz (no time zone involved).
+DAY_A = ("2024-01-29", (None, "1999-01-01 00:00:00"), (None, "2024-01-20 00:00:00"))
+DAY_B = ("2024-01-30", ("1998-01-01 00:00:00", None), ("2024-01-10 00:00:00", None))
 DEVICE_PROBE = 7  # device read by the single-device query
 
 
@@ -159,9 +158,9 @@ def _in_range(df: DataFrame, time: str, bounds) -> DataFrame:
     low, high = bounds
     cond = F.lit(True)
     if low is not None:
-        cond = cond & (column(time) >= F.lit(low))
+        cond = cond & (column(time) >= F.lit(low).cast("timestamp_ntz"))
     if high is not None:
-        cond = cond & (column(time) < F.lit(high))
+        cond = cond & (column(time) < F.lit(high).cast("timestamp_ntz"))
     return df.where(cond)
 
 

@@ -116,3 +116,25 @@ def test_with_position_total_order(spark):
     expect = [r.v for r in rows.orderBy(*order).collect()]
     assert sorted(p for p, _ in got) == list(range(1, 5001))
     assert [v for _, v in sorted(got)] == expect
+
+
+def test_time_bounds_are_time_zone_free(spark):
+    from pyspark.sql import types as T
+
+    from meterlake.operators import time_bounds
+
+    ntz = spark.createDataFrame([("2024-03-31 02:30:00",)], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("_low"), F.col("s").cast("timestamp_ntz").alias("_high"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # 02:30 does not exist there that night
+        b = time_bounds(ntz, T.TimestampNTZType())
+        assert b.low == "2024-03-31 02:30:00"
+        assert ntz.where(F.col("_low") == b.low_literal()).count() == 1
+        ltz = spark.createDataFrame([(1_700_000_000_123_456,)], "m long").select(
+            F.timestamp_micros("m").alias("_low"), F.timestamp_micros("m").alias("_high"))
+        b2 = time_bounds(ltz, T.TimestampType())
+        assert b2.low == 1_700_000_000_123_456
+        assert ltz.where(F.col("_high") == b2.high_literal()).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

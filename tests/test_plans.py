@@ -86,14 +86,14 @@ def test_target_scan_is_pruned(spark, tmp_dir):
 
     spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW)
     write_rows(roles.known_rows(spark, SF_SMALL), spec)
-    import datetime as dt
+    from pyspark.sql import types as T
 
-    bounds = TimeBounds(dt.datetime(1996, 3, 1), dt.datetime(1996, 3, 31))
+    bounds = TimeBounds("1996-03-01 00:00:00", "1996-03-31 00:00:00", T.TimestampNTZType())
     target = bound_target(read_table(spark, spec, keep_partition=True), roles.NARROW, bounds, _partition_filter(spec))
     plan = _plan(target.select("device_id", "timestamp", "event_id"))
     assert "PartitionFilters: [isnotnull(month" in plan or "month#" in plan
     assert "GreaterThanOrEqual(timestamp" in plan
     scan = target.select("device_id", "timestamp", "event_id")
     assert scan.count() == roles.known_rows(spark, SF_SMALL).where(
-        F.col("timestamp").between(bounds.low, bounds.high)
-    ).count()
+        F.col("timestamp").between(bounds.low_literal(), bounds.high_literal())
+    ).count() > 0
