@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
 from meterlake.schemas import Layout
+from meterlake.scratch import checkpoint_dir
 
 # Largest registry broadcast to every task: 1M ids (~8 MB of keys + hash map).
 DEFAULT_BROADCAST_IDS = 1_000_000
@@ -75,6 +76,7 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
     the sizes of the partitions before it. Only the per-partition counts
     (one row per partition) are broadcast.
     """
+    checkpoint_dir(df.sparkSession)
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     tagged = ordered.select(
         "*",

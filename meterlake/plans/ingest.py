@@ -3,10 +3,12 @@
 Plan of ``store_batch`` (boundaries in brackets):
 
 1. semi join of the batch with the registry ids [broadcast, size-checked];
-2. per-device stats (rows, first/last time) [partial aggregation; a tiny
-   result, checkpointed];
-3. target = stored keys, bounded by the batch's time range (partition and
-   Parquet pruning) and by per-device ranges [broadcast of the stats];
+2. stats per device and partition touched (rows, first/last time)
+   [partial aggregation; a small result, checkpointed];
+3. target = stored keys in the partitions the batch touches (folder
+   pruning) and its time range (Parquet pruning), kept only inside a
+   batch range of their device and partition [broadcast of the stats,
+   size-checked];
 4. anti join batch ▷ target on (device, time, event null-safe): a
    broadcast of the stored keys when their counted number is small, else a
    sort-merge join [one shuffle on the full key, so a hot device spreads
@@ -20,7 +22,7 @@ from __future__ import annotations
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
@@ -36,11 +38,25 @@ from meterlake.sources.table import TableSpec, read_table, table_exists, write_r
 log = logging.getLogger(__name__)
 
 
-def _partition_filter(spec: TableSpec):
+# Most partition values listed in a target filter; a batch spread over more
+# is bounded by its time range instead.
+MAX_LISTED_PARTITIONS = 4096
+
+
+def _partition_filter(spec: TableSpec, stats: DataFrame, bounds) -> Column | None:
+    """Folders the batch touches: the list of its partition values when
+    short (one stray timestamp adds one folder, not the years between),
+    else the partition range of its time range."""
     if spec.partition_by not in ("month", "day"):
         return None
     part = F.col(spec.partition_by)
-    return lambda low, high: part.between(spec.partition_value(low), spec.partition_value(high))
+    values = [
+        r[0]
+        for r in stats.select(part).where(part.isNotNull()).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    ]
+    if len(values) <= MAX_LISTED_PARTITIONS:
+        return part.isin(values) if values else F.lit(False)
+    return part.between(spec.partition_value(bounds.low_literal()), spec.partition_value(bounds.high_literal()))
 
 
 def store_batch(
@@ -71,14 +87,20 @@ def store_batch(
         # a lost block is recomputed from the (durable) input files
         known = known.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = device_stats(known, lay).checkpoint(eager=True)
+        part = spec.partition_by if spec.partition_by in ("month", "day") else None
+        scoped = known.withColumn(part, spec.partition_value(column(lay.time))) if part else known
+        # per device and partition touched: rows, first and last time
+        stats = device_stats(scoped, lay, by=part).checkpoint(eager=True)
         if table_exists(spark, spec.path):
+            bounds = time_bounds(stats, lay.type_of(lay.time))
+            _, small_stats = count_and_fit(stats, max_broadcast)
             target = bound_target(
                 read_table(spark, spec, keep_partition=True),
                 lay,
-                time_bounds(stats, lay.type_of(lay.time)),
-                partition_filter=_partition_filter(spec),
-                device_ranges=stats if small_registry else None,
+                bounds,
+                partition_filter=_partition_filter(spec, stats, bounds) if bounds.low is not None else None,
+                device_ranges=stats if small_stats else None,
+                partition_column=part,
             )
             target_keys = target.select(*[column(k) for k in lay.key])
             # stored keys in range are counted before they may be broadcast

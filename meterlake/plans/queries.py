@@ -15,6 +15,7 @@ from meterlake.operators.conform import combine_feeds, conform
 from meterlake.operators.merge import insert_missing
 from meterlake.operators.report import batch_report, device_stats
 from meterlake.operators.select import first_row_per_device, known_devices, registry_ids, with_position
+from meterlake import schemas as S
 from meterlake.plans import roles
 from meterlake.plans.ingest import ingest_day, load_day, store_batch, stored_rows
 from meterlake.scratch import scratch_path
@@ -147,6 +148,21 @@ def q_ingest_day(spark, sf_dir):
     return stored_rows(spark, spec)
 
 
+def q_canonical_feeds(spark, sf_dir):
+    """Both feeds in their full shapes (244 / 31 fields) through CSV, the
+    arity gate and the 244-column conform; instants shown as session
+    wall-clock time (timestamp_ntz) for comparison."""
+    in_dir = scratch_path(spark, "in")
+    paths = day_inputs(in_dir, "d")
+    roles.write_csv(roles.registry_csv_rows(spark, sf_dir), paths.registry)
+    roles.write_csv(
+        roles.feed_shaped_rows(spark, sf_dir, "lineitem", S.PERIODIC, roles.PERIODIC_FROM_LINEITEM), paths.periodic
+    )
+    roles.write_csv(roles.feed_shaped_rows(spark, sf_dir, "events", S.EVENT, roles.EVENT_FROM_EVENTS), paths.events)
+    _, rows = load_day(spark, "d", in_dir, TableSpec(scratch_path(spark, "unused")), S.CANONICAL_FEEDS)
+    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def q_first_row_per_device(spark, sf_dir):
     return first_row_per_device(roles.known_rows(spark, sf_dir), NARROW)
 
@@ -167,6 +183,7 @@ QUERIES = {
     "csv_scan": q_csv_scan,
     "ingest_day": q_ingest_day,
     "first_row_per_device": q_first_row_per_device,
+    "canonical_feeds": q_canonical_feeds,
 }
 
 
@@ -235,6 +252,37 @@ _DAY_B_KNOWN = _known_sql(
     _range_where("l_shipdate", roles.DAY_B[1]), _range_where("ts", roles.DAY_B[2])
 )
 
+_DUCK_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER", "string": "VARCHAR"}
+
+
+def _canonical_sql() -> str:
+    """The 244-column rows of both feeds, filled as in ``roles``."""
+    # canonical column <- feed field <- table column
+    periodic_fill = {
+        canon: roles.PERIODIC_FROM_LINEITEM[field]
+        for canon, field in S.PERIODIC_MAP.items()
+        if field in roles.PERIODIC_FROM_LINEITEM
+    }
+    event_fill = {
+        canon: roles.EVENT_FROM_EVENTS[field] for canon, field in S.EVENT_MAP.items() if field in roles.EVENT_FROM_EVENTS
+    }
+
+    def select(fill, table_name):
+        cols = []
+        for f in S.CANONICAL.fields:
+            typ = _DUCK_TYPES.get(f.dataType.simpleString())
+            src = fill.get(f.name)
+            if f.name == "timestamp":
+                cols.append(f'{src} AS "timestamp"')
+            elif src is None:
+                cols.append(f'CAST(NULL AS {typ}) AS "{f.name}"')
+            else:
+                cols.append(f'CAST({src} AS {typ}) AS "{f.name}"')
+        return f"SELECT {', '.join(cols)} FROM {table_name}"
+
+    return f"{select(periodic_fill, 'lineitem')} UNION ALL {select(event_fill, 'events')}"
+
+
 ORACLE_SQL = {
     "registry_ids": 'SELECT s_suppkey AS "device_id" FROM supplier WHERE s_suppkey IS NOT NULL',
     "conform_periodic": _periodic_sql(),
@@ -274,4 +322,5 @@ ORACLE_SQL = {
         f"SELECT {COLS} FROM (SELECT *, row_number() OVER (PARTITION BY \"device_id\" "
         f"ORDER BY {_ORDER_SQL}) AS rn FROM ({_known_sql()}) k) r WHERE rn = 1"
     ),
+    "canonical_feeds": _canonical_sql(),
 }

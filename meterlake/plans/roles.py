@@ -179,3 +179,44 @@ def write_day(spark: SparkSession, sf_dir: str, in_dir: str, day=DAY_A, event_fe
     events = event_feed if event_feed is not None else _in_range(event_csv_rows(spark, sf_dir), "timestamp", event_range)
     write_csv(events, paths.events)
     return date
+
+
+# The generated tables in the full feed shapes (244 and 31 fields): which
+# table column fills which feed field; every other field is an empty cell.
+PERIODIC_FROM_LINEITEM = {
+    "id": "l_orderkey",
+    "meter": "l_suppkey",
+    "timestamp": "l_shipdate",
+    "fhz": "l_quantity",
+    "pw": "l_extendedprice",
+    "p1l1": "l_discount",
+    "p1l2": "l_tax",
+    "jd": "l_linenumber",
+    "rec_source": "l_returnflag",
+    "io": "l_linestatus",
+}
+EVENT_FROM_EVENTS = {
+    "meter": "user_id",
+    "event_id": "event_id",
+    "timestamp": "ts",
+    "freq": "value",
+    "UL1": "value",
+    "TDUL1": "value",
+}
+_TEXT_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def feed_shaped_rows(spark: SparkSession, sf_dir: str, table_name: str, schema, fill: dict) -> DataFrame:
+    """A table in a feed's positional shape; times as wall-clock text, the
+    way the feed delivers them (parsed in the session time zone on read)."""
+    src = table(spark, sf_dir, table_name)
+    cols = []
+    for f in schema.fields:
+        name = fill.get(f.name)
+        if name is None:
+            cols.append(F.lit(None).cast("string").alias(f.name))
+        elif f.name == "timestamp":
+            cols.append(F.date_format(F.col(name), _TEXT_TIME).alias(f.name))
+        else:
+            cols.append(F.col(name).cast(f.dataType).alias(f.name))
+    return src.select(*cols)

@@ -80,20 +80,29 @@ def test_job_count_does_not_grow_with_devices(spark, tmp_dir):
 
 
 def test_target_scan_is_pruned(spark, tmp_dir):
-    from meterlake.operators.merge import TimeBounds, bound_target
+    from pyspark.sql import types as T
+
+    from meterlake.operators import device_stats, time_bounds
+    from meterlake.operators.merge import bound_target
     from meterlake.plans.ingest import _partition_filter
     from meterlake.sources import read_table, write_rows
 
     spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW)
-    write_rows(roles.known_rows(spark, SF_SMALL), spec)
-    from pyspark.sql import types as T
-
-    bounds = TimeBounds("1996-03-01 00:00:00", "1996-03-31 00:00:00", T.TimestampNTZType())
-    target = bound_target(read_table(spark, spec, keep_partition=True), roles.NARROW, bounds, _partition_filter(spec))
-    plan = _plan(target.select("device_id", "timestamp", "event_id"))
-    assert "PartitionFilters: [isnotnull(month" in plan or "month#" in plan
-    assert "GreaterThanOrEqual(timestamp" in plan
-    scan = target.select("device_id", "timestamp", "event_id")
-    assert scan.count() == roles.known_rows(spark, SF_SMALL).where(
-        F.col("timestamp").between(bounds.low_literal(), bounds.high_literal())
-    ).count() > 0
+    known = roles.known_rows(spark, SF_SMALL)
+    write_rows(known, spec)
+    # a batch of March 1996 plus one stray row of 2024: two months, not 28 years
+    lo, hi = F.lit("1996-03-01").cast("timestamp_ntz"), F.lit("1996-03-31").cast("timestamp_ntz")
+    stray = (F.col("device_id") == 7) & F.col("event_id").isNotNull() & (F.col("timestamp") < F.lit("2024-01-05").cast("timestamp_ntz"))
+    batch = known.where(F.col("timestamp").between(lo, hi) | stray)
+    scoped = batch.withColumn("month", spec.partition_value(F.col("timestamp")))
+    stats = device_stats(scoped, roles.NARROW, by="month")
+    bounds = time_bounds(stats, T.TimestampNTZType())
+    pf = _partition_filter(spec, stats, bounds)
+    target = bound_target(read_table(spark, spec, keep_partition=True), roles.NARROW, bounds, pf, stats, "month")
+    keys = target.select("device_id", "timestamp", "event_id")
+    plan = _plan(keys)
+    assert "PartitionFilters: [" in plan and "month#" in plan and " IN (" in plan
+    assert "GreaterThanOrEqual(timestamp" in plan and "LeftSemi" in plan
+    months = {r.month for r in target.select("month").distinct().collect()}
+    assert len(months) == 2
+    assert keys.count() == batch.count() > 0  # every batch key is still in the bounded target
