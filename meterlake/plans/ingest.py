@@ -20,6 +20,7 @@ Plan of ``store_batch`` (boundaries in brackets):
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
 from meterlake.operators.conform import combine_feeds, conform
-from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, bound_target, insert_missing, time_bounds
+from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, TimeBounds, bound_target, exact_time, insert_missing
 from meterlake.operators.report import batch_report, device_stats, with_totals
 from meterlake.operators.select import DEFAULT_BROADCAST_IDS, count_and_fit, known_devices, registry_ids
 from meterlake.schemas import CANONICAL_FEEDS, DayFeeds
@@ -38,25 +39,54 @@ from meterlake.sources.table import TableSpec, read_table, table_exists, write_r
 log = logging.getLogger(__name__)
 
 
-# Most partition values listed in a target filter; a batch spread over more
-# is bounded by its time range instead.
+# Most partition values listed for the target; a batch spread over more is
+# bounded by its time range instead.
 MAX_LISTED_PARTITIONS = 4096
 
 
-def _partition_filter(spec: TableSpec, stats: DataFrame, bounds) -> Column | None:
+@dataclass(frozen=True)
+class BatchSummary:
+    """What the driver needs to plan the merge, from one aggregate over the
+    stats: time range, stats size and the partitions touched (None: more
+    than ``MAX_LISTED_PARTITIONS``)."""
+
+    bounds: TimeBounds
+    stats_rows: int
+    partitions: list | None
+
+
+def batch_summary(stats: DataFrame, spec: TableSpec) -> BatchSummary:
+    lay = spec.layout
+    dtype = lay.type_of(lay.time)
+    part = spec.partition_by if spec.partition_by in ("month", "day") else None
+    aggs = [
+        exact_time(F.min("_low"), dtype).alias("lo"),
+        exact_time(F.max("_high"), dtype).alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+    ]
+    if part:
+        aggs += [
+            F.count_distinct(part).alias("n_parts"),
+            F.slice(F.array_sort(F.collect_set(part)), 1, MAX_LISTED_PARTITIONS).alias("parts"),
+        ]
+    row = stats.agg(*aggs).first()
+    parts = None
+    if part and row["n_parts"] <= MAX_LISTED_PARTITIONS:
+        parts = list(row["parts"])
+    return BatchSummary(TimeBounds(row["lo"], row["hi"], dtype), row["n"], parts)
+
+
+def _partition_filter(spec: TableSpec, summary: BatchSummary) -> Column | None:
     """Folders the batch touches: the list of its partition values when
     short (one stray timestamp adds one folder, not the years between),
     else the partition range of its time range."""
-    if spec.partition_by not in ("month", "day"):
+    if spec.partition_by not in ("month", "day") or summary.bounds.low is None:
         return None
     part = F.col(spec.partition_by)
-    values = [
-        r[0]
-        for r in stats.select(part).where(part.isNotNull()).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    ]
-    if len(values) <= MAX_LISTED_PARTITIONS:
-        return part.isin(values) if values else F.lit(False)
-    return part.between(spec.partition_value(bounds.low_literal()), spec.partition_value(bounds.high_literal()))
+    if summary.partitions is not None:
+        return part.isin(summary.partitions) if summary.partitions else F.lit(False)
+    b = summary.bounds
+    return part.between(spec.partition_value(b.low_literal()), spec.partition_value(b.high_literal()))
 
 
 def store_batch(
@@ -92,14 +122,13 @@ def store_batch(
         # per device and partition touched: rows, first and last time
         stats = device_stats(scoped, lay, by=part).checkpoint(eager=True)
         if table_exists(spark, spec.path):
-            bounds = time_bounds(stats, lay.type_of(lay.time))
-            _, small_stats = count_and_fit(stats, max_broadcast)
+            summary = batch_summary(stats, spec)
             target = bound_target(
-                read_table(spark, spec, keep_partition=True),
+                read_table(spark, spec, keep_partition=True, partitions=summary.partitions),
                 lay,
-                bounds,
-                partition_filter=_partition_filter(spec, stats, bounds) if bounds.low is not None else None,
-                device_ranges=stats if small_stats else None,
+                summary.bounds,
+                partition_filter=_partition_filter(spec, summary),
+                device_ranges=stats if summary.stats_rows <= max_broadcast else None,
                 partition_column=part,
             )
             target_keys = target.select(*[column(k) for k in lay.key])

@@ -82,18 +82,44 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
 
 
-def read_table(spark: SparkSession, spec: TableSpec, keep_partition: bool = False) -> DataFrame:
+def _partition_paths(spark: SparkSession, spec: TableSpec, values) -> list[str]:
+    """Existing folders of the given time-partition values (one listing of
+    the table's top level, not of its whole history)."""
+    fs, root = _hadoop_fs(spark, spec.path)
+    existing = {st.getPath().getName(): st.getPath().toString() for st in fs.listStatus(root) if st.isDirectory()}
+    names = (f"{spec.partition_by}={v.isoformat()}" for v in values)
+    return [existing[n] for n in names if n in existing]
+
+
+def read_table(
+    spark: SparkSession, spec: TableSpec, keep_partition: bool = False, partitions: list | None = None
+) -> DataFrame:
     """Open the table with its explicit schema (partition values are not
-    re-inferred), columns in layout order. An absent table reads as empty."""
+    re-inferred), columns in layout order. An absent table reads as empty.
+
+    ``partitions``: time-partition values (dates) to open; only their
+    folders are listed and read, so opening stays cheap however long the
+    table's history is. Parquet time layouts only; otherwise ignored.
+    """
     schema = spec.storage_schema
     names = spec.layout.names + (
         [spec.partition_by] if keep_partition and spec.partition_by in ("month", "day") else []
     )
-    if not table_exists(spark, spec.path):
+
+    def empty() -> DataFrame:
         return spark.createDataFrame([], schema).select(*[column(n) for n in names])
+
+    if not table_exists(spark, spec.path):
+        return empty()
     reader = spark.read.format(spec.fmt)
-    if spec.fmt == "parquet":
-        reader = reader.schema(schema)
+    if spec.fmt != "parquet":
+        return reader.load(spec.path).select(*[column(n) for n in names])
+    reader = reader.schema(schema)
+    if partitions is not None and spec.partition_by in ("month", "day"):
+        paths = _partition_paths(spark, spec, partitions)
+        if not paths:
+            return empty()
+        return reader.option("basePath", spec.path).load(paths).select(*[column(n) for n in names])
     return reader.load(spec.path).select(*[column(n) for n in names])
 
 

@@ -80,11 +80,9 @@ def test_job_count_does_not_grow_with_devices(spark, tmp_dir):
 
 
 def test_target_scan_is_pruned(spark, tmp_dir):
-    from pyspark.sql import types as T
-
-    from meterlake.operators import device_stats, time_bounds
+    from meterlake.operators import device_stats
     from meterlake.operators.merge import bound_target
-    from meterlake.plans.ingest import _partition_filter
+    from meterlake.plans.ingest import _partition_filter, batch_summary
     from meterlake.sources import read_table, write_rows
 
     spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW)
@@ -96,9 +94,14 @@ def test_target_scan_is_pruned(spark, tmp_dir):
     batch = known.where(F.col("timestamp").between(lo, hi) | stray)
     scoped = batch.withColumn("month", spec.partition_value(F.col("timestamp")))
     stats = device_stats(scoped, roles.NARROW, by="month")
-    bounds = time_bounds(stats, T.TimestampNTZType())
-    pf = _partition_filter(spec, stats, bounds)
-    target = bound_target(read_table(spark, spec, keep_partition=True), roles.NARROW, bounds, pf, stats, "month")
+    summary = batch_summary(stats, spec)
+    assert len(summary.partitions) == 2 and summary.stats_rows == stats.count()
+    pf = _partition_filter(spec, summary)
+    whole = read_table(spark, spec, keep_partition=True)
+    target = bound_target(whole, roles.NARROW, summary.bounds, pf, stats, "month")
+    opened = read_table(spark, spec, keep_partition=True, partitions=summary.partitions)
+    assert opened.inputFiles() and len(opened.inputFiles()) < len(whole.inputFiles())
+    assert {r.month for r in opened.select("month").distinct().collect()} == set(summary.partitions)
     keys = target.select("device_id", "timestamp", "event_id")
     plan = _plan(keys)
     assert "PartitionFilters: [" in plan and "month#" in plan and " IN (" in plan
