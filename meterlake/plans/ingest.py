@@ -172,7 +172,7 @@ def ingest_day(
     """Load one delivery date into the table; returns the report."""
     ids, rows = load_day(spark, date, in_dir, spec, feeds)
     report = store_batch(rows, ids, spec, with_row_totals=with_row_totals, **kwargs)
-    log.info("stored data of %s for %d devices", date, report.count())
+    log.info("stored data of %s", date)
     return report
 
 

@@ -1,0 +1,58 @@
+"""A device with a third of all rows, and one key repeated many times, are
+spread over several write tasks (files), never funnelled into one."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from meterlake.operators import device_stats, insert_missing
+from meterlake.plans import roles
+from meterlake.sources import TableSpec, write_rows
+
+
+def _rows(spark, n=30_000):
+    ids = spark.range(0, n, numPartitions=8)
+    hot = F.col("id") % 3 == 0  # a third of all rows belongs to device 1
+    return ids.select(
+        F.when(hot, F.lit(1)).otherwise(F.col("id") % 50 + 2).cast("long").alias("device_id"),
+        F.when(F.col("id") % 9 == 0, F.lit("2024-05-01 00:00:00"))  # one key repeated n/9 times
+        .otherwise(F.format_string("2024-05-%02d %02d:00:00", (F.col("id") % 28 + 1).cast("int"), (F.col("id") % 24).cast("int")))
+        .cast("timestamp_ntz")
+        .alias("timestamp"),
+        F.lit(None).cast("long").alias("event_id"),
+        F.col("id").cast("double").alias("qty"),
+        F.lit(None).cast("double").alias("price"),
+        F.lit(None).cast("double").alias("value"),
+        F.lit("x").alias("status"),
+    )
+
+
+def test_hot_device_and_repeated_key_spread_over_files(spark, tmp_dir):
+    rows = _rows(spark)
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW)
+    # at this tiny size AQE would rightly merge all ranges into one task;
+    # keep 16 ranges to see how rows are split between them
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        write_rows(rows, spec)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    stored = spark.read.schema(spec.storage_schema).parquet(spec.path).select("device_id", "timestamp", F.input_file_name().alias("f"))
+    hot_files = stored.where("device_id = 1").select("f").distinct().count()
+    key = stored.where("device_id = 1 AND timestamp = TIMESTAMP_NTZ'2024-05-01 00:00:00'")
+    assert hot_files >= 3
+    assert key.select("f").distinct().count() >= 2  # one repeated key, several files
+    assert stored.count() == rows.count()
+
+
+def test_merge_of_hot_device_keeps_every_row(spark):
+    rows = _rows(spark, 9_000)
+    half = rows.where(F.col("qty") % 2 == 0)
+    got = insert_missing(rows, half, roles.NARROW, "merge")
+    # every row whose key is absent from `half`; the repeated key is present there
+    want = rows.join(half.select("device_id", "timestamp").distinct(), ["device_id", "timestamp"], "left_anti")
+    assert got.count() == want.count()
+    stats = {r.device_id: r.rows for r in device_stats(rows, roles.NARROW).collect()}
+    assert stats[1] == 3_000
