@@ -166,3 +166,16 @@ def test_ensure_schema(spark):
     assert "meterlake_test_schema" in [d.name for d in spark.catalog.listDatabases()]
     with pytest.raises(ValueError):
         ensure_schema(spark, "bad name; drop")
+
+
+def test_empty_delivery_reports_zeros(spark, tmp_dir):
+    in_dir = os.path.join(tmp_dir, "in")
+    write_day(in_dir, D1, devices=[1, 2], periodic_rows=[], event_lines=[])
+    spec = TableSpec(os.path.join(tmp_dir, "t"))
+    rep = {r.device_id: (r.rows_stored, r.rows_total) for r in ingest_day(spark, D1, in_dir, spec, with_row_totals=True).collect()}
+    assert rep == {1: (0, None), 2: (0, None)}
+    assert not table_exists(spark, spec.path) and stored_rows(spark, spec).count() == 0
+    # a later real delivery still creates the table
+    write_day(in_dir, D2, devices=[1], periodic_rows=[(1, 1, "2024-03-02 00:10:00", 1)])
+    ingest_day(spark, D2, in_dir, spec)
+    assert stored_rows(spark, spec).count() == 1
