@@ -41,12 +41,21 @@ def known_devices(
     """Rows of devices listed in ``ids`` (left semi join on the device).
 
     The id list is broadcast only after its size is checked (or when the
-    caller already checked it: ``broadcast_ids``); a larger registry falls
-    back to a shuffled semi join. Rows with a null device never match.
+    caller already checked it: ``broadcast_ids``). A registry too large to
+    broadcast is first narrowed to the devices present in the batch (the
+    distinct device column, semi-joined with the registry, checkpointed and
+    counted); that list is broadcast when it fits, so the wide batch is not
+    shuffled by device. Only beyond that does the semi join shuffle (AQE
+    splits a skewed device). Rows with a null device never match.
     """
     if broadcast_ids is None:
         broadcast_ids = fits_broadcast(ids, max_broadcast)
     right = ids.select(column(layout.device).alias("_known_id"))
+    if not broadcast_ids:
+        present = rows.select(column(layout.device).alias("_known_id")).distinct()
+        checkpoint_dir(rows.sparkSession)
+        right = present.join(right, "_known_id", "left_semi").checkpoint(eager=True)
+        broadcast_ids = fits_broadcast(right, max_broadcast)
     if broadcast_ids:
         right = F.broadcast(right)
     return rows.join(right, column(layout.device, rows) == F.col("_known_id"), "left_semi")

@@ -2,7 +2,8 @@
 
 Plan of ``store_batch`` (boundaries in brackets):
 
-1. semi join of the batch with the registry ids [broadcast, size-checked];
+1. semi join of the batch with the registry ids [broadcast, size-checked;
+   a large registry is first narrowed to the batch's devices];
 2. stats per device and partition touched (rows, first/last time)
    [partial aggregation; a small result, checkpointed];
 3. target = stored keys in the partitions the batch touches (folder
@@ -111,7 +112,7 @@ def store_batch(
     checkpoint_dir(spark)
     listed, small_registry = count_and_fit(ids, max_broadcast)
     log.info("storing data from %d listed devices", listed)  # duplicates counted, as listed
-    known = known_devices(rows, ids, lay, broadcast_ids=small_registry)
+    known = known_devices(rows, ids, lay, broadcast_ids=small_registry, max_broadcast=max_broadcast)
     if cache_batch:
         # read the feeds once: stats, range sampling and the write reuse it;
         # a lost block is recomputed from the (durable) input files

@@ -37,6 +37,15 @@ def test_known_devices_large_registry_is_not_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_large_registry_narrowed_to_batch_devices_is_broadcast(spark):
+    rows = roles.combined_rows(spark, SF_SMALL)
+    ids = roles.customer_ids(spark, SF_SMALL)  # 150 ids, over the limit of 40
+    kept = known_devices(rows, ids, roles.NARROW, max_broadcast=40)
+    plan = _plan(kept)
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert kept.count() == rows.join(ids, "device_id", "left_semi").count()
+
+
 def test_anti_join_on_full_null_safe_key(spark):
     rows = roles.combined_rows(spark, SF_SMALL)
     for strategy, op in (("merge", "SortMergeJoin"), ("broadcast", "BroadcastHashJoin")):
