@@ -22,16 +22,23 @@ def typed_null(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
 
-def key_match(left: DataFrame, right: DataFrame, layout: Layout) -> Column:
-    """Row-key equality of two relations: device =, time =, event null-safe =.
+def key_match(left: str, right: str, layout: Layout) -> Column:
+    """Row-key equality of two aliased relations: device =, time =, event
+    null-safe =.
 
     A null device or time never matches (plain equality), a missing event
-    equals a missing event. Catalyst plans this as an equi-join on three keys.
+    equals a missing event. Columns are referenced through the relation
+    aliases, so it also holds for a relation joined with itself. Catalyst
+    plans this as an equi-join on the key.
     """
+
+    def c(alias: str, name: str) -> Column:
+        return F.col(f"{alias}.`{name}`")
+
     return (
-        (column(layout.device, left) == column(layout.device, right))
-        & (column(layout.time, left) == column(layout.time, right))
-        & column(layout.event, left).eqNullSafe(column(layout.event, right))
+        (c(right, layout.device) == c(left, layout.device))
+        & (c(right, layout.time) == c(left, layout.time))
+        & c(right, layout.event).eqNullSafe(c(left, layout.event))
     )
 
 
