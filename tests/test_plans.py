@@ -118,3 +118,19 @@ def test_target_scan_is_pruned(spark, tmp_dir):
     months = {r.month for r in target.select("month").distinct().collect()}
     assert len(months) == 2
     assert keys.count() == batch.count() > 0  # every batch key is still in the bounded target
+
+
+def test_read_device_is_partition_or_pushed_filter(spark, tmp_dir):
+    from meterlake.sources import read_device, write_rows
+
+    known = roles.known_rows(spark, SF_SMALL)
+    by_device = TableSpec(os.path.join(tmp_dir, "d"), roles.NARROW, partition_by="device")
+    by_month = TableSpec(os.path.join(tmp_dir, "m"), roles.NARROW)
+    write_rows(known, by_device)
+    write_rows(known, by_month)
+    plan_d = _plan(read_device(spark, by_device, 7))
+    plan_m = _plan(read_device(spark, by_month, 7))
+    assert "PartitionFilters: [isnotnull(device_id" in plan_d and "= 7)" in plan_d
+    assert "EqualTo(device_id,7)" in plan_m
+    want = known.where("device_id = 7").count()
+    assert read_device(spark, by_device, 7).count() == read_device(spark, by_month, 7).count() == want > 0
