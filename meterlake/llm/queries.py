@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import exact_dedup, simhash, token_counts
+from meterlake.llm import decontaminate, exact_dedup, quality, simhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,13 +36,40 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op8_quality_classifier(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_benchmark_decontamination(spark, sf_dir):
+    found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.max("containment").alias("containment"),
+        F.max("n_shared").alias("n_shared"),
+        F.max("n_shingles").alias("n_shingles"),
+    )
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE_SQL = {
+    "op9_benchmark_decontamination": r"""
+        WITH words AS (
+            SELECT 0 AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+            UNION ALL
+            SELECT 1, item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') FROM benchmark),
+        starts AS (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0),
+        shingles AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM starts),
+        sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 1 GROUP BY id)
+        SELECT d.id AS doc_id, b.id AS item_id, count(*) / any_value(z.n) AS containment, count(*) AS n_shared,
+               any_value(z.n) AS n_shingles
+        FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 0 AND b.kind = 1 JOIN sizes z ON z.id = b.id
+        GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(z.n) - 1e-9""",
     "op4_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
