@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, quality, simhash, token_counts
+from meterlake.llm import decontaminate, exact_dedup, pieces, quality, simhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,22 @@ def op2_simhash_near_dedup(spark, sf_dir):
     )
 
 
+def op3_sentencepiece(spark, sf_dir):
+    model = tokenizer_file("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # the texts stay behind: the decoded ones are compared by length and hash
+    marked = docs.select("doc_id", "text", F.octet_length("text").alias("n_bytes"), F.xxhash64("text").alias("hash"))
+    encoded = pieces.encode(marked, model).select("doc_id", "n_bytes", "hash", "ids")
+    decoded = pieces.decode(encoded, model)
+    same = (F.xxhash64("decoded") == F.col("hash")) & (F.octet_length("decoded") == F.col("n_bytes"))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.coalesce(same, F.lit(True)).alias("round_trip"),  # a null text decodes to an empty one
+    )
+
+
 def op4_exact_dedup(spark, sf_dir):
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("_sha").alias("text_sha256"))
@@ -51,6 +67,7 @@ def op9_benchmark_decontamination(spark, sf_dir):
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
     "op8_quality_classifier": op8_quality_classifier,
