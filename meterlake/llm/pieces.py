@@ -38,6 +38,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -461,9 +462,7 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str
     """``docs`` with the text of each array of ids; null for null."""
 
     @F.pandas_udf("string")
-    def text(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model(model_path)
         for ids in batches:
             yield pd.Series([None if x is None else _decode(model, x) for x in ids], dtype=object)
