@@ -7,7 +7,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, pieces, quality, simhash, token_counts
+from meterlake.llm import (
+    decontaminate,
+    exact_dedup,
+    fixity,
+    host_reputation,
+    html_text,
+    pieces,
+    quality,
+    simhash,
+    token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +30,22 @@ def tokenizer_file(name: str) -> str:
     return os.fspath(public_tokenizers.path(name))
 
 
+def op1_merkle_fixity(spark, sf_dir):
+    """The pages as WARC files and a replica with known damage: by the first
+    two hex digits of md5(page_id), 00: the replica's payload is changed, 01:
+    the replica lacks the record, 02: the primary lacks it."""
+    pages = table(spark, sf_dir, "pages")
+    mark = F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2)
+    sound = fixity.lay_out(fixity.page_records(pages))
+    # the damaged copies keep their places
+    changed = pages.where(mark == "00").withColumn("html", F.concat(F.lit("#"), F.expr("substring(coalesce(html, ''), 2)")))
+    digests = fixity.page_records(changed).select("record_id", F.col("length").alias("_length"), F.col("digest").alias("_digest")).distinct()
+    replica = sound.where(mark != "01").join(digests, "record_id", "left")
+    replica = replica.withColumn("length", F.coalesce("_length", "length")).withColumn("digest", F.coalesce("_digest", "digest"))
+    found = fixity.audit(sound.where(mark != "02"), replica)
+    return found.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("primary_length", "replica_length")})
+
+
 def op2_simhash_near_dedup(spark, sf_dir):
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -52,6 +78,10 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op6_html_extraction(spark, sf_dir):
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,16 +95,92 @@ def op9_benchmark_decontamination(spark, sf_dir):
     )
 
 
+def op10_url_filter(spark, sf_dir):
+    pages, docs, labels = (table(spark, sf_dir, t) for t in ("pages", "documents", "labels"))
+    return host_reputation.judge_urls(pages, host_reputation.labelled_pages(pages, docs, labels))
+
+
 QUERIES = {
+    "op1_merkle_fixity": op1_merkle_fixity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_html_extraction": op6_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL = {
+    "op1_merkle_fixity": r"""
+        WITH r AS (
+            SELECT *, substr(md5(CAST(page_id AS VARCHAR)), 1, 2) AS mark, 'urn:page:' || page_id AS record_id,
+                   'crawl-' || lpad(CAST(page_id // 1000 AS VARCHAR), 8, '0') || '.warc' AS file,
+                   coalesce(html, '') AS body, '#' || substr(coalesce(html, ''), 2) AS broken, chr(13) || chr(10) AS nl
+            FROM pages),
+        t AS (
+            SELECT *, 'WARC/1.0' || nl || 'WARC-Type: response' || nl || 'WARC-Record-ID: <' || record_id || '>' || nl
+                      || 'WARC-Target-URI: ' || coalesce(url, '') || nl || 'Content-Length: ' AS head FROM r),
+        w AS (
+            SELECT *, head || strlen(body) || nl || nl || body || nl || nl AS a,
+                      head || strlen(broken) || nl || nl || broken || nl || nl AS b FROM t),
+        p AS (
+            SELECT *, CAST(coalesce(sum(strlen(a)) OVER (PARTITION BY file ORDER BY page_id, sha256(a)
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM w)
+        SELECT file, "offset", record_id,
+               CASE mark WHEN '00' THEN 'changed' WHEN '01' THEN 'missing' ELSE 'extra' END AS status,
+               CASE WHEN mark != '02' THEN strlen(a) ELSE 0 END AS primary_length,
+               CASE WHEN mark != '02' THEN sha256(a) END AS primary_digest,
+               CASE mark WHEN '00' THEN strlen(b) WHEN '02' THEN strlen(a) ELSE 0 END AS replica_length,
+               CASE mark WHEN '00' THEN sha256(b) WHEN '02' THEN sha256(a) END AS replica_digest
+        FROM p WHERE mark IN ('00', '01', '02')""",
+    "op10_url_filter": r"""
+        WITH u AS (
+            SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        p AS (
+            SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        shown AS (
+            SELECT host, regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1),
+                   '(?s)<h1.*?</h1>|<[^>]*>|&[#0-9A-Za-z]+;', '', 'g'), '[^\p{L}\p{N}]+', '', 'g') AS t FROM p),
+        quality AS (SELECT doc_id, min(quality) AS q, max(quality) AS q2 FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+        sure AS (
+            SELECT t, min(q) AS q FROM (SELECT regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]+', '', 'g') AS t, q, q2
+            FROM documents JOIN quality USING (doc_id)) GROUP BY t HAVING min(q) = max(q2)),
+        outcomes AS (SELECT host, 1 - q AS bad FROM shown JOIN sure USING (t) WHERE t != ''),
+        hosts AS (
+            SELECT host, count(*) AS n, sum(bad) AS b, string_split(host, '.') AS l,
+                   CASE WHEN len(l[-1]) = 2 AND coalesce(l[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org'), false) THEN 2 ELSE 1 END AS k,
+                   array_to_string(l[-least(len(l), k + 1):], '.') AS domain, array_to_string(l[-least(len(l), k):], '.') AS suffix
+            FROM outcomes GROUP BY host),
+        domains AS (SELECT domain, suffix, sum(n) AS n, sum(b) AS b FROM hosts GROUP BY ALL),
+        suffixes AS (SELECT suffix, sum(n) AS n, sum(b) AS b FROM domains GROUP BY ALL),
+        spread AS (
+            SELECT level, sum(n)::DOUBLE AS n, sum(b) / sum(n) AS m, sum(n * n) AS nn, sum(b * b / n) AS bb, count(*) AS k FROM (
+                SELECT 's' AS level, n, b FROM suffixes UNION ALL SELECT 'd', n, b FROM domains UNION ALL SELECT 'h', n, b FROM hosts)
+            GROUP BY level),
+        between_ AS (SELECT level, k, m, CASE WHEN n - nn / n > 0 THEN (bb - n * m * m - (k - 1) * m * (1 - m)) / (n - nn / n) ELSE 0 END AS v FROM spread),
+        strength AS (
+            SELECT level, CASE WHEN k < 2 OR v <= 0 THEN 1000.0 ELSE least(greatest(m * (1 - m) / v - 1, 1.0), 1000.0) END AS s FROM between_),
+        ks AS (SELECT (SELECT s FROM strength WHERE level = 's') AS s, (SELECT s FROM strength WHERE level = 'd') AS d,
+                      (SELECT s FROM strength WHERE level = 'h') AS h, (SELECT (sum(b) + 1) / (sum(n) + 2) FROM suffixes) AS top),
+        means AS (
+            SELECT host, hosts.n, ks.h AS kh,
+                   (((( ks.top * ks.s + suffixes.b) / (suffixes.n + ks.s)) * ks.d + domains.b) / (domains.n + ks.d) * ks.h + hosts.b)
+                   / (hosts.n + ks.h) AS mean
+            FROM hosts JOIN domains USING (domain) JOIN suffixes ON suffixes.suffix = domains.suffix, ks),
+        blocked AS (SELECT host FROM means WHERE mean - 1.645 * sqrt(mean * (1 - mean) / (n + kh + 1)) > 0.25),
+        ruled AS (
+            SELECT page_id, host, path,
+                   CASE WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                        WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                        WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                        WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p)
+        SELECT page_id, host, path, rule,
+               CASE rule WHEN 'example.com/de/' THEN 'block' WHEN 'net/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow'
+                    ELSE CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END END AS verdict
+        FROM ruled""",
     "op9_benchmark_decontamination": r"""
         WITH words AS (
             SELECT 0 AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
