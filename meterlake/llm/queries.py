@@ -13,6 +13,7 @@ from meterlake.llm import (
     fixity,
     host_reputation,
     html_text,
+    licences,
     pieces,
     quality,
     simhash,
@@ -82,6 +83,11 @@ def op6_html_extraction(spark, sf_dir):
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_licence_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -107,6 +113,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_html_extraction": op6_html_extraction,
+    "op7_licence_scan": op7_licence_scan,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_url_filter": op10_url_filter,
