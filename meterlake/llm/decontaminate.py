@@ -37,6 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.names import own_columns, unused
 from meterlake.scratch import checkpoint_dir
 
 WORDS = 5
@@ -246,8 +247,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     found = contained_items(docs, items, **options)
     bad = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct().checkpoint()
-    rows = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    own = unused(docs, "_own")
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     if bad.count() <= options.get("max_broadcast", MAX_BROADCAST):
         bad = F.broadcast(bad)
-    on = (rows["_own"] == bad["_hash"]) & rows[id_col].eqNullSafe(bad["_id"])
-    return rows.join(bad, on, "left_anti").select(*docs.columns)
+    on = (rows[own] == bad["_hash"]) & rows[id_col].eqNullSafe(bad["_id"])
+    return rows.join(bad, on, "left_anti").select(*own_columns(docs))

@@ -31,6 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.names import own_columns, unused
 from meterlake.scratch import checkpoint_dir
 
 WHITE_RUN = r"[\x20\x09-\x0D]+"
@@ -114,9 +115,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = exact_groups(docs, id_col, text_col, salts)
     keys = ["_sha", "_xx", "_len"]
     winners = groups.where("kept").select(F.col("doc_id").alias("_winner"), *keys)
-    keyed = docs.select("*", *digest_columns(normalised(F.col(text_col))))
+    mine = {k: unused(docs, k) for k in keys}
+    digests = digest_columns(normalised(F.col(text_col)))
+    keyed = docs.select("*", *[d.alias(m) for d, m in zip(digests, mine.values(), strict=True)])
     on = keyed[id_col].eqNullSafe(winners["_winner"])
-    for k in keys:
-        on = on & (keyed[k] == winners[k])
+    for k, m in mine.items():
+        on = on & (keyed[m] == winners[k])
     # a row repeated under one id is still there more than once
-    return keyed.join(winners, on, "left_semi").dropDuplicates([id_col, *keys]).select(*docs.columns)
+    one = keyed.join(winners, on, "left_semi").dropDuplicates([id_col, *mine.values()])
+    return one.select(*own_columns(docs))

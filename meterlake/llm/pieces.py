@@ -430,7 +430,8 @@ def _decode(model: PieceModel, ids: np.ndarray) -> str:
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each whole text (array of int)."""
+    """``docs`` with the ids of each whole text (array of int); a column that
+    is called ``out_col`` already is replaced."""
     schema = T.StructType([f for f in docs.schema if f.name != out_col] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     keep = [f.name for f in schema if f.name != out_col]
 
@@ -459,7 +460,8 @@ def _slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
 
 
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """``docs`` with the text of each array of ids; null for null."""
+    """``docs`` with the text of each array of ids, null for null; a column
+    that is called ``out_col`` already is replaced."""
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
