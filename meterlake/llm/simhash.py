@@ -229,7 +229,10 @@ def near_groups(
     linked = classes.join(linked, classes["fingerprint"] == linked["node"]).select("fingerprint", "component", "best")
     least = linked.groupBy("component").agg(F.min("best").alias("least"))
     ties = linked.join(least, "component").select("fingerprint", "least").checkpoint()
+    # a table of its own: both sides of the last join are then plain shuffles,
+    # which AQE splits where one fingerprint has very many rows
     whole = classes.join(ties, "fingerprint", "left").select("fingerprint", F.coalesce("least", "best").alias("least"))
+    whole = whole.checkpoint()
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     return prints.join(whole, "fingerprint").select(
         "doc_id",
