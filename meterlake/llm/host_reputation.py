@@ -10,7 +10,8 @@ beta-binomial prior: mean = the posterior mean above, strength = fitted by
 moments to the spread of the rates of that level (``prior_strength``). A host
 with few labelled pages thus takes the rate of its domain, one with many its
 own. A host is blocked when the lower bound of its posterior bad rate (mean
-minus ``z`` standard deviations) is above ``max_bad``.
+minus ``z`` standard deviations, the prior counting as no more pages than are
+labelled at all) is above ``max_bad``.
 
 Counts are grouped sums (partial on the map side, so a host with a third of
 all pages costs one row per task). Three scalars per level reach the driver.
@@ -122,7 +123,9 @@ def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     s = suffixes.select("suffix", shrunk(F.lit(top), ks).alias("suffix_mean"))
     d = domains.join(s, "suffix").select("domain", shrunk(F.col("suffix_mean"), kd).alias("domain_mean"))
     h = hosts.join(d, "domain").withColumn("mean", shrunk(F.col("domain_mean"), kh))
-    sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + kh + 1))
+    # the prior is never surer than all labelled pages together
+    sure = min(kh, float(total["n"] or 0))
+    sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + sure + 1))
     return h.select("host", "n", "b", "mean", (F.col("mean") - z * sd).alias("lower"))
 
 

@@ -40,10 +40,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SPACE = "▁"
 BLOCK_CHARS = 1 << 19  # characters of distinct words in one index
@@ -432,31 +430,15 @@ def _decode(model: PieceModel, ids: np.ndarray) -> str:
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text (array of int); a column that
     is called ``out_col`` already is replaced."""
-    schema = T.StructType([f for f in docs.schema if f.name != out_col] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    keep = [f.name for f in schema if f.name != out_col]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(model_path)
-        for whole in batches:
-            # rows with very long texts are passed on in smaller batches
-            for batch in _slices(whole, text_col):
-                texts = ["" if t is None else t for t in batch.column(text_col).to_pylist()]
-                found, counts = _encode_texts(encoder, texts)
-                ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(found))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], names=[*keep, out_col])
-
-    return docs.mapInArrow(run, schema)
-
-
-def _slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
-    sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
-    start = held = 0
-    for i, n in enumerate(sizes):
-        if held and held + n > BATCH_CHARS:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += n
-    yield batch.slice(start)
+        for texts in batches:
+            found, counts = _encode_texts(encoder, ["" if t is None else t for t in texts.to_pylist()])
+            yield pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(found))
+
+    return docs.withColumn(out_col, ids(F.col(text_col)))
 
 
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -171,9 +171,9 @@ ORACLE_SQL = {
         strength AS (
             SELECT level, CASE WHEN k < 2 OR v <= 0 THEN 1000.0 ELSE least(greatest(m * (1 - m) / v - 1, 1.0), 1000.0) END AS s FROM between_),
         ks AS (SELECT (SELECT s FROM strength WHERE level = 's') AS s, (SELECT s FROM strength WHERE level = 'd') AS d,
-                      (SELECT s FROM strength WHERE level = 'h') AS h, (SELECT (sum(b) + 1) / (sum(n) + 2) FROM suffixes) AS top),
+                      (SELECT s FROM strength WHERE level = 'h') AS h, (SELECT sum(n) FROM suffixes) AS total, (SELECT (sum(b) + 1) / (sum(n) + 2) FROM suffixes) AS top),
         means AS (
-            SELECT host, hosts.n, ks.h AS kh,
+            SELECT host, hosts.n, least(ks.h, ks.total) AS kh,
                    (((( ks.top * ks.s + suffixes.b) / (suffixes.n + ks.s)) * ks.d + domains.b) / (domains.n + ks.d) * ks.h + hosts.b)
                    / (hosts.n + ks.h) AS mean
             FROM hosts JOIN domains USING (domain) JOIN suffixes ON suffixes.suffix = domains.suffix, ks),

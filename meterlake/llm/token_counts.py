@@ -82,7 +82,10 @@ class _Counter:
 
     def __call__(self, texts: list[str]) -> list[int]:
         if len(texts) == 1 and len(texts[0]) > GROUP_BYTES:
-            return [sum(self([part])[0] for part in long_parts(texts[0], GROUP_BYTES // 2))]
+            return [sum(self._count([part])[0] for part in long_parts(texts[0], GROUP_BYTES // 2))]
+        return self._count(texts)
+
+    def _count(self, texts: list[str]) -> list[int]:
         cut = [safe_pieces(t) if t else [] for t in texts]
         if len(self.known) > KNOWN_PIECES:
             self.known = {}

@@ -1,0 +1,85 @@
+import html
+import re
+
+import pytest
+
+from meterlake.llm import html_text as H
+from tests.llm.helpers import empty, read
+
+ARTICLE = "".join(f"<p>Paragraph number {i}, with some commas, and a fair length of text in it.</p>" for i in range(4))
+WANT = "\n\n".join(f"Paragraph number {i}, with some commas, and a fair length of text in it." for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (None, ""),
+        ("", ""),
+        ("<p>", ""),
+        ("plain  text", "plain text"),
+        ("<!-- <p>no</p> --><p>a &lt;b&gt; &eacute;&#x41;&nbsp;c</p>", "a <b> éA c"),
+        ("<p>one<p>two<br>three<b> four", "one\n\ntwo three four"),
+        ("<p>a<!-- never ends <p>b", "a"),
+        ("<p>a<p class='x", "a"),
+        ("<p title='a > b'>x</p></div></p>", "x"),
+        ("<script>var a='</p><p>no';</script><style>p{}</style><p>yes</p>", "yes"),
+        ("<SCRIPT>x</SCRIPT><P>Upper</P>", "Upper"),
+        ("<ul><li>one<li>two</ul>", "one\n\ntwo"),
+        ("a < b & c", "a < b & c"),
+    ],
+)
+def test_small_pages(page, text):
+    assert H.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "junk",
+    [
+        "<nav><a href=/>Home</a> and more text, menus, and so on</nav>",
+        "<header>Site name, slogan, and so on</header>",
+        "<div id='header'>Site name, slogan</div>",
+        "<footer>Imprint, contact, and so on</footer>",
+        "<aside>Other stories, and so on</aside>",
+        "<div class='sidebar left'>Other, stories</div>",
+        "<div class='cookie-notice'>We use cookies, yes</div>",
+        "<div class=ad>Buy, buy, buy</div>",
+        "<form><p>Name, please</p><input><textarea>x</textarea></form>",
+        "<section id='comments'><p>First, I say, this is bad</p></section>",
+        "<div role='navigation'>here, there</div>",
+        "<ul><li><a href=1>one link</a></li><li><a href=2>two links</a></li><li><a href=3>three</a></li></ul>",
+        "<div hidden>secret, text</div>",
+        "<noscript>please, enable</noscript>",
+    ],
+)
+@pytest.mark.parametrize("wrap", ["<body>{j}<article>{a}</article>{j}</body>", "<body>{j}<div><div>{a}</div></div>{j}", "{j}{a}{j}"])
+def test_junk_goes_and_the_article_stays(junk, wrap):
+    assert H.main_text(wrap.format(j=junk, a=ARTICLE)) == WANT
+
+
+def test_sections_of_one_article_stay_together():
+    page = f"<article><h1>Title</h1><section>{ARTICLE}</section><section>{ARTICLE}</section></article>"
+    assert H.main_text(page) == f"Title\n\n{WANT}\n\n{WANT}"
+
+
+def test_very_long_and_very_deep_pages():
+    assert H.main_text("<p>" + "word, " * 200_000 + "</p>") == ("word, " * 200_000).strip()
+    assert H.main_text("<div>" * 20_000 + "<p>deep, text</p>") == "deep, text"
+    assert H.main_text("<p>x" * 20_000).count("x") == 20_000
+
+
+def test_whole_table_equals_the_article_blocks(spark):
+    rows = {r.page_id: r for r in H.extract_pages(read(spark, "pages")).collect()}
+    pages = read(spark, "pages").collect()
+    assert len(rows) == len(pages) == 50
+    for p in pages:
+        article = re.search(r"<article>(.*)</article>", p.html, re.S).group(1)
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
+        want = "\n\n".join(b for b in blocks if b)
+        assert rows[p.page_id].text == want and rows[p.page_id].n_chars == len(want) and rows[p.page_id].url == p.url
+
+
+def test_nulls_repeats_and_empty(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string"
+    df = spark.createDataFrame([(None, None, None, "mine", "mine"), (1, "u", "<p>a😀</p>", "mine", "mine"), (1, "u", "<p>a😀</p>", "mine", "mine")], schema)
+    assert [tuple(r) for r in H.extract_pages(df).collect()] == [(None, None, "", 0), (1, "u", "a😀", 2), (1, "u", "a😀", 2)]
+    assert H.extract_pages(empty(spark, schema)).count() == 0

@@ -1,0 +1,99 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from meterlake.llm import quality as Q
+from tests.llm.helpers import ODD_TEXTS, docs, empty, read
+
+SF = "/root/testdata/sf0.01"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def by_hand(unary, change, lengths):
+    """Marginals by summing over all labelings."""
+    out, at = [], 0
+    for n in lengths:
+        u, total, good = unary[at : at + n], 0.0, np.zeros(n)
+        for code in range(2**n):
+            y = [code >> k & 1 for k in range(n)]
+            w = np.exp(sum(u[k] * y[k] for k in range(n)) + sum(change[y[k], y[k + 1]] for k in range(n - 1)))
+            total += w
+            good += w * np.array(y)
+        out += (good / total).tolist()
+        at += n
+    return out
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(0)
+    lengths = np.array([1, 5, 3, 1, 7])
+    unary, change = rng.normal(size=lengths.sum()), rng.normal(size=(2, 2))
+    good, total, pairs = Q.forward_backward(unary, change, lengths)
+    assert np.allclose(good, by_hand(unary, change, lengths))
+    assert np.isclose(pairs.sum(), (lengths - 1).sum())
+    eps = 1e-6
+    for a in (0, 1):
+        for b in (0, 1):
+            step = change.copy()
+            step[a, b] += eps
+            assert np.isclose((Q.forward_backward(unary, step, lengths)[1].sum() - total.sum()) / eps, pairs[a, b], atol=1e-4)
+
+
+def test_features_see_lines_alone():
+    texts = [b"one Two!\nsame same same\nsame same same", b"", b"\n\n", "é ü.".encode()]
+    x, weight, lengths = Q.line_features(texts)
+    assert lengths.tolist() == [3, 1, 3, 1]
+    apart = [Q.line_features([t])[0] for t in texts]
+    assert np.allclose(x, np.concatenate(apart))
+    assert weight.tolist() == [9, 15, 15, 1, 1, 1, 1, 5]
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    from pyspark.sql import functions as F
+
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    return Q.quality_scores(d, labels).join(labels.select("doc_id", F.col("quality")), "doc_id", "left").collect()
+
+
+def test_held_out_rows_are_told_right(scored):
+    rows = [r for r in scored if r.held_out and r.quality is not None]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in scored)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in scored)
+    assert len(scored) == 1000 and len(rows) > 80
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.97
+    assert np.mean([r.predicted for r in rows if r.quality == 1]) > 0.98
+
+
+def test_held_out_labels_are_not_learnt_from(spark):
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    from pyspark.sql import functions as F
+
+    flipped = labels.withColumn("quality", F.when(Q.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = Q.train(d, labels), Q.train(d, flipped)
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.change, b.change)
+
+
+def test_edge_rows(spark):
+    labels = spark.createDataFrame(
+        [(i, i % 2, 0) for i in range(0, 40)] + [(1, 1, 0), (3, None, 0), (None, 1, 0), (5, 7, 0), (6, 0, 0), (6, 1, 0)], LABELS
+    )
+    texts = [*ODD_TEXTS, *(["good line here.", "BAD!! BAD!!"] * 15)]
+    df = docs(spark, texts, [None, *range(1, len(texts))], extra=True)
+    got = Q.quality_scores(df, labels, sample_rows=20, sample_lines=2)
+    rows = got.collect()
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and len(rows) == len(texts)
+    assert all(0 <= r.score <= 1 for r in rows)
+    kept = Q.drop_rejected(df, labels)
+    assert kept.columns == df.columns
+
+
+def test_without_labels_nothing_is_rejected(spark):
+    none = empty(spark, LABELS)
+    df = docs(spark, ODD_TEXTS)
+    assert {r.score for r in Q.quality_scores(df, none).collect()} == {0.5}
+    assert Q.drop_rejected(df, none).count() == len(ODD_TEXTS)
+    ones = spark.createDataFrame([(i, 1, 0) for i in range(9)], LABELS)
+    assert {r.score for r in Q.quality_scores(df, ones).collect()} == {1.0}
+    assert Q.quality_scores(empty(spark), read(spark, "labels")).count() == 0
