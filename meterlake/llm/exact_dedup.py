@@ -7,15 +7,20 @@ different texts:
 
 1. local: the map side of the first aggregate leaves one row per text and
    input partition;
-2. salted: those rows meet per (digest, text, salt), the salt being the input
-   partition modulo ``salts`` — a text that fills a third of the corpus is
-   merged by ``salts`` tasks, from one row per input partition;
-3. global: the salt winners (at most ``salts`` rows a text) meet.
+2. salted: those rows meet per (digest, text, salt). Digests of very many rows
+   have the input partition modulo ``salts`` as salt — a text that fills a
+   third of the corpus is merged by ``salts`` tasks, from one row per input
+   partition — others have one salt and are complete here;
+3. global: the salt winners of hot digests (at most ``salts`` rows a text) meet.
+
+Which digests are hot is counted first, on the digests alone: those of more
+than one in ``HOT_DIGESTS`` rows, so there are at most that many, a bounded
+broadcast. Texts are shuffled once.
 
 What leaves the combining has no texts: digest columns, smallest id, group
 size. Rows find their group again by the digest columns (SHA-256, XXH64 and
 length). Should two different texts share all of those, the rows of such
-digests are grouped by their text instead (``_clashing``).
+digests are grouped by their text instead (``clashing``).
 
 Defined results: null text counts as empty. A null id never wins over an id;
 a group of null ids alone has a null ``keep_id``. Rows that repeat id and text
@@ -31,11 +36,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.names import own_columns, unused
+from meterlake.llm.names import keep_listed, own_columns, unused
 from meterlake.scratch import checkpoint_dir
 
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 SALTS = 32
+HOT_DIGESTS = 10_000  # at most so many digests are salted
+HOT_ROWS = 64  # fewer rows than this are never hot
 
 
 def normalised(text: Column) -> Column:
@@ -53,20 +60,22 @@ def digest_columns(text: Column) -> list[Column]:
 
 
 def _merge(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.groupBy(*by).agg(F.min("_keep").alias("_keep"), F.sum("_n").alias("_n"))
-
-
-def _combine(rows: DataFrame, keys: list[str], salts: int) -> DataFrame:
-    """One row per text: keys, text, _keep, _n (local, salted, global)."""
-    salted = rows.withColumn("_salt", F.spark_partition_id() % salts)
-    return _merge(_merge(salted, [*keys, "_text", "_salt"]), [*keys, "_text"])
+    # the flag is aggregated, not grouped by: a filter on it then stays behind
+    # the shuffle, and both kinds of groups read the same one
+    return rows.groupBy(*by).agg(F.min("_keep").alias("_keep"), F.sum("_n").alias("_n"), F.max("_hot").alias("_hot"))
 
 
-def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
+def _combine(rows: DataFrame, keyed: DataFrame, keys: list[str], salts: int) -> DataFrame:
+    """One row per text: keys, _keep, _n (local, salted, global). ``keyed`` has
+    the keys of the rows."""
+    hot_rows = max(HOT_ROWS, keyed.count() // HOT_DIGESTS)
+    hot = keyed.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    marked = rows.join(F.broadcast(hot), keys, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    salted = marked.withColumn("_salt", F.when(F.col("_hot"), F.spark_partition_id() % salts).otherwise(0))
+    winners = _merge(salted, [*keys, "_text", "_salt"])
+    whole = _merge(winners.where("_hot"), [*keys, "_text"])
+    columns = [*keys, "_text", "_keep", "_n"]
+    return winners.where("NOT _hot").select(*columns).unionByName(whole.select(*columns))
 
 
 def exact_groups(
@@ -82,15 +91,16 @@ def exact_groups(
     rows = docs.select(F.col(id_col).alias("_keep"), normalised(F.col(text_col)).alias("_text"), F.lit(1).alias("_n"))
     rows = rows.select("*", *digests(F.col("_text")))
     keys = [c for c in rows.columns if c not in ("_keep", "_text", "_n")]
+    keyed = rows.select("_keep", *keys).checkpoint()
     # texts stop here: the groups are narrow and survive lost executors
-    groups = _combine(rows, keys, salts).select(*keys, "_keep", "_n").checkpoint()
+    groups = _combine(rows, keyed, keys, salts).select(*keys, "_keep", "_n").checkpoint()
     clashing = groups.groupBy(*keys).count().where("count > 1").select(*keys).checkpoint()
     if clashing.isEmpty():
-        return _assign(rows, groups, keys, keys)
+        return _assign(keyed, groups, keys, keys)
     # different texts behind one digest: those rows are told apart by text
     odd = rows.join(clashing, keys, "left_semi")
-    by_text = _combine(odd, keys, salts)
-    plain = _assign(rows.join(clashing, keys, "left_anti"), groups.join(clashing, keys, "left_anti"), keys, keys)
+    by_text = _combine(odd, odd, keys, salts)
+    plain = _assign(keyed.join(clashing, keys, "left_anti"), groups.join(clashing, keys, "left_anti"), keys, keys)
     return plain.unionByName(_assign(odd, by_text, [*keys, "_text"], keys))
 
 
@@ -112,15 +122,7 @@ def _assign(rows: DataFrame, groups: DataFrame, on: list[str], keys: list[str])
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns."""
-    groups = exact_groups(docs, id_col, text_col, salts)
     keys = ["_sha", "_xx", "_len"]
-    winners = groups.where("kept").select(F.col("doc_id").alias("_winner"), *keys)
-    mine = {k: unused(docs, k) for k in keys}
-    digests = digest_columns(normalised(F.col(text_col)))
-    keyed = docs.select("*", *[d.alias(m) for d, m in zip(digests, mine.values(), strict=True)])
-    on = keyed[id_col].eqNullSafe(winners["_winner"])
-    for k, m in mine.items():
-        on = on & (keyed[m] == winners[k])
-    # a row repeated under one id is still there more than once
-    one = keyed.join(winners, on, "left_semi").dropDuplicates([id_col, *mine.values()])
-    return one.select(*own_columns(docs))
+    winners = exact_groups(docs, id_col, text_col, salts).where("kept").select("doc_id", *keys)
+    rows = docs.select("*", *[d.alias(unused(docs, k)) for d, k in zip(digest_columns(normalised(F.col(text_col))), keys, strict=True)])
+    return keep_listed(rows, [id_col, *[unused(docs, k) for k in keys]], winners).select(*own_columns(docs))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.components import connected_components
-from meterlake.llm.names import own_columns, unused
+from meterlake.llm.names import keep_listed, own_columns, unused
 from meterlake.scratch import checkpoint_dir
 
 WORDS = 3
@@ -248,9 +248,7 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` with one row of each component (smallest id), all its columns."""
     groups = near_groups(docs, words, max_bits, id_col, text_col)
-    keep = groups.where("first").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    keep = groups.where("first").select("doc_id", "text_hash")
     own = unused(docs, "_own")
     rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    on = (rows[own] == keep["_hash"]) & rows[id_col].eqNullSafe(keep["_id"])
-    # a row repeated under one id is still there more than once
-    return rows.join(keep, on, "left_semi").dropDuplicates([id_col, own]).select(*own_columns(docs))
+    return keep_listed(rows, [id_col, own], keep).select(*own_columns(docs))
