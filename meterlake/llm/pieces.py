@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 BLOCK_CHARS = 1 << 19  # characters of distinct words in one index
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 BATCH_CHARS = 1 << 21  # characters of texts taken together
 LONG_WORD = 1 << 12
 NONE = np.iinfo(np.int64).max
