@@ -44,7 +44,7 @@ WORDS = 5
 THRESHOLD = 0.8
 FILTER_BITS = 1 << 20  # bits of a size class's bitmap: 128 KB, whatever the number of items
 MAX_BROADCAST = 100_000  # candidate documents (two longs each)
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 BLOCK = 1 << 20
 SECTION = 1 << 15  # bits of one row of bitmap_construct_agg
 

@@ -40,13 +40,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-BLOCK_CHARS = 1 << 19  # characters of distinct words in one index
-KNOWN_WORDS = 200_000
-BATCH_CHARS = 1 << 21  # characters of texts taken together
+BLOCK_CHARS = 1 << 18  # characters of distinct words in one index
+KNOWN_WORDS = 150_000
+BATCH_CHARS = 1 << 20  # characters of texts taken together
 LONG_WORD = 1 << 12
 NONE = np.iinfo(np.int64).max
 
@@ -345,17 +346,27 @@ def _encode_block(model: PieceModel, words: list[str]) -> tuple[np.ndarray, np.n
 
 
 class Encoder:
-    """Encodes texts; holds the ids of up to ``KNOWN_WORDS`` words seen."""
+    """Encodes texts; holds the ids of up to ``KNOWN_WORDS`` words seen, and
+    of those of the last texts when that is reached."""
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.forget()
-
-    def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids = np.empty(0, np.int32)
         self.count = np.empty(0, np.int64)
 
+    def keep(self, words: list[str]) -> None:
+        """Forget all words but these."""
+        at = np.array([self.number[w] for w in words], dtype=np.int64)
+        self.ids, self.count = self._gather(at)
+        self.number = {w: i for i, w in enumerate(words)}
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered words, one after the other, and their counts."""
+        count = self.count[at]
+        begin = (np.cumsum(self.count) - self.count)[at]
+        return self.ids[np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())], count
+
     def learn(self, words: list[str]) -> None:
         found, counts, block, held = [self.ids], [self.count], [], 0
         whole = [w for w in words if len(w) > LONG_WORD or "\0" in w]
@@ -385,40 +396,40 @@ class Encoder:
         """All ids in the order of the texts, and how many each text has."""
         cut = [_CUT.split(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         words = [w for c in cut for w in c]
-        if len(self.number) > KNOWN_WORDS:
-            self.forget()
-        number = self.number
-        if new := [w for w in dict.fromkeys(words) if w not in number]:
+        if new := [w for w in dict.fromkeys(words) if w not in self.number]:
             self.learn(new)
-        at = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
-        count = self.count[at]
-        begin = (np.cumsum(self.count) - self.count)[at]
-        ids = self.ids[np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())]
+        at = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        ids, count = self._gather(at)
+        if len(self.number) > KNOWN_WORDS:
+            self.keep(list(dict.fromkeys(words)))
         per_text = np.add.reduceat(np.append(count, 0), np.cumsum([0, *map(len, cut)])[:-1]) if texts else count
         per_text[[not c for c in cut]] = 0
         return ids, per_text
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
-    group, held = [], 0
-    for t in texts:
-        group.append(t)
-        held += len(t)
-        if held >= BATCH_CHARS:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
-
-
-def _encode_texts(encoder: Encoder, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All ids in the order of the texts, and how many each text has."""
-    ids, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-    for group in _groups(texts):
+def _slices(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in lists of about BATCH_CHARS; null as empty."""
+    start = held = 0
+    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    for i, n in enumerate([*sizes, BATCH_CHARS]):
+        if i == len(texts) or held + n > BATCH_CHARS and held:
+            if i > start:
+                yield ["" if t is None else t for t in texts.slice(start, i - start).to_pylist()]
+            start, held = i, 0
+        held += n
+
+
+def encode_array(encoder: Encoder, texts: pa.Array) -> pa.Array:
+    """Lists of ids. Until all are known they are held in two bytes each where
+    the vocabulary allows it."""
+    small = np.uint16 if encoder.model.size <= 1 << 16 else np.int32
+    ids, counts = [np.empty(0, small)], [np.zeros(1, np.int64)]
+    for group in _slices(texts):
         found, count = encoder(group)
-        ids.append(found)
+        ids.append(found.astype(small))
         counts.append(count)
-    return np.concatenate(ids), np.concatenate(counts)
+    ends = np.cumsum(np.concatenate(counts))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids, dtype=np.int32)))
 
 
 def _decode(model: PieceModel, ids: np.ndarray) -> str:
@@ -435,8 +446,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out_col: st
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(model_path)
         for texts in batches:
-            found, counts = _encode_texts(encoder, ["" if t is None else t for t in texts.to_pylist()])
-            yield pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(found))
+            yield encode_array(encoder, texts)
 
     return docs.withColumn(out_col, ids(F.col(text_col)))
 

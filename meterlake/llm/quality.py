@@ -38,7 +38,7 @@ SPLIT_SEED = 17
 STEPS = 250
 RATE = 0.1
 RIDGE = 1e-3
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 
 # line features from byte classes: name, bytes
 _CLASSES = {
