@@ -21,30 +21,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate, exact_dedup, pieces, quality, simhash
-from meterlake.llm.queries import table, tokenizer_file
+from meterlake.llm.queries import sized, table, tokenizer_file
 from meterlake.scratch import scratch_path
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.drop_rejected(docs, table(spark, sf_dir, "labels"))
+    return sized(quality.drop_rejected(docs, table(spark, sf_dir, "labels")), docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.drop_copies(docs)
+    return sized(exact_dedup.drop_copies(docs), docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_copies(docs, words=simhash.WORDS, max_bits=simhash.MAX_BITS)
+    return sized(simhash.drop_near_copies(docs, words=simhash.WORDS, max_bits=simhash.MAX_BITS), docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return sized(decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids."""
     rows = pieces.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_file("piece_bpe_32k.model"))
-    return rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return sized(rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids"), docs)
 
 
 STAGES = [

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.tables import small_files_for
 from meterlake.scratch import checkpoint_dir
 
 
@@ -41,18 +42,19 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), mark).first())
 
 
-def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
+def connected_components(links: DataFrame, a: str, b: str, files: int | None = None) -> DataFrame:
     """(node, component) for every node with a link to another one; the
     component is its smallest node. Links may repeat, run either way and
     hold self-links (ignored); links with a null end are ignored. No links
-    give no rows."""
+    give no rows. ``files``: at most so many for the links' first checkpoint."""
     checkpoint_dir(links.sparkSession)
     complete = F.col(a).isNotNull() & F.col(b).isNotNull()
     pairs = links.where(complete).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    pairs = pairs.where("u != v").distinct().checkpoint()
+    pairs = pairs.where("u != v").distinct()
+    pairs = (pairs if files is None else pairs.coalesce(files)).checkpoint()
     before = _state(pairs)
     while before[0]:
-        pairs = _small_star(_large_star(pairs)).checkpoint()
+        pairs = _small_star(_large_star(pairs)).coalesce(small_files_for(before[0])).checkpoint()
         now = _state(pairs)
         if now == before:
             break

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.names import own_columns, unused
+from meterlake.llm.tables import files_for
 from meterlake.scratch import checkpoint_dir
 
 WORDS = 5
@@ -212,13 +213,15 @@ def contained_items(
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash")
     )
-    shingles = item_shingles(items, size).withColumn("class", size_class("n")).checkpoint()
+    shingles = item_shingles(items, size).withColumn("class", size_class("n"))
+    shingles = shingles.coalesce(files_for(docs.sparkSession, 50 * items.count())).checkpoint()
     # floor((1 - threshold) * n) shingles may be missing; one more cannot
     missing = F.floor(F.col("n") * (1 - threshold) + 1e-9)
     sketch = shingles.where(F.col("no") <= missing).select("class", "hash", "item_id", "item_row")
     filters = _filters(sketch)
     hits = _document_sketch(rows, filters, size).join(sketch, ["class", "hash"])
-    pairs = hits.select("doc_id", "text_hash", "item_id", "item_row").distinct().checkpoint()
+    pairs = hits.select("doc_id", "text_hash", "item_id", "item_row").distinct()
+    pairs = pairs.coalesce(files_for(docs.sparkSession, docs.count())).checkpoint()
 
     wanted = pairs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     if wanted.count() <= max_broadcast:
@@ -246,7 +249,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     """``docs`` without the rows that contain an item, all their columns."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     found = contained_items(docs, items, **options)
-    bad = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct().checkpoint()
+    bad = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    bad = bad.coalesce(files_for(docs.sparkSession, docs.count())).checkpoint()
     own = unused(docs, "_own")
     rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     if bad.count() <= options.get("max_broadcast", MAX_BROADCAST):

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.names import keep_listed, own_columns, unused
+from meterlake.llm.tables import files_for
 from meterlake.scratch import checkpoint_dir
 
 WHITE_RUN = r"[\x20\x09-\x0D]+"
@@ -91,10 +92,11 @@ def exact_groups(
     rows = docs.select(F.col(id_col).alias("_keep"), normalised(F.col(text_col)).alias("_text"), F.lit(1).alias("_n"))
     rows = rows.select("*", *digests(F.col("_text")))
     keys = [c for c in rows.columns if c not in ("_keep", "_text", "_n")]
-    keyed = rows.select("_keep", *keys).checkpoint()
+    files = files_for(docs.sparkSession, docs.count())
+    keyed = rows.select("_keep", *keys).coalesce(files).checkpoint()
     # texts stop here: the groups are narrow and survive lost executors
-    groups = _combine(rows, keyed, keys, salts).select(*keys, "_keep", "_n").checkpoint()
-    clashing = groups.groupBy(*keys).count().where("count > 1").select(*keys).checkpoint()
+    groups = _combine(rows, keyed, keys, salts).select(*keys, "_keep", "_n").coalesce(files).checkpoint()
+    clashing = groups.groupBy(*keys).count().where("count > 1").select(*keys)
     if clashing.isEmpty():
         return _assign(keyed, groups, keys, keys)
     # different texts behind one digest: those rows are told apart by text

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.tables import files_for, small_files_for
 from meterlake.scratch import checkpoint_dir
 
 RECORDS_PER_FILE = 1000
@@ -70,7 +71,8 @@ def page_records(pages: DataFrame, per_file: int = RECORDS_PER_FILE) -> DataFram
 
 def _leaves(records: DataFrame) -> DataFrame:
     keys = ["file", "offset", "record_id", "length", "digest"]
-    return records.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).checkpoint()
+    leaves = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return leaves.coalesce(files_for(records.sparkSession, 0)).checkpoint()
 
 
 def _hash_in_order(parts: Column) -> Column:
@@ -91,9 +93,11 @@ def _parents(level: DataFrame, fanout: int) -> DataFrame:
 
 def merkle_levels(leaves: DataFrame, range_bytes: int, fanout: int, height: int) -> list[DataFrame]:
     """Ranges first, roots last: (file, node, hash) each."""
-    levels = [_ranges(leaves, range_bytes).checkpoint()]
+    rows = leaves.count()  # a level has no more rows than the one below it
+    levels = [_ranges(leaves, range_bytes).coalesce(small_files_for(rows)).checkpoint()]
     for _ in range(height):
-        levels.append(_parents(levels[-1], fanout).checkpoint())
+        rows = levels[-1].count()
+        levels.append(_parents(levels[-1], fanout).coalesce(small_files_for(rows)).checkpoint())
     return levels
 
 
@@ -115,12 +119,13 @@ def audit(primary: DataFrame, replica: DataFrame, range_bytes: int = RANGE_BYTES
     while nodes > 1:
         height, nodes = height + 1, -(-nodes // fanout)
     up_a, up_b = (merkle_levels(x, range_bytes, fanout, height) for x in (a, b))
+    files = small_files_for(a.count() + b.count())
     differ = _differing(up_a[-1], up_b[-1])
     for own_a, own_b in zip(up_a[-2::-1], up_b[-2::-1], strict=True):
-        differ = differ.withColumnRenamed("node", "_up").checkpoint()
+        differ = differ.withColumnRenamed("node", "_up").coalesce(files).checkpoint()
         below = [x.withColumn("_up", F.floor(F.col("node") / fanout)).join(differ, ["file", "_up"], "left_semi") for x in (own_a, own_b)]
         differ = _differing(*below)
-    differ = differ.checkpoint()
+    differ = differ.coalesce(files).checkpoint()
 
     def suspect(leaves: DataFrame, tag: str) -> DataFrame:
         rows = leaves.withColumn("node", F.floor(F.col("offset") / range_bytes)).join(differ, ["file", "node"], "left_semi")

@@ -29,6 +29,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.tables import files_for
 from meterlake.scratch import checkpoint_dir
 
 RULES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,19 @@ from meterlake.llm import (
     token_counts,
 )
 
+from meterlake.llm.tables import files_for
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def sized(out: DataFrame, source: DataFrame) -> DataFrame:
+    """A result about as long as its source, in as many partitions (files)
+    as the source's rows ask for."""
+    return out.coalesce(files_for(source.sparkSession, source.count()))
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -106,17 +115,27 @@ def op10_url_filter(spark, sf_dir):
     return host_reputation.judge_urls(pages, host_reputation.labelled_pages(pages, docs, labels))
 
 
+def _sized_by(name: str, query):
+    """The query, its result sized by the table that it goes through."""
+
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        return sized(query(spark, sf_dir), table(spark, sf_dir, name))
+
+    return run
+
+
 QUERIES = {
-    "op1_merkle_fixity": op1_merkle_fixity,
-    "op2_simhash_near_dedup": op2_simhash_near_dedup,
-    "op3_sentencepiece": op3_sentencepiece,
-    "op4_exact_dedup": op4_exact_dedup,
-    "op5_token_counts": op5_token_counts,
-    "op6_html_extraction": op6_html_extraction,
-    "op7_licence_scan": op7_licence_scan,
-    "op8_quality_classifier": op8_quality_classifier,
-    "op9_benchmark_decontamination": op9_benchmark_decontamination,
-    "op10_url_filter": op10_url_filter,
+    "op1_merkle_fixity": _sized_by("pages", op1_merkle_fixity),
+    "op2_simhash_near_dedup": _sized_by("documents", op2_simhash_near_dedup),
+    "op3_sentencepiece": _sized_by("documents", op3_sentencepiece),
+    "op4_exact_dedup": _sized_by("documents", op4_exact_dedup),
+    "op5_token_counts": _sized_by("documents", op5_token_counts),
+    "op6_html_extraction": _sized_by("pages", op6_html_extraction),
+    "op7_licence_scan": _sized_by("documents", op7_licence_scan),
+    "op8_quality_classifier": _sized_by("documents", op8_quality_classifier),
+    "op9_benchmark_decontamination": _sized_by("documents", op9_benchmark_decontamination),
+    "op10_url_filter": _sized_by("pages", op10_url_filter),
 }
 
 ORACLE_SQL = {

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.components import connected_components
 from meterlake.llm.names import keep_listed, own_columns, unused
+from meterlake.llm.tables import files_for
 from meterlake.scratch import checkpoint_dir
 
 WORDS = 3
@@ -221,18 +222,19 @@ def near_groups(
     """Per row: doc_id, text_hash, fingerprint (bigint), component_id and
     ``first`` — whether the row is the one of its component to keep."""
     checkpoint_dir(docs.sparkSession)
-    prints = fingerprints(docs, words, id_col, text_col).checkpoint()
+    files = files_for(docs.sparkSession, docs.count())
+    prints = fingerprints(docs, words, id_col, text_col).coalesce(files).checkpoint()
     # a null id loses against any id; equal ids are told apart by the text
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    classes = prints.groupBy("fingerprint").agg(F.min(order).alias("best")).checkpoint()
-    linked = connected_components(links(classes.select("fingerprint"), max_bits), "a", "b")
+    classes = prints.groupBy("fingerprint").agg(F.min(order).alias("best")).coalesce(files).checkpoint()
+    linked = connected_components(links(classes.select("fingerprint"), max_bits), "a", "b", files)
     linked = classes.join(linked, classes["fingerprint"] == linked["node"]).select("fingerprint", "component", "best")
     least = linked.groupBy("component").agg(F.min("best").alias("least"))
-    ties = linked.join(least, "component").select("fingerprint", "least").checkpoint()
+    ties = linked.join(least, "component").select("fingerprint", "least")
     # a table of its own: both sides of the last join are then plain shuffles,
     # which AQE splits where one fingerprint has very many rows
     whole = classes.join(ties, "fingerprint", "left").select("fingerprint", F.coalesce("least", "best").alias("least"))
-    whole = whole.checkpoint()
+    whole = whole.coalesce(files).checkpoint()
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     return prints.join(whole, "fingerprint").select(
         "doc_id",
