@@ -1,11 +1,10 @@
 """DataFrame operators; each takes and returns DataFrames and never collects rows."""
 
 from meterlake.operators.conform import combine_feeds, conform
-from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, TimeBounds, bound_target, insert_missing, time_bounds
-from meterlake.operators.report import batch_report, device_stats, with_totals
+from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, TimeBounds, bound_target, insert_missing, stored_keys
+from meterlake.operators.report import batch_report, device_stats, listed_devices, with_totals
 from meterlake.operators.select import (
     DEFAULT_BROADCAST_IDS,
-    count_and_fit,
     first_row_per_device,
     fits_broadcast,
     known_devices,
@@ -20,15 +19,15 @@ __all__ = [
     "batch_report",
     "bound_target",
     "combine_feeds",
-    "count_and_fit",
     "conform",
     "device_stats",
     "first_row_per_device",
     "fits_broadcast",
     "insert_missing",
     "known_devices",
+    "listed_devices",
     "registry_ids",
-    "time_bounds",
+    "stored_keys",
     "with_position",
     "with_totals",
 ]

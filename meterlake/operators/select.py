@@ -25,12 +25,6 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def count_and_fit(df: DataFrame, max_rows: int) -> tuple[int, bool]:
-    """Row count (one number back) and whether it allows a broadcast."""
-    n = df.count()
-    return n, n <= max_rows
-
-
 def known_devices(
     rows: DataFrame,
     ids: DataFrame,
@@ -61,21 +55,31 @@ def known_devices(
     return rows.join(right, column(layout.device, rows) == F.col("_known_id"), "left_semi")
 
 
-def first_row_per_device(rows: DataFrame, layout: Layout) -> DataFrame:
+def first_row_per_device(rows: DataFrame, layout: Layout, max_broadcast: int = DEFAULT_BROADCAST_IDS) -> DataFrame:
     """First row of each device in (time, event, other columns) order, nulls
-    first, as one grouped ``min`` over a row struct.
-
-    ``min`` aggregates partially on the map side, so a device holding a third
-    of all rows still costs one small record per task, unlike a window over
-    the device. The trailing columns make ties deterministic.
+    first.
+
+    The first time of each device is a hash aggregate of two primitives (is
+    any time null, smallest time), partial on the map side: a device holding a
+    third of all rows costs one small record per task, and the wide rows are
+    not sorted. Joined back, it leaves each device's rows of that time, and
+    only those are compared as a whole (ties become deterministic). The firsts
+    are one row per device; they are broadcast when counted to be few enough.
     """
-    rest = [n for n in layout.names if n not in layout.key]
+    checkpoint_dir(rows.sparkSession)
+    dev, time = column(layout.device), column(layout.time)
+    firsts = rows.groupBy(dev.alias("_dev")).agg(F.max(time.isNull()).alias("_none"), F.min(time).alias("_first"))
+    # where some time is null, the first time is null
+    firsts = firsts.select("_dev", F.when(~F.col("_none"), F.col("_first")).alias("_first")).checkpoint(eager=True)
+    if fits_broadcast(firsts, max_broadcast):
+        firsts = F.broadcast(firsts)
+    same = dev.eqNullSafe(F.col("_dev")) & time.eqNullSafe(F.col("_first"))
+    few = rows.join(firsts, same, "left_semi")
+    rest = [n for n in layout.names if n not in (layout.device, layout.time, layout.event)]
     order = [layout.time, layout.event] + rest
     packed = F.struct(*[column(n).alias(n) for n in order])
-    first = rows.groupBy(column(layout.device).alias(layout.device)).agg(F.min(packed).alias("_first"))
-    return first.select(
-        *[column(layout.device) if n == layout.device else F.col("_first")[n].alias(n) for n in layout.names]
-    )
+    best = few.groupBy(dev.alias(layout.device)).agg(F.min(packed).alias("_best"))
+    return best.select(*[dev if n == layout.device else F.col("_best")[n].alias(n) for n in layout.names])
 
 
 def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
@@ -86,9 +90,13 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
     (one row per partition) are broadcast.
     """
     checkpoint_dir(df.sparkSession)
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # a row hash ends the range key: rows equal in the order columns but not
+    # in others may lie in several ranges
+    ranked = df.withColumn("_row_hash", F.xxhash64(*[column(c) for c in df.columns]))
+    keys = [*order, F.col("_row_hash")]
+    ordered = ranked.repartitionByRange(*keys).sortWithinPartitions(*keys)
     tagged = ordered.select(
-        "*",
+        *[column(c) for c in df.columns],
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().alias("_row_id"),
     ).checkpoint(eager=True)

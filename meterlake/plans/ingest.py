@@ -1,21 +1,26 @@
 """Daily ingest as one set-based job over all devices.
 
-Plan of ``store_batch`` (boundaries in brackets):
-
-1. semi join of the batch with the registry ids [broadcast, size-checked;
-   a large registry is first narrowed to the batch's devices];
-2. stats per device and partition touched (rows, first/last time)
-   [partial aggregation; a small result, checkpointed];
-3. target = stored keys in the partitions the batch touches (folder
-   pruning) and its time range (Parquet pruning), kept only inside a
-   batch range of their device and partition [broadcast of the stats,
-   size-checked];
-4. anti join batch ▷ target on (device, time, event null-safe): a
-   broadcast of the stored keys when their counted number is small, else a
-   sort-merge join [one shuffle on the full key, so a hot device spreads
-   over all tasks; AQE splits a skewed key];
-5. one append, range-clustered by (partition, day, device, time, event);
-6. report from the stats (+ totals from the table) [checkpointed].
+Plan of ``store_batch`` (in brackets: what moves):
+
+1. registry reduced to (device, times listed) and staged; its row count says
+   whether it may be broadcast;
+2. the batch's known rows staged once as Parquet under the checkpoint folder
+   [broadcast semi join; a larger registry is first narrowed to the devices
+   of the staged batch]: later steps read only the columns they need, and a
+   lost executor costs no re-parse of the CSV files;
+3. stats per device and table folder touched: rows, first and last time
+   [partial aggregation; a small staged result];
+4. target keys = three columns of the touched folders that exist, in the
+   batch's time range (pushed down) and inside the device's ranges
+   [broadcast of the stats, size-checked];
+5. stored keys = distinct batch keys that are in the target [one narrow
+   shuffle of either side], staged and counted: few in a daily load;
+6. new rows = batch anti join stored keys [broadcast up to the limit, else a
+   sort-merge join], appended through one range shuffle of the wide rows;
+   nothing is written when no row is left;
+7. report from registry and stats (+ totals from the table) [checkpointed].
+
+All staged files of a load are deleted at its end.
 """
 
 from __future__ import annotations
@@ -23,71 +28,84 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
 from meterlake.operators.conform import combine_feeds, conform
-from meterlake.operators.merge import DEFAULT_BROADCAST_KEYS, TimeBounds, bound_target, exact_time, insert_missing
-from meterlake.operators.report import batch_report, device_stats, with_totals
-from meterlake.operators.select import DEFAULT_BROADCAST_IDS, count_and_fit, known_devices, registry_ids
-from meterlake.schemas import CANONICAL_FEEDS, DayFeeds
-from meterlake.scratch import checkpoint_dir
+from meterlake.operators.merge import (
+    DEFAULT_BROADCAST_KEYS,
+    TimeBounds,
+    bound_target,
+    exact_time,
+    insert_missing,
+    stored_keys,
+)
+from meterlake.operators.report import batch_report, device_stats, listed_devices, with_totals
+from meterlake.operators.select import DEFAULT_BROADCAST_IDS, known_devices, registry_ids
+from meterlake.schemas import CANONICAL_FEEDS, DayFeeds, Layout
+from meterlake.scratch import checkpoint_dir, delete_path, scratch_path
 from meterlake.sources.csv import day_inputs, has_event_feed, read_events, read_periodic, read_registry
-from meterlake.sources.table import TableSpec, read_table, table_exists, write_rows
+from meterlake.sources.table import TableSpec, read_table, stored_folders, table_exists, write_rows
 
 log = logging.getLogger(__name__)
 
 
-# Most partition values listed for the target; a batch spread over more is
-# bounded by its time range instead.
-MAX_LISTED_PARTITIONS = 4096
-
-
 @dataclass(frozen=True)
 class BatchSummary:
     """What the driver needs to plan the merge, from one aggregate over the
-    stats: time range, stats size and the partitions touched (None: more
-    than ``MAX_LISTED_PARTITIONS``)."""
+    stats: the time range and the size of the stats."""
 
     bounds: TimeBounds
     stats_rows: int
-    partitions: list | None
 
 
-def batch_summary(stats: DataFrame, spec: TableSpec) -> BatchSummary:
-    lay = spec.layout
-    dtype = lay.type_of(lay.time)
-    part = spec.partition_by if spec.partition_by in ("month", "day") else None
-    aggs = [
+def batch_summary(stats: DataFrame, layout: Layout) -> BatchSummary:
+    dtype = layout.type_of(layout.time)
+    row = stats.agg(
         exact_time(F.min("_low"), dtype).alias("lo"),
         exact_time(F.max("_high"), dtype).alias("hi"),
         F.count(F.lit(1)).alias("n"),
-    ]
-    if part:
-        aggs += [
-            F.count_distinct(part).alias("n_parts"),
-            F.slice(F.array_sort(F.collect_set(part)), 1, MAX_LISTED_PARTITIONS).alias("parts"),
-        ]
-    row = stats.agg(*aggs).first()
-    parts = None
-    if part and row["n_parts"] <= MAX_LISTED_PARTITIONS:
-        parts = list(row["parts"])
-    return BatchSummary(TimeBounds(row["lo"], row["hi"], dtype), row["n"], parts)
-
-
-def _partition_filter(spec: TableSpec, summary: BatchSummary) -> Column | None:
-    """Folders the batch touches: the list of its partition values when
-    short (one stray timestamp adds one folder, not the years between),
-    else the partition range of its time range."""
-    if spec.partition_by not in ("month", "day") or summary.bounds.low is None:
+    ).first()
+    return BatchSummary(TimeBounds(row["lo"], row["hi"], dtype), row["n"])
+
+
+def _stage(df: DataFrame, path: str) -> DataFrame:
+    """Written once as Parquet, read back with the same schema."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def target_keys(spark: SparkSession, spec: TableSpec, stats: DataFrame, max_broadcast: int) -> DataFrame:
+    """Keys of the stored rows that some row of the batch could match."""
+    lay = spec.layout
+    summary = batch_summary(stats, lay)
+    folders = None
+    if spec.derived_fields and spec.fmt == "parquet":
+        folders = stored_folders(spark, spec, stats, "_folder")
+    target = bound_target(
+        read_table(spark, spec, keep_partition=True, folders=folders),
+        lay,
+        summary.bounds,
+        device_ranges=stats if summary.stats_rows <= max_broadcast else None,
+    )
+    return target.select(*[column(k) for k in lay.key])
+
+
+def new_rows(
+    batch: DataFrame, target: DataFrame, layout: Layout, stage_path: str, max_broadcast_keys: int
+) -> DataFrame | None:
+    """Rows of the (staged) batch whose key the target lacks; None if there
+    are none. The wide rows meet only the few keys that both sides share."""
+    keys = batch.select(*[column(k) for k in layout.key])
+    stored = _stage(stored_keys(keys, target, layout), stage_path)
+    n = stored.count()
+    if n == 0:
+        return batch
+    strategy = "broadcast" if n <= max_broadcast_keys else "merge"
+    if insert_missing(keys, stored, layout, strategy).isEmpty():
         return None
-    part = F.col(spec.partition_by)
-    if summary.partitions is not None:
-        return part.isin(summary.partitions) if summary.partitions else F.lit(False)
-    b = summary.bounds
-    return part.between(spec.partition_value(b.low_literal()), spec.partition_value(b.high_literal()))
+    return insert_missing(batch, stored, layout, strategy)
 
 
 def store_batch(
@@ -97,55 +115,56 @@ def store_batch(
     with_row_totals: bool = False,
     max_broadcast: int = DEFAULT_BROADCAST_IDS,
     max_broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
-    cache_batch: bool = True,
 ) -> DataFrame:
     """Add to the table the rows of known devices whose key is not stored yet,
-    and return the (materialized) report: device_id, rows_stored
-    [, rows_total].
+    and return the (materialized) report: device_id, listed, rows_stored
+    [, rows_total]; the sum of ``listed`` is the registry's device count.
 
     ``rows`` must already have the table's layout; ``ids`` is a one-column
     frame of registry device ids. Safe to run again for the same batch:
     keyed rows are not duplicated.
     """
-    spark = rows.sparkSession
-    lay = spec.layout
+    spark, lay = rows.sparkSession, spec.layout
     checkpoint_dir(spark)
-    listed, small_registry = count_and_fit(ids, max_broadcast)
-    log.info("storing data from %d listed devices", listed)  # duplicates counted, as listed
-    known = known_devices(rows, ids, lay, broadcast_ids=small_registry, max_broadcast=max_broadcast)
-    if cache_batch:
-        # read the feeds once: stats, range sampling and the write reuse it;
-        # a lost block is recomputed from the (durable) input files
-        known = known.persist(StorageLevel.MEMORY_AND_DISK)
+    work = scratch_path(spark, "load")
     try:
-        part = spec.partition_by if spec.partition_by in ("month", "day") else None
-        scoped = known.withColumn(part, spec.partition_value(column(lay.time))) if part else known
-        # per device and partition touched: rows, first and last time
-        stats = device_stats(scoped, lay, by=part).checkpoint(eager=True)
-        if table_exists(spark, spec.path):
-            summary = batch_summary(stats, spec)
-            target = bound_target(
-                read_table(spark, spec, keep_partition=True, partitions=summary.partitions),
-                lay,
-                summary.bounds,
-                partition_filter=_partition_filter(spec, summary),
-                device_ranges=stats if summary.stats_rows <= max_broadcast else None,
-                partition_column=part,
-            )
-            target_keys = target.select(*[column(k) for k in lay.key])
-            # stored keys in range are counted before they may be broadcast
-            strategy = "broadcast" if target_keys.count() <= max_broadcast_keys else "merge"
-            new_rows = insert_missing(known, target_keys, lay, strategy)
-        else:
-            new_rows = known  # a new table: every batch row is missing
-        write_rows(new_rows, spec)
-        report = batch_report(ids, stats, lay)
+        registry = _stage(listed_devices(ids, lay), f"{work}/registry")
+        small = registry.count() <= max_broadcast
+        if not small:
+            rows = _stage(rows, f"{work}/delivered")
+        known = known_devices(rows, registry.select(column(lay.device)), lay, small, max_broadcast)
+        batch = _stage(known, f"{work}/batch")
+        folder = spec.folder()
+        scoped = batch.withColumn("_folder", folder) if folder is not None else batch
+        stats = device_stats(scoped, lay, by="_folder" if folder is not None else None)
+        stats = _stage(stats, f"{work}/stats")
+        add: DataFrame | None = batch
+        if stats.isEmpty():
+            add = None
+        elif table_exists(spark, spec.path):
+            add = new_rows(batch, target_keys(spark, spec, stats, max_broadcast), lay, f"{work}/stored", max_broadcast_keys)
+        if add is not None:
+            write_rows(add, spec)
+        report = batch_report(registry, stats, lay)
         if with_row_totals:
-            report = with_totals(report, read_table(spark, spec), lay)
-        return report.checkpoint(eager=True)
+            report = report.checkpoint(eager=True)
+            report = with_totals(report, _reporting_rows(spark, spec, report), lay)
+        report = report.checkpoint(eager=True)
+        log.info("stored data from %d listed devices", report.agg(F.sum("listed")).first()[0] or 0)
+        return report
     finally:
-        if cache_batch:
-            known.unpersist()
+        delete_path(spark, work)
+
+
+def _reporting_rows(spark: SparkSession, spec: TableSpec, report: DataFrame) -> DataFrame:
+    """Stored rows of folders that may hold a reporting device: with buckets,
+    those of its bucket (at most ``spec.buckets`` numbers reach the driver)."""
+    rows = read_table(spark, spec, keep_partition=True)
+    if spec.partition_by != "bucket":
+        return rows
+    bucket = spec.bucket_value(column(spec.layout.device)).alias("bucket")
+    used = report.where(F.col("rows_stored") > 0).select(bucket).distinct().collect()
+    return rows.where(F.col("bucket").isin([r["bucket"] for r in used]))
 
 
 def load_day(spark: SparkSession, date: str, in_dir: str, spec: TableSpec, feeds: DayFeeds = CANONICAL_FEEDS):

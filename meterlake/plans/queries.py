@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.columns import column
 from meterlake.operators.conform import combine_feeds, conform
 from meterlake.operators.merge import insert_missing
-from meterlake.operators.report import batch_report, device_stats
+from meterlake.operators.report import batch_report, device_stats, listed_devices
 from meterlake.operators.select import first_row_per_device, known_devices, registry_ids, with_position
 from meterlake import schemas as S
 from meterlake.plans import roles
@@ -30,14 +30,17 @@ def _order():
     return [column(n).asc_nulls_first() for n in NARROW.names if n != NARROW.device]
 
 
-# Rows already stored / delivered again in the merge queries: two
-# overlapping status sets, so some keys sit on both sides with other measures.
-EXISTING_STATUS = ("F", "view", "click")
-DELIVERED_STATUS = ("O", "F", "view", "error", "purchase")
+# Rows already stored / delivered in the merge queries, by a number made from
+# the key (modulo 5): every row is on one side at least, two fifths of the keys
+# are on both, and there the delivered measures differ from the stored ones.
+EXISTING_PARTS = (0, 1, 2)
+DELIVERED_PARTS = (1, 2, 3, 4)
+REDELIVERED_BY = 1000.0
 
 
 def _spec(spark: SparkSession, tag: str, partition_by: str | None = "month") -> TableSpec:
-    return TableSpec(scratch_path(spark, tag), NARROW, partition_by=partition_by)
+    # few buckets: the tables spread few rows over some 90 months
+    return TableSpec(scratch_path(spark, tag), NARROW, partition_by=partition_by, buckets=4)
 
 
 def q_registry_ids(spark, sf_dir):
@@ -63,7 +66,7 @@ def q_known_devices(spark, sf_dir):
 
 
 def q_one_device(spark, sf_dir):
-    spec = _spec(spark, "one-device")
+    spec = _spec(spark, "one-device", "bucket")
     create_table(roles.known_rows(spark, sf_dir), spec)
     return with_position(read_device(spark, spec, roles.DEVICE_PROBE), _order())
 
@@ -74,12 +77,20 @@ def q_create_table(spark, sf_dir):
     return stored_rows(spark, spec)
 
 
+def _part(rows):
+    number = F.coalesce(column("event_id"), F.dayofmonth(column("timestamp")).cast("long"))
+    return F.pmod(column("device_id") + number, F.lit(5))
+
+
 def _existing(spark, sf_dir):
-    return roles.known_rows(spark, sf_dir).where(F.col("status").isin(*EXISTING_STATUS))
+    rows = roles.known_rows(spark, sf_dir)
+    return rows.where(_part(rows).isin(*EXISTING_PARTS))
 
 
 def _delivered(spark, sf_dir):
-    return roles.known_rows(spark, sf_dir).where(F.col("status").isin(*DELIVERED_STATUS))
+    rows = roles.known_rows(spark, sf_dir)
+    rows = rows.where(_part(rows).isin(*DELIVERED_PARTS))
+    return rows.withColumns({c: column(c) + F.lit(REDELIVERED_BY) for c in ("qty", "value")})
 
 
 def q_insert_missing(spark, sf_dir):
@@ -99,7 +110,7 @@ def q_insert_missing_stored(spark, sf_dir):
 def q_batch_report(spark, sf_dir):
     ids = roles.customer_ids(spark, sf_dir)
     known = known_devices(roles.combined_rows(spark, sf_dir), ids, NARROW)
-    return batch_report(ids, device_stats(known, NARROW), NARROW)
+    return batch_report(listed_devices(ids, NARROW), device_stats(known, NARROW), NARROW)
 
 
 def _two_days(spark, sf_dir):
@@ -111,7 +122,7 @@ def _two_days(spark, sf_dir):
 
 def q_batch_report_totals(spark, sf_dir):
     in_dir = _two_days(spark, sf_dir)
-    spec = _spec(spark, "report")
+    spec = _spec(spark, "report", "bucket")
     ingest_day(spark, roles.DAY_A[0], in_dir, spec, roles.NARROW_FEEDS)
     return ingest_day(spark, roles.DAY_B[0], in_dir, spec, roles.NARROW_FEEDS, with_row_totals=True)
 
@@ -148,19 +159,61 @@ def q_ingest_day(spark, sf_dir):
     return stored_rows(spark, spec)
 
 
+def _wall_clock(rows):
+    """Instants as session wall-clock time, for comparison."""
+    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def q_canonical_feeds(spark, sf_dir):
-    """Both feeds in their full shapes (244 / 31 fields) through CSV, the
-    arity gate and the 244-column conform; instants shown as session
-    wall-clock time (timestamp_ntz) for comparison."""
+    """Both feeds in their full shapes (244 / 31 fields, each with a value of
+    its own) through CSV, the arity gate and the 244-column conform."""
     in_dir = scratch_path(spark, "in")
-    paths = day_inputs(in_dir, "d")
-    roles.write_csv(roles.registry_csv_rows(spark, sf_dir), paths.registry)
-    roles.write_csv(
-        roles.feed_shaped_rows(spark, sf_dir, "lineitem", S.PERIODIC, roles.PERIODIC_FROM_LINEITEM), paths.periodic
-    )
-    roles.write_csv(roles.feed_shaped_rows(spark, sf_dir, "events", S.EVENT, roles.EVENT_FROM_EVENTS), paths.events)
+    roles.write_full_day(spark, sf_dir, in_dir, ("d", (None, None), (None, None)))
     _, rows = load_day(spark, "d", in_dir, TableSpec(scratch_path(spark, "unused")), S.CANONICAL_FEEDS)
-    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return _wall_clock(rows)
+
+
+def q_ingest_canonical(spark, sf_dir):
+    """Two overlapping delivery dates of the full feeds, stored in the default
+    layout and read back."""
+    in_dir = scratch_path(spark, "in")
+    spec = TableSpec(scratch_path(spark, "canonical"))
+    for day in (roles.DAY_A, roles.DAY_B):
+        ingest_day(spark, roles.write_full_day(spark, sf_dir, in_dir, day), in_dir, spec)
+    return _wall_clock(stored_rows(spark, spec))
+
+
+def q_ingest_odd_times(spark, sf_dir):
+    """All rows, some with a null time or a time of the years 2 to 12024,
+    stored twice; shown by year and the rest of the time."""
+    spec = _spec(spark, "odd")
+    ids, rows = roles.supplier_ids(spark, sf_dir), roles.odd_time_rows(spark, sf_dir)
+    for _ in range(2):
+        store_batch(rows, ids, spec)
+    stored = stored_rows(spark, spec)
+    time = column("timestamp")
+    return stored.select(
+        *[column(c) for c in stored.columns if c != "timestamp"],
+        F.year(time).alias("year"),
+        F.date_format(time, "MM-dd HH:mm:ss").alias("rest"),
+    )
+
+
+def _edge_load(spark, sf_dir):
+    in_dir, spec = scratch_path(spark, "in"), _spec(spark, "edge")
+    roles.write_edge_day(spark, sf_dir, in_dir)
+    report = ingest_day(spark, roles.EDGE_DATE, in_dir, spec, roles.EDGE_FEEDS, with_row_totals=True)
+    return spec, report
+
+
+def q_ingest_edge_rows(spark, sf_dir):
+    """Stored rows of a date with missing, malformed, short and long lines."""
+    return stored_rows(spark, _edge_load(spark, sf_dir)[0])
+
+
+def q_ingest_edge_report(spark, sf_dir):
+    """Its report: devices as often as listed, null and malformed ids left out."""
+    return _edge_load(spark, sf_dir)[1]
 
 
 def q_first_row_per_device(spark, sf_dir):
@@ -184,6 +237,10 @@ QUERIES = {
     "ingest_day": q_ingest_day,
     "first_row_per_device": q_first_row_per_device,
     "canonical_feeds": q_canonical_feeds,
+    "ingest_canonical": q_ingest_canonical,
+    "ingest_odd_times": q_ingest_odd_times,
+    "ingest_edge_rows": q_ingest_edge_rows,
+    "ingest_edge_report": q_ingest_edge_report,
 }
 
 
@@ -235,13 +292,13 @@ def _range_where(column_name: str, bounds) -> str:
     return ("WHERE " + " AND ".join(parts)) if parts else ""
 
 
-def _status_in(values) -> str:
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
-
-
 _ORDER_SQL = ", ".join(f'"{n}" NULLS FIRST' for n in NARROW.names if n != NARROW.device)
-_EXISTING = f'SELECT * FROM ({_known_sql()}) k WHERE "status" IN {_status_in(EXISTING_STATUS)}'
-_DELIVERED = f'SELECT * FROM ({_known_sql()}) k WHERE "status" IN {_status_in(DELIVERED_STATUS)}'
+_PART = '("device_id" + COALESCE("event_id", CAST(day("timestamp") AS BIGINT))) % 5'
+_EXISTING = f'SELECT * FROM ({_known_sql()}) k WHERE {_PART} IN (0, 1, 2)'
+_DELIVERED = (
+    'SELECT "device_id", "timestamp", "event_id", "qty" + 1000 AS "qty", "price", "value" + 1000 AS "value", "status" '
+    f'FROM ({_known_sql()}) k WHERE {_PART} IN (1, 2, 3, 4)'
+)
 _MERGED = (
     f"SELECT {COLS} FROM ({_EXISTING}) e0 UNION ALL "
     f"SELECT {COLS} FROM ({_DELIVERED}) d WHERE NOT EXISTS (SELECT 1 FROM ({_EXISTING}) e "
@@ -252,35 +309,71 @@ _DAY_B_KNOWN = _known_sql(
     _range_where("l_shipdate", roles.DAY_B[1]), _range_where("ts", roles.DAY_B[2])
 )
 
+# Event fields and the canonical columns they fill, written out from the feed
+# documents (not taken from ``schemas``, which this checks). FIXED VALUES.
+EVENT_PAIRS = [
+    ("UL1", "ul1v"), ("UL2", "ul2v"), ("UL3", "ul3v"),
+    ("U12", "ul12v"), ("U23", "ul23v"), ("U31", "ul31v"),
+    ("IL1", "il1a"), ("IL2", "il2a"), ("IL3", "il3a"), ("IN", "i_n"),
+    ("TDUL1", "dl1"), ("TDUL2", "dl2"), ("TDUL3", "dl3"),
+    ("TDIL1", "tdil1"), ("TDIL2", "tdil2"), ("TDIL3", "tdil3"),
+    ("P1L1", "p1l1"), ("P1L2", "p1l2"), ("P1L3", "p1l3"),
+    ("Q1L1", "q1l1"), ("Q1L2", "q1l2"), ("Q1L3", "q1l3"),
+    ("DPFL1", "dpfl1"), ("DPFL2", "dpfl2"), ("DPFL3", "dpfl3"),
+    ("freq", "fhz"), ("U2/U1", "u2u1"), ("U0/U1", "u0u1"),
+]
 _DUCK_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER", "string": "VARCHAR"}
 
 
-def _canonical_sql() -> str:
-    """The 244-column rows of both feeds, filled as in ``roles``."""
-    # canonical column <- feed field <- table column
-    periodic_fill = {
-        canon: roles.PERIODIC_FROM_LINEITEM[field]
-        for canon, field in S.PERIODIC_MAP.items()
-        if field in roles.PERIODIC_FROM_LINEITEM
-    }
-    event_fill = {
-        canon: roles.EVENT_FROM_EVENTS[field] for canon, field in S.EVENT_MAP.items() if field in roles.EVENT_FROM_EVENTS
-    }
-
-    def select(fill, table_name):
-        cols = []
-        for f in S.CANONICAL.fields:
-            typ = _DUCK_TYPES.get(f.dataType.simpleString())
-            src = fill.get(f.name)
-            if f.name == "timestamp":
-                cols.append(f'{src} AS "timestamp"')
-            elif src is None:
-                cols.append(f'CAST(NULL AS {typ}) AS "{f.name}"')
-            else:
-                cols.append(f'CAST({src} AS {typ}) AS "{f.name}"')
-        return f"SELECT {', '.join(cols)} FROM {table_name}"
-
-    return f"{select(periodic_fill, 'lineitem')} UNION ALL {select(event_fill, 'events')}"
+def canonical_sql(known_only: bool, event_pairs=None) -> str:
+    """The 244-column rows of both feeds, filled as in ``roles``: position i of
+    the periodic feed carries quantity, line number or flag with 1000 i, field
+    i of the event feed value + 1000 i (the first three fields are keys)."""
+    position = {canon: i for i, (_, canon) in enumerate(event_pairs or EVENT_PAIRS, 3)}
+    periodic = ['l_suppkey AS "device_id"', 'l_shipdate AS "timestamp"', 'CAST(NULL AS BIGINT) AS "event_id"']
+    events = ['user_id AS "device_id"', 'ts AS "timestamp"', 'event_id AS "event_id"']
+    for i, f in enumerate(S.CANONICAL.fields[3:], 3):
+        kind = f.dataType.simpleString()
+        value = {
+            "double": f"l_quantity + {1000 * i}",
+            "int": f"CAST(l_linenumber + {1000 * i} AS INTEGER)",
+            "string": f"l_returnflag || '-{i}'",
+        }[kind]
+        periodic.append(f'{value} AS "{f.name}"')
+        own = f"value + {1000 * position[f.name]}" if f.name in position else "NULL"
+        events.append(f'CAST({own} AS {_DUCK_TYPES[kind]}) AS "{f.name}"')
+    sides = [(periodic, "lineitem", "l_suppkey"), (events, "events", "user_id")]
+    known = " WHERE {} IN (SELECT s_suppkey FROM supplier)" if known_only else ""
+    return " UNION ALL ".join(f"SELECT {', '.join(cols)} FROM {t}{known.format(dev)}" for cols, t, dev in sides)
+
+
+def _odd_sql() -> str:
+    key = '("device_id" + CAST(floor(COALESCE("qty", "value", 0.0)) AS BIGINT)) % 13'
+    key = f"(({key}) + 13) % 13"
+    cases = " ".join(
+        f'WHEN {k} THEN "timestamp" + INTERVAL ({years}) YEAR' for k, years in roles.ODD_SHIFTS.items() if years is not None
+    )
+    moved = f'SELECT *, CASE {key} WHEN 0 THEN NULL {cases} ELSE "timestamp" END AS t FROM ({_known_sql()}) k'
+    cols = (
+        '"device_id", "event_id", "qty", "price", "value", "status", CAST(year(t) AS INTEGER) AS "year", '
+        "strftime(t, '%m-%d %H:%M:%S') AS \"rest\""
+    )
+    # a row with a null time is inserted by either load
+    return f"WITH m AS ({moved}) SELECT {cols} FROM m UNION ALL SELECT {cols} FROM m WHERE t IS NULL"
+
+
+_EDGE_ROWS = (
+    'SELECT CASE k WHEN 1 THEN NULL ELSE l_suppkey END AS "device_id", '
+    'CASE WHEN k IN (2, 3) THEN NULL ELSE l_shipdate END AS "timestamp", CAST(NULL AS BIGINT) AS "event_id", '
+    'CASE WHEN k IN (4, 5) THEN NULL ELSE l_quantity END AS "qty", '
+    'CASE WHEN k = 4 THEN NULL ELSE l_extendedprice END AS "price", CAST(NULL AS DOUBLE) AS "value", '
+    'CASE WHEN k = 4 THEN NULL ELSE l_linestatus END AS "status" '
+    "FROM (SELECT *, (l_orderkey + l_linenumber) % 8 AS k FROM lineitem) x"
+)
+_EDGE_STORED = (
+    f"SELECT {COLS} FROM ({_EDGE_ROWS} UNION ALL {_event_sql()}) c "
+    'WHERE "device_id" IN (SELECT s_suppkey FROM supplier)'
+)
 
 
 ORACLE_SQL = {
@@ -297,16 +390,16 @@ ORACLE_SQL = {
     "insert_missing": _MERGED,
     "insert_missing_stored": _MERGED,
     "batch_report": (
-        'SELECT r."device_id", COALESCE(b.n, 0) AS "rows_stored" '
-        'FROM (SELECT DISTINCT c_custkey AS "device_id" FROM customer WHERE c_custkey IS NOT NULL) r '
+        'SELECT r."device_id", r."listed", COALESCE(b.n, 0) AS "rows_stored" '
+        'FROM (SELECT c_custkey AS "device_id", count(*) AS "listed" FROM customer WHERE c_custkey IS NOT NULL GROUP BY 1) r '
         f'LEFT JOIN (SELECT "device_id", count(*) AS n FROM {_combined_sql()} c '
         'WHERE EXISTS (SELECT 1 FROM customer x WHERE x.c_custkey = c."device_id") GROUP BY 1) b '
         'ON b."device_id" = r."device_id"'
     ),
     "batch_report_totals": (
-        'SELECT r."device_id", COALESCE(b.n, 0) AS "rows_stored", '
+        'SELECT r."device_id", r."listed", COALESCE(b.n, 0) AS "rows_stored", '
         'CASE WHEN COALESCE(b.n, 0) > 0 THEN COALESCE(t.n, 0) END AS "rows_total" '
-        'FROM (SELECT DISTINCT s_suppkey AS "device_id" FROM supplier WHERE s_suppkey IS NOT NULL) r '
+        'FROM (SELECT s_suppkey AS "device_id", count(*) AS "listed" FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY 1) r '
         f'LEFT JOIN (SELECT "device_id", count(*) AS n FROM ({_DAY_B_KNOWN}) k GROUP BY 1) b '
         'ON b."device_id" = r."device_id" '
         f'LEFT JOIN (SELECT "device_id", count(*) AS n FROM ({_known_sql()}) k GROUP BY 1) t '
@@ -322,5 +415,14 @@ ORACLE_SQL = {
         f"SELECT {COLS} FROM (SELECT *, row_number() OVER (PARTITION BY \"device_id\" "
         f"ORDER BY {_ORDER_SQL}) AS rn FROM ({_known_sql()}) k) r WHERE rn = 1"
     ),
-    "canonical_feeds": _canonical_sql(),
+    "canonical_feeds": canonical_sql(known_only=False),
+    "ingest_canonical": canonical_sql(known_only=True),
+    "ingest_odd_times": _odd_sql(),
+    "ingest_edge_rows": _EDGE_STORED,
+    "ingest_edge_report": (
+        'SELECT r."device_id", r."listed", COALESCE(b.n, 0) AS "rows_stored", b.n AS "rows_total" '
+        'FROM (SELECT s_suppkey AS "device_id", CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END AS "listed" FROM supplier) r '
+        f'LEFT JOIN (SELECT "device_id", count(*) AS n FROM ({_EDGE_STORED}) k GROUP BY 1) b '
+        'ON b."device_id" = r."device_id"'
+    ),
 }

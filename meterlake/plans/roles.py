@@ -9,7 +9,7 @@ overlapping, so that a re-delivered key is seen twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
@@ -17,7 +17,9 @@ from meterlake.operators.conform import combine_feeds, conform
 from meterlake.operators.select import known_devices, registry_ids
 from meterlake.schemas import (
     DOUBLE,
+    EVENT,
     LONG,
+    PERIODIC,
     REGISTRY_FEED,
     STRING,
     TIMESTAMP_NTZ,
@@ -181,42 +183,118 @@ def write_day(spark: SparkSession, sf_dir: str, in_dir: str, day=DAY_A, event_fe
     return date
 
 
-# The generated tables in the full feed shapes (244 and 31 fields): which
-# table column fills which feed field; every other field is an empty cell.
-PERIODIC_FROM_LINEITEM = {
-    "id": "l_orderkey",
-    "meter": "l_suppkey",
-    "timestamp": "l_shipdate",
-    "fhz": "l_quantity",
-    "pw": "l_extendedprice",
-    "p1l1": "l_discount",
-    "p1l2": "l_tax",
-    "jd": "l_linenumber",
-    "rec_source": "l_returnflag",
-    "io": "l_linestatus",
-}
-EVENT_FROM_EVENTS = {
-    "meter": "user_id",
-    "event_id": "event_id",
-    "timestamp": "ts",
-    "freq": "value",
-    "UL1": "value",
-    "TDUL1": "value",
-}
+# The generated tables in the full feed shapes (244 and 31 fields). The key
+# fields come from the tables; every other field of position i carries a value
+# of its own, made from one column of its type and i.
+PERIODIC_KEYS = {"id": "l_orderkey", "meter": "l_suppkey", "timestamp": "l_shipdate"}
+EVENT_KEYS = {"meter": "user_id", "event_id": "event_id", "timestamp": "ts"}
+PERIODIC_SOURCES = {"double": "l_quantity", "int": "l_linenumber", "string": "l_returnflag"}
+EVENT_SOURCES = {"double": "value"}
+STEP = 1000  # distance between the values of neighbouring positions
 _TEXT_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def feed_shaped_rows(spark: SparkSession, sf_dir: str, table_name: str, schema, fill: dict) -> DataFrame:
+def feed_shaped_rows(src: DataFrame, schema, keys: dict, sources: dict) -> DataFrame:
     """A table in a feed's positional shape; times as wall-clock text, the
     way the feed delivers them (parsed in the session time zone on read)."""
-    src = table(spark, sf_dir, table_name)
     cols = []
-    for f in schema.fields:
-        name = fill.get(f.name)
-        if name is None:
-            cols.append(F.lit(None).cast("string").alias(f.name))
-        elif f.name == "timestamp":
-            cols.append(F.date_format(F.col(name), _TEXT_TIME).alias(f.name))
+    for i, f in enumerate(schema.fields):
+        kind = f.dataType.simpleString()
+        if f.name == "timestamp":
+            value = F.date_format(F.col(keys[f.name]), _TEXT_TIME)
+        elif f.name in keys:
+            value = F.col(keys[f.name]).cast(f.dataType)
+        elif kind == "string":
+            value = F.concat(F.col(sources[kind]), F.lit(f"-{i}"))
         else:
-            cols.append(F.col(name).cast(f.dataType).alias(f.name))
+            value = (F.col(sources[kind]) + F.lit(STEP * i)).cast(f.dataType)
+        cols.append(value.alias(f.name))
     return src.select(*cols)
+
+
+def full_periodic_rows(src: DataFrame) -> DataFrame:
+    return feed_shaped_rows(src, PERIODIC, PERIODIC_KEYS, PERIODIC_SOURCES)
+
+
+def full_event_rows(src: DataFrame) -> DataFrame:
+    return feed_shaped_rows(src, EVENT, EVENT_KEYS, EVENT_SOURCES)
+
+
+def write_full_day(spark: SparkSession, sf_dir: str, in_dir: str, day) -> str:
+    """The three files of one delivery date in the full feed shapes."""
+    date, periodic_range, event_range = day
+    paths = day_inputs(in_dir, date)
+    write_csv(registry_csv_rows(spark, sf_dir), paths.registry)
+    periodic = _in_range(table(spark, sf_dir, "lineitem"), "l_shipdate", periodic_range)
+    events = _in_range(table(spark, sf_dir, "events"), "ts", event_range)
+    write_csv(full_periodic_rows(periodic), paths.periodic)
+    write_csv(full_event_rows(events), paths.events)
+    return date
+
+
+# Odd times: by a number made from device and measure, some rows lose their
+# time or move by many years (Spark holds years beyond four digits).
+ODD_SHIFTS = {0: None, 1: 10_000, 2: 7_900, 3: -410, 4: -1_990}  # key % 13 -> years
+
+
+def odd_key(device: Column, measure: Column) -> Column:
+    return F.pmod(device + F.floor(F.coalesce(measure, F.lit(0.0))).cast("long"), F.lit(13))
+
+
+def odd_time_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All combined rows, some with a null time or one far off."""
+    rows = combined_rows(spark, sf_dir)
+    key = odd_key(column("device_id"), F.coalesce(column("qty"), column("value")))
+    time = column("timestamp")
+    moved = F.when(key == 0, F.lit(None).cast("timestamp_ntz"))
+    for k, years in ODD_SHIFTS.items():
+        if years is not None:
+            moved = moved.when(key == k, time + F.make_ym_interval(F.lit(years), F.lit(0)))
+    return rows.withColumn("timestamp", moved.otherwise(time))
+
+
+# Edge rows: CSV lines as a feed may deliver them, by line number modulo 8.
+EDGE_FEEDS = DayFeeds(
+    registry=Feed(REGISTRY_FEED.schema, REGISTRY_FEED.mapping, {"header": "false"}),
+    periodic=Feed(NARROW_PERIODIC_FEED.schema, NARROW_PERIODIC_FEED.mapping, {**_CSV_TIME, "header": "false"}),
+    events=NARROW_EVENT_FEED,
+)
+EDGE_DATE = "2024-01-31"
+
+
+def edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as CSV lines (id, meter, time, qty, price, status): 1: no
+    meter, 2: no time, 3: a time that is none, 4: only three cells, 5: a
+    quantity that is no number, 6: one cell too many, else sound."""
+    k = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(8))
+    time = F.date_format("l_shipdate", _TEXT_TIME)
+    meter = F.when(k == 1, F.lit("")).otherwise(F.col("l_suppkey").cast("string"))
+    time = F.when(k == 2, F.lit("")).when(k == 3, F.lit("no time")).otherwise(time)
+    qty = F.when(k == 5, F.lit("x1")).otherwise(F.col("l_quantity").cast("string"))
+    head = F.concat_ws(",", F.col("l_orderkey").cast("string"), meter, time)
+    whole = F.concat_ws(",", head, qty, F.col("l_extendedprice").cast("string"), "l_linestatus")
+    line = F.when(k == 4, head).when(k == 6, F.concat(whole, F.lit(",extra"))).otherwise(whole)
+    return table(spark, sf_dir, "lineitem").select(line.alias("value"))
+
+
+def edge_registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``supplier`` as CSV lines: every third id twice, one in seven with an
+    empty id line after it, one in five with a malformed one."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey")
+    rest = F.lit(",SN,site,1,1.5,2.5")
+    sound = F.concat(F.col("s_suppkey").cast("string"), rest)
+    lines = F.array(
+        sound,
+        F.when(F.col("s_suppkey") % 3 == 0, sound),
+        F.when(F.col("s_suppkey") % 7 == 0, rest),
+        F.when(F.col("s_suppkey") % 5 == 0, F.concat(F.lit("id"), sound)),
+    )
+    return s.select(F.explode(lines).alias("value")).where("value IS NOT NULL")
+
+
+def write_edge_day(spark: SparkSession, sf_dir: str, in_dir: str) -> str:
+    paths = day_inputs(in_dir, EDGE_DATE)
+    edge_registry_lines(spark, sf_dir).write.text(paths.registry)
+    edge_lines(spark, sf_dir).write.text(paths.periodic)
+    write_csv(event_csv_rows(spark, sf_dir), paths.events)
+    return EDGE_DATE

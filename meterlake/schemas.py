@@ -35,40 +35,42 @@ REGISTRY_FIELDS = [
 # Periodic feed: leading fields, then measures. Every measure is a double
 # unless listed in PERIODIC_INT / PERIODIC_STRING.
 PERIODIC_HEAD = [("id", LONG, False), ("meter", LONG, False), ("timestamp", TIMESTAMP, False)]
-PERIODIC_BEFORE_HARMONICS = (
-    "fhz pw qfryzevar q1var pl1w pl2w pl3w p1l1 p1l2 p1l3 "
-    "qfryzel1var qfryzel2var qfryzel3var q1l1 q1l2 q1l3 "
-    "sva sl1va sl2va sl3va s1l1 s1l2 s1l3 "
-    "ul1v ul2v ul3v ul12v ul23v ul31v il1a il2a il3a i_n tdil1 tdil2 tdil3"
-).split()
+PERIODIC_BEFORE_HARMONICS = [
+    "fhz", "pw", "qfryzevar", "q1var", "pl1w", "pl2w", "pl3w", "p1l1", "p1l2", "p1l3", "qfryzel1var",
+    "qfryzel2var", "qfryzel3var", "q1l1", "q1l2", "q1l3", "sva", "sl1va", "sl2va", "sl3va", "s1l1", "s1l2",
+    "s1l3", "ul1v", "ul2v", "ul3v", "ul12v", "ul23v", "ul31v", "il1a", "il2a", "il3a", "i_n", "tdil1",
+    "tdil2", "tdil3",
+]
 # Harmonic columns follow the rule <quantity><odd order>l<phase>, quantity
 # u then i, phase-major, odd orders 1..39 (see harmonic_names()).
 HARMONIC_QUANTITIES = ("u", "i")
 HARMONIC_PHASES = (1, 2, 3)
 HARMONIC_MAX_ORDER = 39
-PERIODIC_AFTER_HARMONICS = (
-    "u2u1 u0u1 udcl1 udcl2 udcl3 idcl1 idcl2 idcl3 idcn t1 t2 t3 t4 "
-    "udcl12 udcl23 udcl31 pfl1 pfl2 pfl3 dpfl1 dpfl2 dpfl3 "
-    "udevl1 udevl2 udevl3 odevl1 odevl2 odevl3 "
-    "umaxl12 umaxl23 umaxl31 umaxl1v umaxl2v umaxl3v imaxl1a imaxl2a imaxl3a "
-    "imaxn dmax tdimax u2u1max u0u1max "
-    "uminl1v uminl2v uminl3v iminl1a iminl2a iminl3a uminl12 uminl23 uminl31 "
-    "pfmin dpfmin pstl1 pstl2 pstl3 "
-    "jd js jus rec_source io flagged periods samples calc_t m0peak_t crc_status "
-    "io1 io2 io3 io4 io5 io6 io7 io8 "
-    "ep10wh ep_10wh eq10varh eq_10varh eq1_pos eq1_neg rec_no dl1 dl2 dl3"
-).split()
-PERIODIC_INT = set(
-    "jd js jus periods samples calc_t m0peak_t io1 io2 io3 io4 io5 io6 io7 io8 rec_no".split()
-)
-PERIODIC_STRING = set("rec_source io flagged crc_status".split())
+PERIODIC_AFTER_HARMONICS = [
+    "u2u1", "u0u1", "udcl1", "udcl2", "udcl3", "idcl1", "idcl2", "idcl3", "idcn", "t1", "t2", "t3", "t4",
+    "udcl12", "udcl23", "udcl31", "pfl1", "pfl2", "pfl3", "dpfl1", "dpfl2", "dpfl3", "udevl1", "udevl2",
+    "udevl3", "odevl1", "odevl2", "odevl3", "umaxl12", "umaxl23", "umaxl31", "umaxl1v", "umaxl2v",
+    "umaxl3v", "imaxl1a", "imaxl2a", "imaxl3a", "imaxn", "dmax", "tdimax", "u2u1max", "u0u1max", "uminl1v",
+    "uminl2v", "uminl3v", "iminl1a", "iminl2a", "iminl3a", "uminl12", "uminl23", "uminl31", "pfmin",
+    "dpfmin", "pstl1", "pstl2", "pstl3", "jd", "js", "jus", "rec_source", "io", "flagged", "periods",
+    "samples", "calc_t", "m0peak_t", "crc_status", "io1", "io2", "io3", "io4", "io5", "io6", "io7", "io8",
+    "ep10wh", "ep_10wh", "eq10varh", "eq_10varh", "eq1_pos", "eq1_neg", "rec_no", "dl1", "dl2", "dl3",
+]
+PERIODIC_INT = [
+    "jd", "js", "jus", "periods", "samples", "calc_t", "m0peak_t", "io1", "io2", "io3", "io4", "io5", "io6",
+    "io7", "io8", "rec_no",
+]
+PERIODIC_STRING = [
+    "rec_source", "io", "flagged", "crc_status",
+]
 
 # Event feed: leading fields, then 28 double measures.
 EVENT_HEAD = [("meter", LONG, False), ("event_id", LONG, False), ("timestamp", TIMESTAMP, False)]
-EVENT_MEASURES = (
-    "UL1 UL2 UL3 U12 U23 U31 IL1 IL2 IL3 IN TDUL1 TDUL2 TDUL3 TDIL1 TDIL2 TDIL3 "
-    "P1L1 P1L2 P1L3 Q1L1 Q1L2 Q1L3 DPFL1 DPFL2 DPFL3 freq U2/U1 U0/U1"
-).split()
+EVENT_MEASURES = [
+    "UL1", "UL2", "UL3", "U12", "U23", "U31", "IL1", "IL2", "IL3", "IN", "TDUL1", "TDUL2", "TDUL3", "TDIL1",
+    "TDIL2", "TDIL3", "P1L1", "P1L2", "P1L3", "Q1L1", "Q1L2", "Q1L3", "DPFL1", "DPFL2", "DPFL3", "freq",
+    "U2/U1", "U0/U1",
+]
 
 # Event measure -> canonical column; every other canonical measure is a
 # typed null on event rows.

@@ -32,3 +32,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new, unused folder under the checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/meterlake/{tag}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``scratch_path``."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

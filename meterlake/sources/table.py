@@ -6,11 +6,17 @@ Layouts (``TableSpec.partition_by``):
   range-partitioned and sorted by (day, device, time, event). A daily load
   touches one or two months, and Parquet min/max statistics prune both a
   device read and the key scan of a merge.
-* ``"day"`` — the same with one directory per day (large fleets per day).
+* ``"day"`` — one directory per day (large fleets per day).
+* ``"bucket"`` — month directories with ``buckets`` directories of devices
+  (device modulo ``buckets``) inside: a device read opens one bucket a month,
+  a daily load still one or two months.
 * ``"device"`` — one directory per device, like one table per device;
   suits small fleets only (files grow with devices x loads).
 * ``None`` — unpartitioned, still sorted.
 
+Partition values never become Python dates: folders are named and matched as
+text that Spark makes, so any timestamp Spark can hold can be stored.
+
 A Parquet path has no transaction log: concurrent writers to one table are
 not isolated from each other. ``fmt="delta"`` may be passed where the Delta
 package is on the class path; the operators do not change.
@@ -18,7 +24,7 @@ package is on the class path; the operators do not change.
 
 from __future__ import annotations
 
-import contextlib
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +34,11 @@ from pyspark.sql import types as T
 from meterlake.functions.columns import column, day_of
 from meterlake.schemas import CANONICAL_LAYOUT, Layout
 
-_GRAINS = ("month", "day", "device", None)
+log = logging.getLogger(__name__)
+
+_GRAINS = ("month", "day", "bucket", "device", None)
+# FIXED VALUE: folder value of a null partition
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -37,31 +47,53 @@ class TableSpec:
     layout: Layout = CANONICAL_LAYOUT
     partition_by: str | None = "month"
     fmt: str = "parquet"
+    buckets: int = 16
 
     def __post_init__(self):
         if self.partition_by not in _GRAINS:
             raise ValueError(f"partition_by must be one of {_GRAINS}, got {self.partition_by!r}")
 
     @property
-    def partition_column(self) -> str | None:
-        """Name of the directory column (a derived date, or the device)."""
-        if self.partition_by in ("month", "day"):
-            return self.partition_by
+    def partition_columns(self) -> list[str]:
+        """Names of the directory columns, outermost first."""
         if self.partition_by == "device":
-            return self.layout.device
-        return None
+            return [self.layout.device]
+        return [f.name for f in self.derived_fields]
+
+    @property
+    def derived_fields(self) -> list[T.StructField]:
+        """Directory columns that are not columns of the layout."""
+        names = {"month": ["month"], "day": ["day"], "bucket": ["month", "bucket"]}.get(self.partition_by, [])
+        return [T.StructField(n, T.IntegerType() if n == "bucket" else T.DateType(), True) for n in names]
 
-    def partition_value(self, time: Column) -> Column:
-        """Directory value of a derived time partition for a row time."""
+    def time_value(self, time: Column) -> Column:
+        """Value of the month or day directory of a row time."""
         day = day_of(time, self.layout.type_of(self.layout.time))
-        return F.trunc(day, "month") if self.partition_by == "month" else day
+        return day if self.partition_by == "day" else F.trunc(day, "month")
+
+    def bucket_value(self, device: Column) -> Column:
+        return F.pmod(device, F.lit(self.buckets)).cast("int")
+
+    def derived_values(self) -> dict[str, Column]:
+        """Directory columns computed from a row."""
+        time, device = column(self.layout.time), column(self.layout.device)
+        return {
+            f.name: self.bucket_value(device) if f.name == "bucket" else self.time_value(time)
+            for f in self.derived_fields
+        }
+
+    def folder(self) -> Column | None:
+        """Folder of a row below the table's path, as text; None where the
+        layout has no folders of its own (device and unpartitioned)."""
+        parts = [
+            F.concat(F.lit(f"{name}="), F.coalesce(value.cast("string"), F.lit(_NULL_FOLDER)))
+            for name, value in self.derived_values().items()
+        ]
+        return F.concat_ws("/", *parts) if parts else None
 
     @property
     def storage_schema(self) -> T.StructType:
-        schema = T.StructType(list(self.layout.schema.fields))
-        if self.partition_by in ("month", "day"):
-            schema = schema.add(self.partition_by, T.DateType(), True)
-        return schema
+        return T.StructType(list(self.layout.schema.fields) + self.derived_fields)
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -82,115 +114,139 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
 
 
-def _partition_paths(spark: SparkSession, spec: TableSpec, values) -> list[str]:
-    """Existing folders of the given time-partition values (one listing of
-    the table's top level, not of its whole history)."""
-    fs, root = _hadoop_fs(spark, spec.path)
-    existing = {st.getPath().getName(): st.getPath().toString() for st in fs.listStatus(root) if st.isDirectory()}
-    names = (f"{spec.partition_by}={v.isoformat()}" for v in values)
-    return [existing[n] for n in names if n in existing]
+def _child_folders(spark: SparkSession, path: str) -> list[str]:
+    fs, root = _hadoop_fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+
+
+def stored_folders(spark: SparkSession, spec: TableSpec, wanted: DataFrame, name: str) -> list[str]:
+    """Those of the wanted folders (text column ``name``) that the table has.
+
+    The table's own listing is matched with the wanted names in Spark, one
+    directory level at a time, so what reaches the driver is bounded by the
+    folders that exist.
+    """
+    found = [""]
+    for depth in range(1, len(spec.derived_fields) + 1):
+        existing = [
+            "/".join(filter(None, (above, child)))
+            for above in found
+            for child in _child_folders(spark, "/".join(filter(None, (spec.path, above))))
+        ]
+        if not existing:
+            return []
+        level = wanted.select(F.substring_index(F.col(name), "/", depth).alias("_folder")).distinct()
+        have = spark.createDataFrame([(e,) for e in existing], "_folder string")
+        found = sorted(r["_folder"] for r in have.join(level, "_folder", "left_semi").collect())
+    return found
 
 
 def read_table(
-    spark: SparkSession, spec: TableSpec, keep_partition: bool = False, partitions: list | None = None
+    spark: SparkSession, spec: TableSpec, keep_partition: bool = False, folders: list[str] | None = None
 ) -> DataFrame:
     """Open the table with its explicit schema (partition values are not
     re-inferred), columns in layout order. An absent table reads as empty.
 
-    ``partitions``: time-partition values (dates) to open; only their
-    folders are listed and read, so opening stays cheap however long the
-    table's history is. Parquet time layouts only; otherwise ignored.
+    ``folders``: the only folders to open (see ``stored_folders``), so opening
+    stays cheap however long the table's history is. Parquet only.
     """
-    schema = spec.storage_schema
-    names = spec.layout.names + (
-        [spec.partition_by] if keep_partition and spec.partition_by in ("month", "day") else []
-    )
-
-    def empty() -> DataFrame:
-        return spark.createDataFrame([], schema).select(*[column(n) for n in names])
-
-    if not table_exists(spark, spec.path):
-        return empty()
+    names = spec.layout.names + ([f.name for f in spec.derived_fields] if keep_partition else [])
+    columns = [column(n) for n in names]
+    if not table_exists(spark, spec.path) or folders == []:
+        return spark.createDataFrame([], spec.storage_schema).select(*columns)
     reader = spark.read.format(spec.fmt)
     if spec.fmt != "parquet":
-        return reader.load(spec.path).select(*[column(n) for n in names])
-    reader = reader.schema(schema)
-    if partitions is not None and spec.partition_by in ("month", "day"):
-        paths = _partition_paths(spark, spec, partitions)
-        if not paths:
-            return empty()
-        return reader.option("basePath", spec.path).load(paths).select(*[column(n) for n in names])
-    return reader.load(spec.path).select(*[column(n) for n in names])
-
-
-def read_device(spark: SparkSession, spec: TableSpec, device_id: int, ordered: bool = False) -> DataFrame:
-    """Rows of one device: a partition filter (device layout) or a pushed
-    Parquet filter on sorted files (time layouts)."""
+        return reader.load(spec.path).select(*columns)
+    reader = reader.schema(spec.storage_schema)
+    if folders is not None and spec.derived_fields:
+        paths = [f"{spec.path.rstrip('/')}/{f}" for f in folders]
+        return reader.option("basePath", spec.path).load(paths).select(*columns)
+    return reader.load(spec.path).select(*columns)
+
+
+def read_device(
+    spark: SparkSession,
+    spec: TableSpec,
+    device_id: int,
+    ordered: bool = False,
+    start: Column | None = None,
+    end: Column | None = None,
+) -> DataFrame:
+    """Rows of one device, optionally from ``start`` to ``end`` (both
+    included). Device and bucket layouts open only folders of the device,
+    time layouts only folders of the period; within files the filters are
+    pushed down and files are sorted by device and time."""
     lay = spec.layout
-    rows = read_table(spark, spec).where(column(lay.device) == F.lit(device_id))
+    rows = read_table(spark, spec, keep_partition=True).where(column(lay.device) == F.lit(device_id))
+    if spec.partition_by == "bucket":
+        rows = rows.where(F.col("bucket") == spec.bucket_value(F.lit(device_id).cast("long")))
+    time = column(lay.time)
+    folder = next((F.col(f.name) for f in spec.derived_fields if f.name != "bucket"), None)
+    for bound, keeps in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is not None:
+            rows = rows.where(keeps(time, bound))
+            if folder is not None:
+                rows = rows.where(keeps(folder, spec.time_value(bound)))
+    rows = rows.select(*[column(n) for n in lay.names])
     if ordered:
-        rows = rows.orderBy(column(lay.time).asc_nulls_first(), column(lay.event).asc_nulls_first())
+        rows = rows.orderBy(time.asc_nulls_first(), column(lay.event).asc_nulls_first())
     return rows
 
 
 def sort_keys(spec: TableSpec) -> list[Column]:
-    """Clustering of stored rows: partition value, then day, device, time, event
-    (nulls first, so a periodic row precedes the events of its instant)."""
+    """Clustering of stored rows: directory columns first (the writer keeps an
+    order only if it starts with them), then day, device, time, event (nulls
+    first, so a periodic row precedes the events of its instant)."""
     lay = spec.layout
     time = column(lay.time)
-    key = [column(lay.device), time, column(lay.event)]
-    if spec.partition_by == "device":
-        keys = key
-    else:
-        keys = [day_of(time, lay.type_of(lay.time))] + key
-        if spec.partition_by == "month":
-            keys = [column("month")] + keys
-    return [k.asc_nulls_first() for k in keys]
-
-
-@contextlib.contextmanager
-def _parquet_micros(spark: SparkSession):
-    # INT96 timestamps carry no usable min/max statistics; micros do, so
-    # time filters on the stored table can skip row groups.
+    keys = [column(n) for n in spec.partition_columns]
+    if spec.partition_by in ("month", None):
+        keys.append(day_of(time, lay.type_of(lay.time)))
+    if spec.partition_by != "device":
+        keys.append(column(lay.device))
+    return [k.asc_nulls_first() for k in [*keys, time, column(lay.event)]]
+
+
+def warn_of_timestamps(spark: SparkSession, layout: Layout) -> None:
+    """INT96 timestamps have no min/max statistics, so time filters on the
+    table could not skip row groups; the setting is the session owner's."""
     key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    if isinstance(layout.type_of(layout.time), T.TimestampType) and spark.conf.get(key) == "INT96":
+        log.warning("set %s to TIMESTAMP_MICROS for row-group pruning by time", key)
 
 
 def write_rows(rows: DataFrame, spec: TableSpec, mode: str = "append") -> None:
     """Store rows in layout order, clustered by ``sort_keys``.
 
-    Range partitioning on (partition, day, device, time, event) splits a hot
-    device over several tasks by time instead of sending it to one task, and
-    gives each file a narrow key range. The partition count is left to the
-    session (AQE coalesces small ranges).
+    Range partitioning on the sort keys splits a hot device over several tasks
+    by time instead of sending it to one task, and gives each file a narrow
+    key range. The partition count is left to the session (AQE coalesces
+    small ranges).
     """
     lay = spec.layout
+    warn_of_timestamps(rows.sparkSession, lay)
     out = rows
     if [(f.name, f.dataType) for f in rows.schema.fields] != [(f.name, f.dataType) for f in lay.schema.fields]:
         out = rows.select(*[column(n).cast(lay.type_of(n)).alias(n) for n in lay.names])
-    if spec.partition_by in ("month", "day"):
-        out = out.withColumn(spec.partition_by, spec.partition_value(column(lay.time)))
-    # a deterministic row hash ends the range key: rows sharing one key
-    # (e.g. a stuck meter clock) still spread over tasks, and a retried task
-    # sends every row to the same range as before (unlike rand())
-    keys = sort_keys(spec) + [F.xxhash64(*[column(n) for n in lay.names]).asc()]
-    out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # a deterministic row hash, computed once, ends the range key: rows sharing
+    # one key (e.g. a stuck meter clock) still spread over tasks, and a retried
+    # task sends every row to the same range as before (unlike rand())
+    out = out.withColumns({**spec.derived_values(), "_row_hash": F.xxhash64(*[column(n) for n in lay.names])})
+    keys = [*sort_keys(spec), F.col("_row_hash").asc()]
+    out = out.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_row_hash")
     writer = out.write.format(spec.fmt).mode(mode)
-    if spec.partition_column is not None:
-        writer = writer.partitionBy(spec.partition_column)
-    with _parquet_micros(rows.sparkSession):
-        writer.save(spec.path)
+    if spec.partition_columns:
+        writer = writer.partitionBy(*spec.partition_columns)
+    writer.save(spec.path)
 
 
 def create_table(rows: DataFrame, spec: TableSpec) -> None:
-    """First write of a table; fails if the path already holds data (a new
-    table never overwrites an existing one)."""
-    write_rows(rows, spec, mode="errorifexists")
+    """First write of a table; fails if the path already holds data, by the
+    same rule as ``table_exists`` (a new table never overwrites another, an
+    empty folder may become one)."""
+    if table_exists(rows.sparkSession, spec.path):
+        raise FileExistsError(f"{spec.path} already holds data")
+    write_rows(rows, spec)
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:

@@ -40,10 +40,10 @@ def flaky(_):
 
 rows = roles.combined_rows(spark, sf_dir).where(flaky(F.col("device_id")))
 ids = roles.supplier_ids(spark, sf_dir)
-for cache in (True, False):
-    spec = TableSpec(f"{out_dir}/t-{cache}", roles.NARROW)
-    store_batch(rows, ids, spec, cache_batch=cache)
-    store_batch(rows, ids, spec, cache_batch=cache)  # a re-run adds nothing
+for limit in (10**6, 0):
+    spec = TableSpec(f"{out_dir}/t-{limit}", roles.NARROW)
+    store_batch(rows, ids, spec, max_broadcast_keys=limit)
+    store_batch(rows, ids, spec, max_broadcast_keys=limit)  # a re-run adds nothing
     stored = stored_rows(spark, spec)
-    print(f"RESULT cache={cache} stored={stored.count()} distinct={stored.distinct().count()}")
+    print(f"RESULT limit={limit} stored={stored.count()} distinct={stored.distinct().count()}")
 print(f"EXPECT {roles.known_rows(spark, sf_dir).count()} {roles.known_rows(spark, sf_dir).distinct().count()}")

@@ -4,8 +4,8 @@ import os
 import pytest
 
 from meterlake import schemas as S
-from meterlake.plans.ingest import ingest_day, stored_rows
-from meterlake.plans.loop_baseline import ingest_day_per_device
+from meterlake.plans.ingest import ingest_day, load_day, store_batch, stored_rows
+from meterlake.scratch import checkpoint_dir
 from meterlake.sources import TableSpec, create_table, read_device, read_table, table_exists
 from tests.feeds import write_day
 
@@ -51,7 +51,7 @@ def inputs(tmp_dir):
     return in_dir
 
 
-@pytest.mark.parametrize("partition_by", ["month", "day", "device", None])
+@pytest.mark.parametrize("partition_by", ["month", "day", "bucket", "device", None])
 def test_ingest_twice_equals_once(spark, tmp_dir, inputs, partition_by):
     spec = TableSpec(os.path.join(tmp_dir, "t"), partition_by=partition_by)
     rep1 = {r.device_id: r.rows_stored for r in ingest_day(spark, D1, inputs, spec).collect()}
@@ -120,25 +120,92 @@ def test_table_probe_and_create(spark, tmp_dir, inputs):
     assert not table_exists(spark, path)  # empty folder = new table
     spec = TableSpec(path)
     assert read_table(spark, spec).count() == 0
+    empty = TableSpec(os.path.join(tmp_dir, "e"))
+    os.makedirs(empty.path)
+    create_table(read_table(spark, spec).limit(0).unionByName(read_table(spark, spec)), empty)  # the same rule
     ingest_day(spark, D1, inputs, spec)
     assert table_exists(spark, path)
     with pytest.raises(Exception):
         create_table(stored_rows(spark, spec), spec)  # never overwrites
 
 
-def test_loop_form_stores_the_same_rows(spark, tmp_dir, inputs):
-    spec = TableSpec(os.path.join(tmp_dir, "set"))
-    base = TableSpec(os.path.join(tmp_dir, "loop"))
+def test_one_load_per_device_stores_the_same_rows(spark, tmp_dir, inputs):
+    spec, single = TableSpec(os.path.join(tmp_dir, "set")), TableSpec(os.path.join(tmp_dir, "single"))
     for d in (D1, D2):
         ingest_day(spark, d, inputs, spec)
-        ingest_day_per_device(spark, d, inputs, base)
-    looped = key_bag(spark.read.schema(S.CANONICAL).parquet(os.path.join(base.path, "device_*")))
-    stored = key_bag(stored_rows(spark, spec))
-    assert [k for k in looped if k[1] is not None] == [k for k in stored if k[1] is not None]
-    # device 2 is listed twice on day 1: the loop visits it twice and its
-    # second pass inserts the null-time row again; the set form lists ids once
-    assert [k for k in looped if k[1] is None] == [(2, None, None, 6.003)] * 2
-    assert [k for k in stored if k[1] is None] == [(2, None, None, 6.003)]
+        ids, rows = load_day(spark, d, inputs, single)
+        for device in (1, 2, 9):
+            store_batch(rows, ids.where(f"device_id = {device}"), single)
+    assert key_bag(stored_rows(spark, single)) == key_bag(stored_rows(spark, spec))
+
+
+ODD = ["0001-01-01 00:00:00", "1582-10-10 12:00:00", "9999-12-31 23:59:59", "12024-03-01 00:00:00", "-0044-03-15 00:00:00", "not a time"]
+
+
+@pytest.mark.parametrize("partition_by", ["month", "day", "bucket", "device", None])
+def test_odd_times_load_again_and_again(spark, tmp_dir, partition_by):
+    in_dir = os.path.join(tmp_dir, "in")
+    write_day(in_dir, D1, [1, 2], [(i, 1 + i % 2, ts, i) for i, ts in enumerate(ODD)])
+    spec = TableSpec(os.path.join(tmp_dir, "t"), partition_by=partition_by, buckets=2)
+    texts = lambda: sorted(r.t for r in stored_rows(spark, spec).selectExpr("coalesce(cast(timestamp AS string), 'none') AS t").collect())
+    ingest_day(spark, D1, in_dir, spec)
+    once = texts()
+    assert once == sorted(["0001-01-01 00:00:00", "1582-10-10 12:00:00", "9999-12-31 23:59:59", "+12024-03-01 00:00:00", "-0044-03-15 00:00:00", "none"])
+    ingest_day(spark, D1, in_dir, spec)
+    rep = ingest_day(spark, D1, in_dir, spec, with_row_totals=True)
+    assert texts() == sorted([*once, "none", "none"])  # only the row without a time comes again
+    assert sum(r.rows_total for r in rep.collect()) == 8
+
+
+@pytest.mark.parametrize(
+    "partition_by, limits",
+    [
+        ("month", dict(max_broadcast=1)),
+        ("bucket", dict(max_broadcast=0, max_broadcast_keys=0)),
+        ("device", dict(max_broadcast=1, max_broadcast_keys=0)),
+        (None, dict(max_broadcast_keys=0)),
+    ],
+)
+def test_every_join_branch_stores_the_same(spark, tmp_dir, inputs, partition_by, limits):
+    want = {}
+    for name, options in (("plain", {}), ("limited", limits)):
+        spec = TableSpec(os.path.join(tmp_dir, name), partition_by=partition_by, buckets=2)
+        reports = [ingest_day(spark, d, inputs, spec, with_row_totals=True, **options) for d in (D1, D2, D2)]
+        got = (key_bag(stored_rows(spark, spec)), [sorted(map(tuple, r.collect())) for r in reports])
+        assert want.setdefault("rows", got) == got
+    assert len(want["rows"][0]) == 9 and [tuple(r) for r in want["rows"][1][0]] == [(1, 1, 4, 4), (2, 2, 2, 2), (9, 1, 0, None)]
+
+
+def test_a_load_leaves_nothing_behind(spark, tmp_dir, inputs):
+    base = checkpoint_dir(spark).removeprefix("file:")
+    loads = lambda: {d for d in os.listdir(os.path.join(base, "meterlake"))} if os.path.isdir(os.path.join(base, "meterlake")) else set()
+    before = loads()
+    spec = TableSpec(os.path.join(tmp_dir, "t"))
+    for _ in range(2):
+        report = ingest_day(spark, D1, inputs, spec)
+    assert loads() == before and report.count() == 3
+
+
+def test_a_redelivery_writes_no_file(spark, tmp_dir, inputs):
+    spec = TableSpec(os.path.join(tmp_dir, "t"))
+    ids, rows = load_day(spark, D1, inputs, spec)
+    timed = rows.where("timestamp IS NOT NULL")
+    files = lambda: sorted(os.path.join(d, f) for d, _, names in os.walk(spec.path) for f in names)
+    store_batch(timed, ids, spec)
+    first = files()
+    store_batch(timed, ids, spec)
+    assert files() == first
+
+
+def test_a_failing_probe_raises(spark, tmp_dir, inputs):
+    spec = TableSpec("nosuchscheme://host/t")
+    with pytest.raises(Exception, match="nosuchscheme"):
+        table_exists(spark, spec.path)
+    ids, rows = load_day(spark, D1, inputs, spec)
+    with pytest.raises(Exception, match="nosuchscheme"):
+        store_batch(rows, ids, spec)
+    with pytest.raises(Exception, match="nosuchscheme"):
+        create_table(rows, spec)
 
 
 def test_arrival_stream_loads_each_date_once(spark, tmp_dir, inputs):

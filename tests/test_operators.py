@@ -9,6 +9,7 @@ from meterlake.operators import (
     first_row_per_device,
     insert_missing,
     known_devices,
+    listed_devices,
     registry_ids,
     with_position,
 )
@@ -87,8 +88,8 @@ def test_report_counts_zero_for_silent_devices(spark):
     rows = frame(spark, MERGE_FIXTURE)
     ids = registry_ids(spark.createDataFrame([(1,), (1,), (2,), (5,)], "id long"), MINI)
     known = known_devices(rows, ids, MINI)
-    rep = {r.device_id: r.rows_stored for r in batch_report(ids, device_stats(known, MINI), MINI).collect()}
-    assert rep == {1: 4, 2: 1, 5: 0}
+    rep = {r.device_id: (r.listed, r.rows_stored) for r in batch_report(listed_devices(ids, MINI), device_stats(known, MINI), MINI).collect()}
+    assert rep == {1: (2, 4), 2: (1, 1), 5: (1, 0)}
 
 
 def test_first_row_per_device_nulls_first(spark):
@@ -99,9 +100,37 @@ def test_first_row_per_device_nulls_first(spark):
     assert None in got  # grouping keeps a null device group (inputs are filtered before)
 
 
-def test_first_row_plan_has_no_window(spark):
-    plan = first_row_per_device(frame(spark, MERGE_FIXTURE), MINI)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_min" in plan
+@pytest.mark.parametrize("limit", [0, 100])
+def test_first_row_plan_sorts_only_the_rows_of_the_first_time(spark, limit):
+    rows = frame(spark, MERGE_FIXTURE)
+    got = first_row_per_device(rows, MINI, max_broadcast=limit)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "LeftSemi" in plan
+    # the comparison of whole rows stands above the join with the first times
+    assert plan.index("SortAggregate") < plan.index("LeftSemi") and "SortAggregate" not in plan[plan.index("LeftSemi") :]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, first_row_per_device(rows, MINI).collect()))
+
+
+def test_with_position_splits_rows_of_equal_order(spark):
+    rows = spark.range(0, 4000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = with_position(rows, [F.col("k").asc()])
+        assert got.select(F.spark_partition_id()).distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.position for r in got.collect()) == list(range(1, 4001))
+
+
+def test_stored_keys_are_the_distinct_shared_keys(spark):
+    from meterlake.operators import stored_keys
+
+    batch = frame(spark, MERGE_FIXTURE + MERGE_FIXTURE[:3])
+    target = frame(spark, MERGE_FIXTURE[:2] * 2 + [(1, t(100), 0, 4.0), (None, t(1), None, 0.0), (1, None, None, 0.0)])
+    got = sorted(map(repr, map(tuple, stored_keys(batch, target, MINI).collect())))
+    assert got == sorted(map(repr, {r[:3] for r in MERGE_FIXTURE[:2]}))
+    plan = stored_keys(batch, target, MINI)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # one shuffle of either side
 
 
 def test_with_position_total_order(spark):
@@ -121,7 +150,11 @@ def test_with_position_total_order(spark):
 def test_time_bounds_are_time_zone_free(spark):
     from pyspark.sql import types as T
 
-    from meterlake.operators import time_bounds
+    from meterlake.plans.ingest import batch_summary
+
+    def time_bounds(stats, dtype):
+        lay = Layout(_struct([("device_id", LONG, True), ("timestamp", dtype, True), ("event_id", LONG, True)]))
+        return batch_summary(stats, lay).bounds
 
     ntz = spark.createDataFrame([("2024-03-31 02:30:00",)], "s string").select(
         F.col("s").cast("timestamp_ntz").alias("_low"), F.col("s").cast("timestamp_ntz").alias("_high"))

@@ -3,6 +3,8 @@ the number of Spark jobs of a load does not grow with the number of devices."""
 
 import os
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators import insert_missing, known_devices, registry_ids
@@ -88,38 +90,104 @@ def test_job_count_does_not_grow_with_devices(spark, tmp_dir):
     assert n_few == n_many
 
 
-def test_target_scan_is_pruned(spark, tmp_dir):
+@pytest.mark.parametrize("partition_by", ["month", "bucket"])
+def test_target_scan_is_pruned(spark, tmp_dir, partition_by):
     from meterlake.operators import device_stats
-    from meterlake.operators.merge import bound_target
-    from meterlake.plans.ingest import _partition_filter, batch_summary
+    from meterlake.plans.ingest import target_keys
     from meterlake.sources import read_table, write_rows
+    from meterlake.sources.table import stored_folders
 
-    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW)
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, partition_by, buckets=3)
     known = roles.known_rows(spark, SF_SMALL)
     write_rows(known, spec)
     # a batch of March 1996 plus one stray row of 2024: two months, not 28 years
     lo, hi = F.lit("1996-03-01").cast("timestamp_ntz"), F.lit("1996-03-31").cast("timestamp_ntz")
     stray = (F.col("device_id") == 7) & F.col("event_id").isNotNull() & (F.col("timestamp") < F.lit("2024-01-05").cast("timestamp_ntz"))
     batch = known.where(F.col("timestamp").between(lo, hi) | stray)
-    scoped = batch.withColumn("month", spec.partition_value(F.col("timestamp")))
-    stats = device_stats(scoped, roles.NARROW, by="month")
-    summary = batch_summary(stats, spec)
-    assert len(summary.partitions) == 2 and summary.stats_rows == stats.count()
-    pf = _partition_filter(spec, summary)
-    whole = read_table(spark, spec, keep_partition=True)
-    target = bound_target(whole, roles.NARROW, summary.bounds, pf, stats, "month")
-    opened = read_table(spark, spec, keep_partition=True, partitions=summary.partitions)
-    assert opened.inputFiles() and len(opened.inputFiles()) < len(whole.inputFiles())
-    assert {r.month for r in opened.select("month").distinct().collect()} == set(summary.partitions)
-    keys = target.select("device_id", "timestamp", "event_id")
+    stats = device_stats(batch.withColumn("_folder", spec.folder()), roles.NARROW, by="_folder")
+    folders = stored_folders(spark, spec, stats, "_folder")
+    assert set(folders) == {r._folder for r in stats.select("_folder").distinct().collect()}
+    assert {f.split("/")[0] for f in folders} == {"month=1996-03-01", "month=2024-01-01"}
+    opened = read_table(spark, spec, keep_partition=True, folders=folders)
+    assert 0 < len(opened.inputFiles()) < len(read_table(spark, spec).inputFiles())
+    keys = target_keys(spark, spec, stats, max_broadcast=10**6)
     plan = _plan(keys)
-    assert "PartitionFilters: [" in plan and "month#" in plan and " IN (" in plan
     assert "GreaterThanOrEqual(timestamp" in plan and "LeftSemi" in plan
-    months = {r.month for r in target.select("month").distinct().collect()}
-    assert len(months) == 2
     assert keys.count() == batch.count() > 0  # every batch key is still in the bounded target
 
 
+def test_the_wide_rows_are_shuffled_once(spark, tmp_dir):
+    """With a target too large for any broadcast of its keys, only the few
+    shared keys are broadcast, and the write's range shuffle is the only one
+    that moves the measures."""
+    from meterlake.plans import ingest
+    from meterlake.sources import write_rows
+
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW)
+    known = roles.known_rows(spark, SF_SMALL)
+    write_rows(known.where("device_id < 4"), spec)
+    seen = {}
+
+    def spy(rows, spec_, mode="append"):
+        keys = [F.col("device_id").asc(), F.col("timestamp").asc()]
+        seen["plan"] = _plan(rows.repartitionByRange(*keys))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before, ingest.write_rows = ingest.write_rows, spy
+    try:
+        ingest.store_batch(known, roles.supplier_ids(spark, SF_SMALL), spec)
+    finally:
+        ingest.write_rows = before
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in seen["plan"].splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert len(moved) == 1 and "rangepartitioning" in moved[0]
+    assert "BroadcastHashJoin" in seen["plan"] and "LeftAnti" in seen["plan"]
+
+
+@pytest.mark.parametrize("partition_by", ["month", "day", "bucket", "device", None])
+def test_files_are_in_key_order(spark, tmp_dir, partition_by):
+    from meterlake.sources import write_rows
+
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, partition_by, buckets=2)
+    rows = roles.known_rows(spark, SF_SMALL).where("device_id < 6 AND year(timestamp) IN (1996, 2024)")
+    write_rows(rows, spec)
+    files = [os.path.join(d, f) for d, _, names in os.walk(spec.path) for f in names if f.endswith(".parquet")]
+    checked = 0
+    for f in files:
+        # the directory's device is not in the file
+        names = [n for n in ("device_id", "timestamp", "event_id") if not (n == "device_id" and partition_by == "device")]
+        own = [tuple(-1 if v is None else v for v in r) for r in zip(*(c.to_pylist() for c in pq.ParquetFile(f).read(names)), strict=True)]
+        keys = [r if partition_by in ("device", "bucket", "day") else (r[1].date(), *r) for r in own]
+        if partition_by == "bucket":
+            keys = [(r[0], r[1], r[2]) for r in own]
+        assert keys == sorted(keys)
+        checked += len(keys) > 2
+    assert checked >= (1 if partition_by is None else 3)
+
+
+def test_device_read_opens_its_bucket_and_period(spark, tmp_dir):
+    from meterlake.sources import read_device, read_table, write_rows
+
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, "bucket", buckets=5)
+    known = roles.known_rows(spark, SF_SMALL)
+    write_rows(known, spec)
+
+    whole = len(read_table(spark, spec).inputFiles())
+    one = read_device(spark, spec, 7)
+    start, end = F.lit("1996-03-05").cast("timestamp_ntz"), F.lit("1996-04-02").cast("timestamp_ntz")
+    period = read_device(spark, spec, 7, start=start, end=end)
+    assert {f.split("bucket=")[1].split("/")[0] for f in _opened(one)} == {"2"}
+    assert {f.split("month=")[1].split("/")[0] for f in _opened(period)} <= {"1996-03-01", "1996-04-01"}
+    assert len(_opened(one)) < whole / 2
+    assert one.count() == known.where("device_id = 7").count() > 0
+    assert period.count() == known.where((F.col("device_id") == 7) & F.col("timestamp").between(start, end)).count() > 0
+
+
+def _opened(df):
+    """Files that rows come from (partition filters applied)."""
+    return [r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()]
+
+
 def test_read_device_is_partition_or_pushed_filter(spark, tmp_dir):
     from meterlake.sources import read_device, write_rows
 

@@ -57,3 +57,26 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["device_id", "timestamp", "event_id", "qty", "price", "value", "status"]
+
+
+def test_swapped_fields_do_not_pass(spark, duck):
+    """Negative control: the hand-written event pairs with two of them swapped
+    give other rows."""
+    from meterlake.plans.queries import EVENT_PAIRS, canonical_sql
+
+    pairs = list(EVENT_PAIRS)
+    (a, x), (b, y) = pairs[3], pairs[4]
+    pairs[3], pairs[4] = (a, y), (b, x)
+    sound, wrong = (duck.execute(canonical_sql(True, p)).fetchdf() for p in (None, pairs))
+    got = QUERIES["ingest_canonical"](spark, SF_SMALL).toPandas()
+    assert _bag(got) == _bag(sound) != _bag(wrong)
+    assert got.notna().any().all()  # every canonical column carries values
+
+
+def test_every_row_is_on_a_side_of_the_merge(spark):
+    from meterlake.plans import queries, roles
+
+    rows = roles.known_rows(spark, SF_SMALL)
+    sides = queries._existing(spark, SF_SMALL).unionByName(queries._delivered(spark, SF_SMALL))
+    keys = list(roles.NARROW.key)
+    assert rows.join(sides, [rows[k].eqNullSafe(sides[k]) for k in keys], "left_anti").isEmpty()
