@@ -46,9 +46,10 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 BLOCK_CHARS = 1 << 18  # characters of distinct words in one index
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 250_000
 BATCH_CHARS = 1 << 20  # characters of texts taken together
 LONG_WORD = 1 << 12
+PACK, CODE_BITS = 3, 21  # code points in one search key, bits of each
 NONE = np.iinfo(np.int64).max
 
 # FIXED VALUES: piece types of the model format
@@ -59,6 +60,11 @@ _MODELS: dict = {}
 _ENCODERS: dict = {}
 
 
+def _pack(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Three code points as one sortable number."""
+    return (a << 2 * CODE_BITS) | (b << CODE_BITS) | c
+
+
 class PieceModel:
     """Vocabulary and merge order of a byte-pair model file."""
 
@@ -162,13 +168,20 @@ class PieceModel:
         return [p for p in parts if p is not None]
 
     def _search_rows(self) -> None:
-        """The pieces as rows of code points, for the binary search."""
+        """The pieces as keys of three code points each, for the binary search."""
         self.piece_ids = np.array(self.normal, dtype=np.int32)
         self.piece_len = np.array([len(self.text[i]) for i in self.normal], dtype=np.int32)
         self.byte_ids = np.array([self.bytes[b] for b in range(256)], dtype=np.int32)
-        self.rows = np.zeros((len(self.normal), self.longest), dtype=np.int32)
+        width = -(-self.longest // PACK) * PACK
+        rows = np.zeros((len(self.normal), width), dtype=np.int64)
+        inside = np.arange(width) < self.piece_len[:, None]
         for r, i in enumerate(self.normal):
-            self.rows[r, : len(self.text[i])] = [ord(c) for c in self.text[i]]
+            rows[r, : len(self.text[i])] = [ord(c) for c in self.text[i]]
+        # per three code points the smallest and the largest key of a suffix
+        # that starts with the piece
+        full = np.where(inside, rows, (1 << CODE_BITS) - 1)
+        self.first_keys = [_pack(*rows[:, k : k + PACK].T) for k in range(0, width, PACK)]
+        self.last_keys = [_pack(*full[:, k : k + PACK].T) for k in range(0, width, PACK)]
         self.single = np.sort(np.array([ord(p) for p in self.id if len(p) == 1], dtype=np.int32))
 
     def ids(self, parts: list[str]) -> list[int]:
@@ -244,28 +257,33 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
+def _search(keys: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndarray:
+    """Binary search of each wanted value in its own sorted stretch of keys."""
+    low, high = low.copy(), high.copy()
+    while (live := np.flatnonzero(low < high)).size:
+        mid = (low[live] + high[live]) >> 1
+        right = keys[mid] <= wanted[live] if after else keys[mid] < wanted[live]
+        low[live[right]] = mid[right] + 1
+        high[live[~right]] = mid[~right]
+    return low
+
+
 def occurrence_ranges(model: PieceModel, text: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per piece the range of the suffix array whose suffixes start with it."""
-    padded = np.concatenate([text, np.full(model.longest, -1, text.dtype)])
-    column = np.arange(model.longest)
-    inside = column < model.piece_len[:, None]
-
-    def bound(after: bool) -> np.ndarray:
-        low, high = np.zeros(len(model.rows), np.int64), np.full(len(model.rows), len(order))
-        while (open_ := low < high).any():
-            mid = (low + high) // 2
-            window = padded[order[np.minimum(mid, len(order) - 1)][:, None] + column]
-            differ = (window != model.rows) & inside
-            first = differ.argmax(axis=1)
-            row = np.arange(len(first))
-            less = differ[row, first] & (window[row, first] < model.rows[row, first])
-            equal = ~differ[row, first]
-            right = open_ & (less | (equal & after))
-            low = np.where(right, mid + 1, low)
-            high = np.where(open_ & ~right, mid, high)
-        return low
-
-    return bound(False), bound(True)
+    """Per piece the range of the suffix array whose suffixes start with it:
+    binary search of the first three code points, then within what that
+    leaves of the next three, and so on."""
+    padded = np.concatenate([text.astype(np.int64), np.zeros(model.longest + PACK, np.int64)])
+    packed = _pack(padded[:-2], padded[1:-1], padded[2:])
+    low = np.zeros(len(model.piece_ids), dtype=np.int64)
+    high = np.full(len(model.piece_ids), len(order), dtype=np.int64)
+    for step, (first, last) in enumerate(zip(model.first_keys, model.last_keys, strict=True)):
+        live = np.flatnonzero((model.piece_len > PACK * step) & (low < high))
+        keys = packed[order + PACK * step]
+        low[live], high[live] = (
+            _search(keys, low[live], high[live], first[live], False),
+            _search(keys, low[live], high[live], last[live], True),
+        )
+    return low, high
 
 
 # ------------------------------------------------------------------ encode
