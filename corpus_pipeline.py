@@ -17,34 +17,54 @@ any other, extra columns pass through the first four stages.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate, exact_dedup, pieces, quality, simhash
 from meterlake.llm.queries import sized, table, tokenizer_file
+from meterlake.llm.tables import batches_of_texts
 from meterlake.scratch import scratch_path
 
 
+def _stage(operator):
+    """A stage: Arrow batches that suit texts, and a result in as many files as
+    its input's rows ask for."""
+
+    @functools.wraps(operator)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        batches_of_texts(spark)
+        return sized(operator(spark, docs, sf_dir), docs)
+
+    return run_stage
+
+
+@_stage
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sized(quality.drop_rejected(docs, table(spark, sf_dir, "labels")), docs)
+    return quality.drop_rejected(docs, table(spark, sf_dir, "labels"))
 
 
+@_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sized(exact_dedup.drop_copies(docs), docs)
+    return exact_dedup.drop_copies(docs)
 
 
+@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sized(simhash.drop_near_copies(docs, words=simhash.WORDS, max_bits=simhash.MAX_BITS), docs)
+    return simhash.drop_near_copies(docs, words=simhash.WORDS, max_bits=simhash.MAX_BITS)
 
 
+@_stage
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sized(decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")), docs)
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids."""
     rows = pieces.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_file("piece_bpe_32k.model"))
-    return sized(rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids"), docs)
+    return rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

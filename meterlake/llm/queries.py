@@ -21,7 +21,7 @@ from meterlake.llm import (
     token_counts,
 )
 
-from meterlake.llm.tables import files_for
+from meterlake.llm.tables import batches_of_texts, files_for
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +120,7 @@ def _sized_by(name: str, query):
 
     @functools.wraps(query)
     def run(spark, sf_dir):
+        batches_of_texts(spark)
         return sized(query(spark, sf_dir), table(spark, sf_dir, name))
 
     return run

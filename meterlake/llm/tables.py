@@ -23,3 +23,15 @@ def files_for(spark: SparkSession, rows: int) -> int:
 def small_files_for(rows: int) -> int:
     """For tables that no later stage works long on."""
     return max(1, -(-rows // ROWS_PER_SMALL_FILE))
+
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+DEFAULT_ROWS, TEXT_ROWS = "10000", "1000"
+
+
+def batches_of_texts(spark: SparkSession) -> None:
+    """Sessions with Spark's default of 10,000 rows to an Arrow batch get
+    batches that suit rows of whole texts: every task holds some batches in
+    the executor and in its Python worker. A session's own setting stays."""
+    if spark.conf.get(ARROW_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(ARROW_ROWS, TEXT_ROWS)
