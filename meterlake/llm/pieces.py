@@ -279,6 +279,9 @@ def occurrence_ranges(model: PieceModel, text: np.ndarray, order: np.ndarray) ->
     for step, (first, last) in enumerate(zip(model.first_keys, model.last_keys, strict=True)):
         live = np.flatnonzero((model.piece_len > PACK * step) & (low < high))
         keys = packed[order + PACK * step]
+        if step == 0:
+            low, high = np.searchsorted(keys, first, "left"), np.searchsorted(keys, last, "right")
+            continue
         low[live], high[live] = (
             _search(keys, low[live], high[live], first[live], False),
             _search(keys, low[live], high[live], last[live], True),
@@ -386,30 +389,31 @@ class Encoder:
         return self.ids[np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())], count
 
     def learn(self, words: list[str]) -> None:
-        found, counts, block, held = [self.ids], [self.count], [], 0
-        whole = [w for w in words if len(w) > LONG_WORD or "\0" in w]
-        for w in whole:
+        found, counts = [self.ids], [self.count]
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        odd = [w for w in words if len(w) > LONG_WORD or "\0" in w] if self._has_odd(words, sizes) else []
+        for w in odd:
             ids = self.model.ids(self.model.merged(w))
             found.append(np.array(ids, dtype=np.int32))
             counts.append(np.array([len(ids)]))
-        skip = set(whole)
-        plain = [w for w in words if w not in skip] if skip else words
-        for w in plain:
-            block.append(w)
-            held += len(w) + 1
-            if held >= BLOCK_CHARS:
-                ids, count = _encode_block(self.model, block)
+        if odd:
+            skip = set(odd)
+            words = [w for w in words if w not in skip]
+            sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        block_of = np.cumsum(sizes + 1) // BLOCK_CHARS
+        bounds = np.searchsorted(block_of, np.arange(block_of[-1] + 2)) if words else [0]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if b > a:
+                ids, count = _encode_block(self.model, words[a:b])
                 found.append(ids)
                 counts.append(count)
-                block, held = [], 0
-        if block:
-            ids, count = _encode_block(self.model, block)
-            found.append(ids)
-            counts.append(count)
-        for w in [*whole, *plain]:
-            self.number[w] = len(self.number)
+        self.number.update(zip([*odd, *words], range(len(self.number), len(self.number) + len(odd) + len(words)), strict=True))
         self.ids, self.count = np.concatenate(found), np.concatenate(counts)
 
+    @staticmethod
+    def _has_odd(words: list[str], sizes: np.ndarray) -> bool:
+        return bool((sizes > LONG_WORD).any()) or "\0" in "".join(words)
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in the order of the texts, and how many each text has."""
         cut = [_CUT.split(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
