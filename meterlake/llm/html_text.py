@@ -9,7 +9,9 @@ its share of text outside links. The element with the best score is the
 container; siblings with enough points of their own, or with plain text under
 few links, are kept with it. Menus, page headers and footers, sidebars,
 notices, adverts, forms and reader comments — told by element, role, class or
-id, or as lists made of links — count nowhere and are left out.
+id, or as lists made of links — count nowhere and are left out. A class or id
+alone leaves nothing out that holds most of the article or, on pages without
+an article or main element, most of the text.
 
 Kept blocks: character references decoded, white space inside as one space,
 trimmed, joined by an empty line in page order.
@@ -47,6 +49,9 @@ JUNK_NAMES = set(
     " comment comments disqus reply replies respond social share sharing related recommended recommendations widget"
     " skip".split()
 )
+COMMENTS = set("comment comments disqus reply replies respond".split())
+# class parts after these name what the element has or lacks, not what it is
+NOT_ITSELF = set("no has have with without hide show is not non".split())
 # an end is implied for the first where one of the second starts
 ENDED_BY = {
     "li": {"li"},
@@ -61,41 +66,53 @@ SCOPES = set("ul ol dl table select html body article section div td th".split()
 LONG = 80  # characters that make a paragraph count fully
 SIBLING_SHARE = 0.2
 MENU_LINKS = 3
+MOST = 0.5  # share of a page's text that no class name alone takes away
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
 _NAME = re.compile(r"[^a-z0-9]+")
 _END_OF = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in HIDDEN | {"title", "textarea"}}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "junk", "points", "chars", "linked", "links")
+    __slots__ = ("tag", "parent", "kids", "junk", "named", "points", "chars", "linked", "links")
 
     def __init__(self, tag: str, parent: Node | None, junk: bool = False):
         self.tag, self.parent, self.junk = tag, parent, junk
+        self.named = 0
         self.kids: list = []
         self.points = 0.0
         self.chars = self.linked = self.links = 0
 
 
-def _is_junk(tag: str, attributes: str, inside_article: bool) -> bool:
+def _junk_kind(tag: str, attributes: str, inside_article: bool) -> tuple[bool, int]:
+    """Whether it is junk by element, role or ``hidden``; and by a part of its
+    class or id alone (1, or 2 for reader comments, 0 if not). A part after no, has, with and the like tells
+    of something else and does not count."""
     if tag in JUNK or tag in HIDDEN or (tag == "header" and not inside_article):
-        return True
+        return True, 0
+    named, seen = 0, set()
     if not attributes:
-        return False
+        return False, 0
     for name, *values in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name in seen:
+            continue  # of repeated attributes the first counts, as in browsers
+        seen.add(name)
         value = next((v for v in values if v), "").lower()
-        if name.lower() == "hidden":
-            return True
-        if name.lower() == "role":
+        if name == "hidden":
+            return True, 0
+        if name == "role":
             if value in JUNK_ROLES:
-                return True
-        elif tag not in ("html", "body", "main", "article"):
-            names = set(_NAME.split(value))
-            if names & JUNK_NAMES or "header" in names and not inside_article:
-                return True
-    return False
+                return True, 0
+        elif name in ("class", "id") and tag not in ("html", "body", "main", "article"):
+            for word in value.split():
+                parts = [x for x in _NAME.split(word) if x]
+                names = set(parts[: next((i for i, x in enumerate(parts) if x in NOT_ITSELF), len(parts))])
+                if names & JUNK_NAMES or "header" in names and not inside_article:
+                    named = max(named, 2 if names & COMMENTS else 1)
+    return False, named
 
 
 def parse(page: str) -> Node:
@@ -144,7 +161,9 @@ def parse(page: str) -> Node:
         if tag not in INLINE and tag not in VOID | {"br"} or tag == "hr":
             at, closed = _close_implied(at, tag)
             articles -= closed
-        node = Node(tag, at, _is_junk(tag, attributes, articles > 0))
+        junk, named = _junk_kind(tag, attributes, articles > 0)
+        node = Node(tag, at, junk)
+        node.named = named
         at.kids.append(node)
         if tag in VOID or attributes.endswith("/") and tag in HIDDEN:
             continue
@@ -237,6 +256,32 @@ def _blocks(root: Node) -> list[tuple[Node, str, int]]:
     return out
 
 
+def _mark_named(root: Node) -> None:
+    """Junk by class or id alone, unless it holds more than ``MOST`` of the
+    text in article and main elements (of all text, on a page without them),
+    links and other junk aside. Reader comments may be most of a page; they
+    stay only where hardly any other text is left."""
+    order, stack = [], [(root, False, False)]
+    while stack:
+        node, linked, inside = stack.pop()
+        linked, inside = linked or node.tag == "a", inside or node.tag in ("article", "main")
+        order.append((node, linked, inside))
+        stack.extend((k, linked, inside) for k in node.kids if not isinstance(k, str) and not k.junk)
+    if not any(node.named for node, _, _ in order):
+        return
+    sizes: dict[Node, tuple[int, int]] = {}  # in article and main elements, in all
+    for node, linked, inside in reversed(order):
+        own = 0 if linked else sum(len(" ".join(k.split())) for k in node.kids if isinstance(k, str))
+        below = [sizes[k] for k in node.kids if not isinstance(k, str) and not k.junk]
+        sizes[node] = own * inside + sum(x for x, _ in below), own + sum(x for _, x in below)
+    of = 0 if sizes[root][0] else 1
+    total = sizes[root][of]
+    for node, _, _ in order:
+        if node.named:
+            held = sizes[node][of]
+            node.junk = held <= MOST * total or node.named == 2 and total - held >= LONG
+
+
 def _mark_link_lists(root: Node) -> None:
     """Lists made of links are menus wherever they stand."""
     order, stack = [], [root]
@@ -266,6 +311,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _mark_named(root)
     _mark_link_lists(root)
     blocks = _blocks(root)
     if not blocks:

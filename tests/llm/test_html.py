@@ -83,3 +83,28 @@ def test_nulls_repeats_and_empty(spark):
     df = spark.createDataFrame([(None, None, None, "mine", "mine"), (1, "u", "<p>a😀</p>", "mine", "mine"), (1, "u", "<p>a😀</p>", "mine", "mine")], schema)
     assert [tuple(r) for r in H.extract_pages(df).collect()] == [(None, None, "", 0), (1, "u", "a😀", 2), (1, "u", "a😀", 2)]
     assert H.extract_pages(empty(spark, schema)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ["style='overflow: hidden'", "title='a hidden gem'", "data-x=hidden", "aria-hidden='false'", "class='content no-sidebar'", "class=has-sidebar",
+     "class='post-with-related'", "class='page sidebar'", "id=widget", "title='x id=menu class=ad'"],
+)
+@pytest.mark.parametrize("tag", ["article", "div", "section"])
+def test_nothing_is_dropped_for_a_word_in_an_attribute(attributes, tag):
+    page = "<body><nav>Home, menu</nav><{t} {a}><div>{x}</div></{t}></body>"
+    assert H.main_text(page.format(t=tag, a=attributes, x=ARTICLE)) == WANT
+    link = f"<div>{ARTICLE}<p>See <a href='https://x.org/hidden-gems' {attributes.split('=')[0]}-x='hidden'>this link</a> too.</p></div>"
+    assert H.main_text(link) == WANT + "\n\nSee this link too."
+
+
+def test_hidden_is_an_attribute_name():
+    for attributes in ("hidden", "HIDDEN=''", "class=x hidden=until-found", "title=\"a='\"hidden", "a=b/ hidden/"):
+        assert H.main_text(f"<p {attributes}>no, not this</p><p>yes</p>") == "yes"
+
+
+def test_a_junk_class_around_the_article_keeps_it():
+    related = "<div class='related'><article>A teaser, of some other story.</article></div>"
+    assert H.main_text(f"<div class='menu'><article>{ARTICLE}</article></div><div class='menu'>no, no</div>{related}") == WANT
+    comments = "<div id='comments'>" + "<p>First, I say, this is bad, and so is all of this page.</p>" * 30 + "</div>"
+    assert H.main_text(f"<div>{ARTICLE}</div>{comments}") == WANT
