@@ -6,7 +6,9 @@ HTML closes them). Each run of text between block borders is a paragraph. Its
 points, for length and commas, go in full to the element that holds it and by
 half as much to each further ancestor; an element's score is its points times
 its share of text outside links. The element with the best score is the
-container; siblings with enough points of their own, or with plain text under
+container, or the nearest article (else main) element around it, or, without
+one, the outermost parent with no junk beside; all of it but its junk is kept.
+Text right beside it and siblings with enough points of their own, or with plain text under
 few links, are kept with it. Menus, page headers and footers, sidebars,
 notices, adverts, forms and reader comments — told by element, role, class or
 id, or as lists made of links — count nowhere and are left out. A class or id
@@ -51,7 +53,7 @@ JUNK_NAMES = set(
 )
 COMMENTS = set("comment comments disqus reply replies respond".split())
 # class parts after these name what the element has or lacks, not what it is
-NOT_ITSELF = set("no has have with without hide show is not non".split())
+NOT_ITSELF = set("no has have with without hide show not non".split())
 # an end is implied for the first where one of the second starts
 ENDED_BY = {
     "li": {"li"},
@@ -306,6 +308,36 @@ def _mark_link_lists(root: Node) -> None:
             node.junk = True
 
 
+def _container(best: Node, root: Node) -> Node:
+    """The nearest article or main element around the best one, with all that
+    it holds; without one, or around it, the parents that hold no junk."""
+    node = best
+    while node is not None and node.tag != "article":
+        node = node.parent
+    if node is None:
+        node = best
+        while node is not None and node.tag != "main":
+            node = node.parent
+    at = node or best
+    if at.tag in ("article", "main"):
+        return at
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(k for k in node.kids if not isinstance(k, str))
+    unclean: set[Node] = set()  # with menus and the like inside, marked or mere links
+    for node in reversed(order):
+        marked = node.junk and node.tag not in HIDDEN and node.tag not in ("head", "title", "input", "button")
+        links = node.tag not in INLINE and node.links >= MENU_LINKS and node.linked >= 0.5 * node.chars
+        if marked or links or any(k in unclean for k in node.kids if not isinstance(k, str)) and not node.junk:
+            unclean.add(node)
+    # what is inside the best element counts neither for nor against its parents
+    while at.parent is not None and not any(k in unclean for k in at.parent.kids if not isinstance(k, str) and k is not at):
+        at = at.parent
+    return at
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
@@ -335,6 +367,7 @@ def main_text(page: str | None) -> str:
         return points * (1 - linked / max(chars, 1))
 
     best = max(totals, key=lambda x: (score(x), -order[x]))
+    best = _container(best, root)
     kept = {best}
     if best.parent is not None:
         for sibling in best.parent.kids:
@@ -356,7 +389,10 @@ def main_text(page: str | None) -> str:
             inside[x] = answer
         return answer
 
-    return "\n\n".join(text for holder, text, _ in blocks if held(holder))
+    def beside(holder: Node, text: str, linked: int) -> bool:
+        return holder is best.parent and linked < 0.3 * len(text)
+
+    return "\n\n".join(text for holder, text, linked in blocks if held(holder) or beside(holder, text, linked))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

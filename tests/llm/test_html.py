@@ -108,3 +108,18 @@ def test_a_junk_class_around_the_article_keeps_it():
     assert H.main_text(f"<div class='menu'><article>{ARTICLE}</article></div><div class='menu'>no, no</div>{related}") == WANT
     comments = "<div id='comments'>" + "<p>First, I say, this is bad, and so is all of this page.</p>" * 30 + "</div>"
     assert H.main_text(f"<div>{ARTICLE}</div>{comments}") == WANT
+
+
+@pytest.mark.parametrize("open_, close", [("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), ("<div>", "</div>")])
+def test_short_parts_of_an_article_stay(open_, close):
+    long = "Many words, with commas, in one paragraph. " * 70
+    parts = f"loose start<section><p>{long}</p></section>loose, text<section><h2>B</h2><p>40 characters, about, of an update.</p></section>"
+    parts += "<ul><li>one</li></ul><nav>no</nav><table><tr><td>cell</td></tr></table>".replace("<nav>no</nav>", "" if open_ == "<div>" else "<nav>no</nav>")
+    page = f"<body><nav>Home, menu</nav>{open_}{parts}{close}<footer>Imprint</footer></body>"
+    want = ["loose start", long.strip(), "loose, text", "B", "40 characters, about, of an update.", "one", "cell"]
+    assert H.main_text(page) == "\n\n".join(want)
+
+
+def test_menus_of_links_beside_the_text_stay_out():
+    menu = "<div><a href=1>one link</a> <a href=2>two links</a> <a href=3>three</a></div>"
+    assert H.main_text(f"<body>{menu}<div>{ARTICLE}</div>by the way, loose<div>{menu}</div></body>") == WANT + "\n\nby the way, loose"
