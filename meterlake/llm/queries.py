@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import (
+    alignment,
     decontaminate,
     exact_dedup,
     fixity,
+    hard_negatives,
     host_reputation,
     html_text,
     licences,
+    minhash,
     pieces,
     quality,
     simhash,
@@ -115,6 +118,21 @@ def op10_url_filter(spark, sf_dir):
     return host_reputation.judge_urls(pages, host_reputation.labelled_pages(pages, docs, labels))
 
 
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_minhash_near_dedup(spark, sf_dir):
+    groups = minhash.near_groups(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return groups.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def _sized_by(name: str, query):
     """The query, its result sized by the table that it goes through."""
 
@@ -137,6 +155,9 @@ QUERIES = {
     "op8_quality_classifier": _sized_by("documents", op8_quality_classifier),
     "op9_benchmark_decontamination": _sized_by("documents", op9_benchmark_decontamination),
     "op10_url_filter": _sized_by("pages", op10_url_filter),
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 ORACLE_SQL = {
@@ -208,6 +229,27 @@ ORACLE_SQL = {
                CASE rule WHEN 'example.com/de/' THEN 'block' WHEN 'net/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow'
                     ELSE CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END END AS verdict
         FROM ruled""",
+    "op12_hard_negatives": r"""
+        WITH taken AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.r AS ar, a.vec_id AS anchor_id, c.r AS cr, c.vec_id, a.label = c.label AS same,
+                   CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+            FROM taken a JOIN taken c ON a.vec_id % 100 = 0 AND a.r != c.r),
+        positives AS (
+            SELECT * FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST, cr) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               CAST(row_number() OVER (PARTITION BY p.ar, p.cr ORDER BY n.score DESC, n.vec_id NULLS LAST, n.cr) AS INTEGER) AS rank,
+               n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n
+          ON n.ar = p.ar AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+        QUALIFY row_number() OVER (PARTITION BY p.ar, p.cr ORDER BY n.score DESC, n.vec_id NULLS LAST, n.cr) <= 5""",
     "op9_benchmark_decontamination": r"""
         WITH words AS (
             SELECT 0 AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents

@@ -11,7 +11,7 @@ from meterlake.llm import decontaminate, exact_dedup, pieces, quality, simhash
 from meterlake.llm.queries import ORACLE_SQL, QUERIES, tokenizer_file
 from tests.llm.helpers import DOCS, ODD_TEXTS, SF, bag, docs, empty, read
 
-TABLES = "documents pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels".split()
 COLUMNS = {
     1: "file offset primary_digest primary_length record_id replica_digest replica_length status",
     2: "component_id doc_id fingerprint",
@@ -23,6 +23,9 @@ COLUMNS = {
     8: "doc_id held_out predicted score",
     9: "containment doc_id item_id n_shared n_shingles",
     10: "host page_id path rule verdict",
+    11: "count_sum doc_id groups_sha256 n_a n_b n_best n_groups n_links n_shared",
+    12: "anchor_id negative_id negative_score positive_id positive_score rank",
+    13: "component_id doc_id kept n_shingles",
 }
 
 
@@ -46,7 +49,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -56,7 +59,7 @@ def test_schema_and_rows(spark, name):
     assert " ".join(sorted(got.columns)) == COLUMNS[int(name[2:].split("_")[0])]
     n = got.count()
     number = int(name[2:].split("_")[0])
-    if number in (2, 3, 4, 5, 8):
+    if number in (2, 3, 4, 5, 8, 11, 13):
         assert n == 200
     if number in (6, 10):
         assert n == 50
