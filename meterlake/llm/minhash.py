@@ -6,10 +6,11 @@ are the distinct shingles of ``words`` words (fewer words: the whole sequence
 as one; none: empty, linked with nothing). Two texts link if
 ``100 * intersection >= percent * union``.
 
-1. one pass makes per row the set's size, 64-bit hashes of its shingles, a
-   128-bit digest of the set, ``HASHES`` minima under universal hash functions
+1. one pass makes per row the set's size, a 128-bit digest of the 64-bit
+   hashes of its shingles, ``HASHES`` minima under universal hash functions
    (multiply-add), and a key for each of the ``BANDS`` bands of minima. Rows
-   of equal digests are one class; only classes go on.
+   of equal digests are one class; only classes go on. Sets themselves are not
+   stored: those that are verified are made again from their texts.
 2. classes that share a band's key form a bucket. A link at exactly 0.8 is
    missed by all bands with probability (1 - 0.8^4)^32 = 5e-8. Of buckets with
    the same classes one is kept, that of the first band.
@@ -51,7 +52,7 @@ WORDS = 4
 PERCENT = 80
 HASHES, BANDS = 128, 32
 SEED = 13
-BLOCK_CLASSES = 512  # classes of one side of a task
+BLOCK_CLASSES = 2_048  # classes of one side of a task: with their sets at most 32 MB
 CLASS_SHINGLES = 2_048  # a set of so many shingles counts as two classes
 CHUNK = 2_048  # shingles hashed at once
 CELLS = 1 << 21  # signature cells compared at once
@@ -123,62 +124,84 @@ class Shingler:
 
 
 def shingled(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, d1, d2 (the set's digest), signature,
-    bands (keys), shingles; for empty sets the last three are null."""
+    """Per row: doc_id, text_hash, n_shingles, d1, d2 (the set's digest),
+    signature, bands (keys); for empty sets the last two are null."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         shingler = Shingler(words)
         for batch in batches:
-            ids, held, start = batch.column("doc_id"), [], 0
-            size = 0
-            for k, text in enumerate(batch.column("text")):
+            held = []
+            for text in batch.column("text"):
                 found = shingler.shingles(text.as_py())
-                packed = found.tobytes()
-                digest = np.frombuffer(xxh3_128_digest(packed), dtype="<i8")
+                digest = np.frombuffer(xxh3_128_digest(found.tobytes()), dtype="<i8")
                 signature = shingler.signature(found) if len(found) else None
                 bands = shingler.band_keys(signature) if len(found) else None
-                held.append((len(found), *digest.tolist(), signature, bands, packed))
-                size += len(packed) + 1024
+                held.append((len(found), *digest.tolist(), signature, bands))
+            columns = [batch.column("doc_id"), batch.column("text_hash"), *(pa.array([x[k] for x in held], pa.int64()) for k in range(3))]
+            columns.append(pa.array([None if x[3] is None else x[3].tobytes() for x in held], pa.binary()))
+            columns.append(pa.array([x[4] for x in held], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "d1", "d2", "signature", "bands"])
+
+    schema = f"doc_id {id_type}, text_hash bigint, n_shingles bigint, d1 bigint, d2 bigint, signature binary, bands array<bigint>"
+    return rows.mapInArrow(work, schema)
+
+
+def full_sets(docs: DataFrame, needed: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(class, shingles) of the classes listed in ``needed`` (class, doc_id,
+    text_hash): made from a row of the class."""
+    if needed.count() <= BROADCAST_CLASSES:
+        needed = F.broadcast(needed)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("own_id"), F.xxhash64(text).alias("own_hash"), text.cast("binary").alias("text"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
+    # rows that repeat id and text are one class's
+    one = rows.join(needed, same).select("class", "text").dropDuplicates(["class"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            held, start, size = [], 0, 0
+            for k, text in enumerate(batch.column("text")):
+                held.append(shingler.shingles(text.as_py()).tobytes())
+                size += len(held[-1])
                 if size > BATCH_BYTES or k == batch.num_rows - 1:
-                    yield _rows(ids.slice(start, len(held)), held)
+                    names = batch.column("class").slice(start, len(held))
+                    yield pa.RecordBatch.from_arrays([names, pa.array(held, pa.binary())], names=["class", "shingles"])
                     start, held, size = k + 1, [], 0
 
-    def _rows(ids, held) -> pa.RecordBatch:
-        columns = [ids, *(pa.array([x[k] for x in held], pa.int64()) for k in range(3))]
-        columns.append(pa.array([None if x[3] is None else x[3].tobytes() for x in held], pa.binary()))
-        columns.append(pa.array([x[4] for x in held], pa.list_(pa.int64())))
-        columns.append(pa.array([x[5] or None for x in held], pa.binary()))
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "d1", "d2", "signature", "bands", "shingles"])
-
-    schema = f"doc_id {id_type}, n_shingles bigint, d1 bigint, d2 bigint, signature binary, bands array<bigint>, shingles binary"
-    return rows.mapInArrow(work, schema)
+    return one.mapInArrow(work, "class bigint, shingles binary")
 
 
 # ------------------------------------------------------------------- buckets
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(key, class, n_shingles, blocks, low, high) for classes of one bucket:
-    a band's key that several classes have. Buckets of the same classes count
-    once, for their first band."""
-    member = classes.select("class", "n_shingles", F.explode("bands").alias("key"))
-    weight = F.lit(1.0) + F.col("n_shingles") / CLASS_SHINGLES
+    """(key, class, blocks, low, high) for classes of one bucket: a band's key
+    that several classes have. Buckets of the same classes count once, for
+    their first band."""
+    keys = classes.select("class", "n_shingles", F.explode("bands").alias("key"))
+    # most keys have one class: they go before anything else is gathered
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key").checkpoint()
+    if shared.count() <= BROADCAST_CLASSES:
+        shared = F.broadcast(shared)
+    member = keys.join(shared, "key", "left_semi").checkpoint()
     made = member.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(weight).alias("weight"),
+        F.sum(F.lit(1.0) + F.col("n_shingles") / CLASS_SHINGLES).alias("weight"),
         F.min("class").alias("low"),
         F.max("class").alias("high"),
         # together a hash of the set of classes
         F.bit_xor(F.xxhash64("class")).alias("x"),
         F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"),
     )
-    first = made.where("n > 1").groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key"), F.max("weight").alias("weight"))
+    first = made.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key"), F.max("weight").alias("weight"))
     blocks = F.ceil(F.col("weight") / BLOCK_CLASSES).cast("int")
-    return member.join(first.select("key", blocks.alias("blocks"), "low", "high"), "key")
+    return member.join(first.select("key", blocks.alias("blocks"), "low", "high"), "key").drop("n_shingles")
 
 
 def _block(n: Column) -> Column:
@@ -325,8 +348,9 @@ def _by_task(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
 _TASK = ["key", "i", "j"]
 
 
-def compare(tasks: DataFrame, classes: DataFrame, parts: DataFrame | None, percent: int) -> DataFrame:
-    """Links (a, b) of classes that join components of a task."""
+def compare(tasks: DataFrame, classes: DataFrame, parts: DataFrame | None, sets_of, percent: int) -> DataFrame:
+    """Links (a, b) of classes that join components of a task. ``sets_of``
+    gives the full sets of the classes that it gets."""
     least = _least(percent)
     rows = tasks.join(classes.select("class", "n_shingles", "signature"), "class")
     rows = rows.withColumn("part", F.col("class")) if parts is None else rows.join(parts, "class", "left").withColumn("part", F.coalesce("part", "class"))
@@ -353,11 +377,9 @@ def compare(tasks: DataFrame, classes: DataFrame, parts: DataFrame | None, perce
         _typed(candidates, types), f"{schema}, no bigint, class bigint, part bigint, one array<int>, two array<int>"
     )
     found = found.checkpoint()
-    # sets are wide: only those of candidates are shuffled
-    needed = found.select("class").distinct().checkpoint()
-    if needed.count() <= BROADCAST_CLASSES:
-        needed = F.broadcast(needed)
-    with_sets = found.join(classes.select("class", "shingles").join(needed, "class", "left_semi"), "class")
+    # only sets of candidates are made and moved
+    needed = classes.select("class", "doc_id", "text_hash").join(found.select("class").distinct(), "class", "left_semi")
+    with_sets = found.join(sets_of(needed.checkpoint()), "class")
     with_sets = with_sets.repartition(*_TASK).sortWithinPartitions(*_TASK, "no")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,17 +408,16 @@ def _typed(work, types: dict):
 # ---------------------------------------------------------------- components
 
 
-def near_classes(sets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_classes(classes: DataFrame, sets_of, percent: int = PERCENT) -> DataFrame:
     """(class, part) for classes with a link: the component's smallest class.
-    ``sets``: class, n_shingles, signature, bands, shingles, of which the rows
-    listed in ``classes`` (class) take part."""
-    member = buckets(sets.select("class", "n_shingles", "bands").join(classes, "class", "left_semi")).checkpoint()
-    links = compare(first_tasks(member), sets, None, percent).distinct().checkpoint()
+    ``classes``: class, doc_id, text_hash, n_shingles, signature, bands."""
+    member = buckets(classes).checkpoint()
+    links = compare(first_tasks(member), classes, None, sets_of, percent).distinct().checkpoint()
     parts = connected_components(links, "a", "b").withColumnsRenamed({"node": "class", "component": "part"})
     if member.where("blocks > 1").isEmpty():
         return parts
     parts = parts.checkpoint()
-    more = compare(second_tasks(member, parts), sets, parts, percent).distinct().checkpoint()
+    more = compare(second_tasks(member, parts), classes, parts, sets_of, percent).distinct().checkpoint()
     whole = connected_components(links.unionByName(more), "a", "b")
     return whole.withColumnsRenamed({"node": "class", "component": "part"})
 
@@ -406,7 +427,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_
     whether the row is the one of its component to keep."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    path = scratch_path(spark, "minhash-sets")
+    path = scratch_path(spark, "minhash-rows")
     shingled(docs, words, id_col, text_col).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
     files = files_for(spark, rows.count())
@@ -416,7 +437,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_
     narrow = rows.select("row", "doc_id", *ties)
     equal = narrow.where("n_shingles > 0").groupBy(*ties).agg(F.min("row").alias("class"), F.min(own).alias("best"))
     equal = equal.coalesce(files).checkpoint()
-    parts = near_classes(rows.withColumnRenamed("row", "class"), equal.select("class"), percent)
+    classes = rows.withColumnRenamed("row", "class").join(equal.select("class"), "class", "left_semi")
+    parts = near_classes(classes, lambda needed: full_sets(docs, needed, words, id_col, text_col), percent)
     linked = equal.join(parts, "class").select("class", "part", "best")
     least = linked.groupBy("part").agg(F.min("best").alias("least"))
     firsts = linked.join(least, "part").select("class", "least")
