@@ -30,8 +30,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ from meterlake.scratch import checkpoint_dir
 
 SPACE = "▁"
 GROUP_CHARS = 1 << 18  # characters of texts aligned together
-KNOWN_PIECES = 100_000  # pieces that a task remembers, twice
+KNOWN_PIECES = 150_000  # pieces that a task remembers
 KNOWN_LENGTH = 64  # longer pieces are not remembered
 BROADCAST_PAIRS = 1 << 18
 PAIR_BITS = 32  # an id pair as one number: A's id above B's
@@ -147,19 +147,20 @@ class Tokenizers:
             return b""
         return self.b.id_to_piece(i).replace(SPACE, " ").encode("utf-8")
 
-    def encode(self, pieces: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and B of pieces that start with a space (B adds its own)."""
-        a = self.a.encode_batch_fast(pieces, add_special_tokens=False)
+    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B of pieces that start with a space (B adds its own)."""
+        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
         b = self.b.encode([p[1:] for p in pieces], num_threads=1)
         # the library leaves an empty text without its space
-        return zip((e.ids for e in a), (x if p != " " else [self.space] for p, x in zip(pieces, b, strict=True)), strict=True)
+        return a, [x if x or p != " " else [self.space] for p, x in zip(pieces, b, strict=True)]
 
 
 class Aligner:
     """Alignments of texts, with a bounded memory of pieces seen."""
 
     def __init__(self, tokenizers: Tokenizers):
-        self.tokenizers, self.known, self.before = tokenizers, {}, {}
+        self.tokenizers, self.known = tokenizers, ({}, {})
+        self.bad: set[str] = set()  # pieces that a tokenizer does not spell out
         sizes = (tokenizers.bytes_a, tokenizers.bytes_b)
         self.long_a, self.long_b = (np.array([len(x) for x in t], dtype=np.int64) for t in sizes)
         # what an id adds to the group text: inside its run, and at its end
@@ -167,40 +168,48 @@ class Aligner:
             [f"{i}{mark}" for t, marks in zip(sizes, (",|", ",;"), strict=True) for mark in marks for i in range(len(t))], dtype=object
         )
 
-    def _learn(self, pieces: list[str]) -> dict[str, tuple | None]:
-        """Ids of A and of B of new pieces, as packed integers; None where a
-        tokenizer does not spell the piece."""
-        of_a, of_b = self.tokenizers.bytes_a, self.tokenizers.bytes_b
-        found: dict[str, tuple | None] = {}
-        for p, (a, b) in zip(pieces, self.tokenizers.encode(pieces), strict=True) if pieces else ():
-            whole = p.encode("utf-8")
-            spelled = b"".join([of_a[i] for i in a]) == whole == b"".join([of_b[i] for i in b])
-            found[p] = (array("I", a).tobytes(), array("I", b).tobytes()) if spelled else None
-        return found
+    def _learn(self, pieces: list[str]) -> None:
+        """Remembers the ids of A and of B of new pieces, as packed integers."""
+        spelled = [p.encode("utf-8") for p in pieces]
+        sizes = np.array([len(x) for x in spelled])
+        good = np.ones(len(pieces), dtype=bool)
+        for ids, known, table, lengths in zip(
+            self.tokenizers.encode(pieces), self.known, (self.tokenizers.bytes_a, self.tokenizers.bytes_b), (self.long_a, self.long_b), strict=True
+        ):
+            flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32)
+            ends = np.cumsum([len(x) for x in ids])
+            long = np.r_[0, np.cumsum(lengths[flat])]
+            held = np.diff(long[np.r_[0, ends]]) == sizes
+            if not held.all() or b"".join([table[i] for i in flat.tolist()]) != b"".join(spelled):
+                # some piece is not spelled out: which ones
+                held = np.array([b"".join([table[i] for i in x]) == y for x, y in zip(ids, spelled, strict=True)])
+            good &= held
+            packed, at = flat.tobytes(), (4 * np.r_[0, ends]).tolist()
+            known.update(zip(pieces, [packed[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True))
+        self.bad.update(p for p, fine in zip(pieces, good.tolist(), strict=True) if not fine)
 
     def _encoded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
         """The ids of A and of B of all texts, and where each text ends."""
         cut = [safe_pieces(" " + t) if t else [] for t in texts]
-        seen = {p for pieces in cut for p in pieces}
-        known = self.known
-        here = {p: x for p in seen if (x := known.get(p, 0)) != 0}
-        # what the last generation knew and this block has comes along
-        here |= {p: x for p in seen - here.keys() if (x := self.before.get(p, 0)) != 0}
-        here |= self._learn(list(seen - here.keys()))
-        if len(known) > KNOWN_PIECES:
-            self.before, known = known, {}
-            self.known = known
-        known.update((p, x) for p, x in here.items() if len(p) <= KNOWN_LENGTH)
+        if len(self.known[0]) > KNOWN_PIECES:
+            self.known, self.bad = ({}, {}), set()
+        of_a, of_b = self.known
+        new = list(set().union(*cut) - of_a.keys())
+        if new:
+            self._learn(new)
         a, b, ends_a, ends_b = [], [], [0], [0]
         for pieces in cut:
-            found = [here[p] for p in pieces]
-            if None in found:
-                found = []
-            one, two = b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
+            if self.bad and not self.bad.isdisjoint(pieces):
+                pieces = []
+            one, two = b"".join(map(of_a.__getitem__, pieces)), b"".join(map(of_b.__getitem__, pieces))
             a.append(one)
             b.append(two)
             ends_a.append(ends_a[-1] + len(one) // 4)
             ends_b.append(ends_b[-1] + len(two) // 4)
+        for p in new:
+            if len(p) > KNOWN_LENGTH:
+                del of_a[p], of_b[p]
+                self.bad.discard(p)
         flat = [np.frombuffer(b"".join(x), dtype=np.uint32).astype(np.int64) for x in (a, b)]
         return flat[0], flat[1], ends_a[1:], ends_b[1:]
 
