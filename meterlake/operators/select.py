@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
+from meterlake.operators.bitmap import bit_words, in_words
 from meterlake.schemas import Layout
 from meterlake.scratch import checkpoint_dir
 
@@ -35,8 +36,10 @@ def known_devices(
     """Rows of devices listed in ``ids`` (left semi join on the device).
 
     The id list is broadcast only after its size is checked (or when the
-    caller already checked it: ``broadcast_ids``). A registry too large to
-    broadcast is first narrowed to the devices present in the batch (the
+    caller already checked it: ``broadcast_ids``). A larger registry becomes
+    an exact bitmap, up to 64 ids to a row, which is broadcast up to
+    ``max_broadcast / 4`` rows (an entry is some four times as large). Only a
+    registry beyond that is narrowed to the devices present in the batch (the
     distinct device column, semi-joined with the registry, checkpointed and
     counted); that list is broadcast when it fits, so the wide batch is not
     shuffled by device. Only beyond that does the semi join shuffle (AQE
@@ -46,8 +49,11 @@ def known_devices(
         broadcast_ids = fits_broadcast(ids, max_broadcast)
     right = ids.select(column(layout.device).alias("_known_id"))
     if not broadcast_ids:
-        present = rows.select(column(layout.device).alias("_known_id")).distinct()
         checkpoint_dir(rows.sparkSession)
+        words = bit_words(ids, column(layout.device)).checkpoint(eager=True)
+        if fits_broadcast(words, max_broadcast // 4):
+            return in_words(rows, column(layout.device, rows), F.broadcast(words))
+        present = rows.select(column(layout.device).alias("_known_id")).distinct()
         right = present.join(right, "_known_id", "left_semi").checkpoint(eager=True)
         broadcast_ids = fits_broadcast(right, max_broadcast)
     if broadcast_ids:

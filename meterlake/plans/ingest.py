@@ -2,23 +2,23 @@
 
 Plan of ``store_batch`` (in brackets: what moves):
 
-1. registry reduced to (device, times listed) and staged; its row count says
-   whether it may be broadcast;
+1. registry ids staged as they come, counted while they are written: the
+   count says whether they may be broadcast;
 2. the batch's known rows staged once as Parquet under the checkpoint folder
-   [broadcast semi join; a larger registry is first narrowed to the devices
-   of the staged batch]: later steps read only the columns they need, and a
+   [broadcast semi join; a larger registry is broadcast as a bitmap]. Row
+   count, time range and the table's folders that the rows touch are observed
+   during this one write. Later steps read only the columns they need, and a
    lost executor costs no re-parse of the CSV files;
-3. stats per device and table folder touched: rows, first and last time
-   [partial aggregation; a small staged result];
-4. target keys = three columns of the touched folders that exist, in the
-   batch's time range (pushed down) and inside the device's ranges
-   [broadcast of the stats, size-checked];
-5. stored keys = distinct batch keys that are in the target [one narrow
-   shuffle of either side], staged and counted: few in a daily load;
-6. new rows = batch anti join stored keys [broadcast up to the limit, else a
-   sort-merge join], appended through one range shuffle of the wide rows;
-   nothing is written when no row is left;
-7. report from registry and stats (+ totals from the table) [checkpointed].
+3. a bitmap of fixed size of the batch's key hashes [partial aggregation, then
+   a broadcast of bounded size];
+4. possible matches = three columns of the touched folders, in the batch's time
+   range (pushed down), that the bitmap lets through [nothing is shuffled];
+   staged and counted while they are written: few in a daily load;
+5. new rows = batch anti join possible matches [broadcast up to the limit,
+   else a sort-merge join with hot keys salted], appended through one range
+   shuffle of the wide rows;
+6. report from registry and batch in one grouped sum (+ totals from the table)
+   [checkpointed].
 
 All staged files of a load are deleted at its end.
 """
@@ -26,86 +26,69 @@ All staged files of a load are deleted at its end.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.columns import column
+from meterlake.operators.bitmap import KEY_BITS, bit_words, in_words, key_number
 from meterlake.operators.conform import combine_feeds, conform
 from meterlake.operators.merge import (
     DEFAULT_BROADCAST_KEYS,
     TimeBounds,
     bound_target,
-    exact_time,
     insert_missing,
-    stored_keys,
+    insert_missing_salted,
+    time_range,
 )
-from meterlake.operators.report import batch_report, device_stats, listed_devices, with_totals
+from meterlake.operators.report import delivery_report, device_stats, with_totals
 from meterlake.operators.select import DEFAULT_BROADCAST_IDS, known_devices, registry_ids
 from meterlake.schemas import CANONICAL_FEEDS, DayFeeds, Layout
 from meterlake.scratch import checkpoint_dir, delete_path, scratch_path
 from meterlake.sources.csv import day_inputs, has_event_feed, read_events, read_periodic, read_registry
-from meterlake.sources.table import TableSpec, read_table, stored_folders, table_exists, write_rows
+from meterlake.sources.table import TableSpec, existing_folders, read_table, stored_folders, table_exists, write_rows
 
 log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
-class BatchSummary:
-    """What the driver needs to plan the merge, from one aggregate over the
-    stats: the time range and the size of the stats."""
+def _stage(df: DataFrame, path: str, **seen: Column) -> tuple[DataFrame, dict]:
+    """Written once as Parquet and read back with the same schema, and the
+    aggregates ``seen`` of its rows, observed during the write."""
+    observation = Observation()
+    df.observe(observation, *[c.alias(n) for n, c in seen.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), observation.get
 
-    bounds: TimeBounds
-    stats_rows: int
 
-
-def batch_summary(stats: DataFrame, layout: Layout) -> BatchSummary:
-    dtype = layout.type_of(layout.time)
-    row = stats.agg(
-        exact_time(F.min("_low"), dtype).alias("lo"),
-        exact_time(F.max("_high"), dtype).alias("hi"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    return BatchSummary(TimeBounds(row["lo"], row["hi"], dtype), row["n"])
-
-
-def _stage(df: DataFrame, path: str) -> DataFrame:
-    """Written once as Parquet, read back with the same schema."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def target_keys(
+    spark: SparkSession,
+    spec: TableSpec,
+    bounds: TimeBounds,
+    folders: list[str] | None = None,
+    device_ranges: DataFrame | None = None,
+) -> DataFrame:
+    """Keys of the stored rows of the folders that are in the batch's time
+    range (and in a device's range)."""
+    target = bound_target(read_table(spark, spec, keep_partition=True, folders=folders), spec.layout, bounds, device_ranges)
+    return target.select(*[column(k) for k in spec.layout.key])
 
 
-def target_keys(spark: SparkSession, spec: TableSpec, stats: DataFrame, max_broadcast: int) -> DataFrame:
-    """Keys of the stored rows that some row of the batch could match."""
-    lay = spec.layout
-    summary = batch_summary(stats, lay)
-    folders = None
-    if spec.derived_fields and spec.fmt == "parquet":
-        folders = stored_folders(spark, spec, stats, "_folder")
-    target = bound_target(
-        read_table(spark, spec, keep_partition=True, folders=folders),
-        lay,
-        summary.bounds,
-        device_ranges=stats if summary.stats_rows <= max_broadcast else None,
-    )
-    return target.select(*[column(k) for k in lay.key])
+def possible_matches(keys: DataFrame, batch: DataFrame, layout: Layout, bits: int = KEY_BITS) -> DataFrame:
+    """Target keys that the bitmap of the batch's key hashes lets through: all
+    keys that the batch shares, and few others. Nothing is shuffled but the
+    bitmap's words, at most ``bits / 64`` rows."""
+    place = key_number(layout, bits)
+    return in_words(keys, place, F.broadcast(bit_words(batch, place)))
 
 
 def new_rows(
-    batch: DataFrame, target: DataFrame, layout: Layout, stage_path: str, max_broadcast_keys: int
-) -> DataFrame | None:
-    """Rows of the (staged) batch whose key the target lacks; None if there
-    are none. The wide rows meet only the few keys that both sides share."""
-    keys = batch.select(*[column(k) for k in layout.key])
-    stored = _stage(stored_keys(keys, target, layout), stage_path)
-    n = stored.count()
-    if n == 0:
+    batch: DataFrame, matches: DataFrame, n_matches: int, n_rows: int, layout: Layout, max_broadcast_keys: int
+) -> DataFrame:
+    """Rows of the (staged) batch whose key is not among the matches."""
+    if n_matches == 0:
         return batch
-    strategy = "broadcast" if n <= max_broadcast_keys else "merge"
-    if insert_missing(keys, stored, layout, strategy).isEmpty():
-        return None
-    return insert_missing(batch, stored, layout, strategy)
+    if n_matches <= max_broadcast_keys:
+        return insert_missing(batch, matches, layout, "broadcast")
+    return insert_missing_salted(batch, matches, layout, n_rows)
 
 
 def store_batch(
@@ -127,30 +110,38 @@ def store_batch(
     spark, lay = rows.sparkSession, spec.layout
     checkpoint_dir(spark)
     work = scratch_path(spark, "load")
+    n = F.count(F.lit(1))
     try:
-        registry = _stage(listed_devices(ids, lay), f"{work}/registry")
-        small = registry.count() <= max_broadcast
-        if not small:
-            rows = _stage(rows, f"{work}/delivered")
-        known = known_devices(rows, registry.select(column(lay.device)), lay, small, max_broadcast)
-        batch = _stage(known, f"{work}/batch")
-        folder = spec.folder()
-        scoped = batch.withColumn("_folder", folder) if folder is not None else batch
-        stats = device_stats(scoped, lay, by="_folder" if folder is not None else None)
-        stats = _stage(stats, f"{work}/stats")
-        add: DataFrame | None = batch
-        if stats.isEmpty():
-            add = None
-        elif table_exists(spark, spec.path):
-            add = new_rows(batch, target_keys(spark, spec, stats, max_broadcast), lay, f"{work}/stored", max_broadcast_keys)
+        registry, listed = _stage(ids.select(column(lay.device).alias(lay.device)), f"{work}/registry", n=n)
+        known = known_devices(rows, registry, lay, listed["n"] <= max_broadcast, max_broadcast)
+        exists = table_exists(spark, spec.path)
+        time, dtype, folder = column(lay.time), lay.type_of(lay.time), spec.top_folder()
+        seen = {"n": n, **time_range(time, time, dtype)}
+        if exists and folder is not None and spec.fmt == "parquet":
+            # at most the folders that the table has
+            seen["folders"] = F.collect_set(F.when(folder.isin(existing_folders(spark, spec)), folder))
+        batch, seen = _stage(known, f"{work}/batch", **seen)
+        add: DataFrame | None = batch if seen["n"] else None
+        if add is not None and exists:
+            bounds = TimeBounds(seen["lo"], seen["hi"], dtype)
+            folders = sorted(seen["folders"]) if "folders" in seen else None
+            if folders and spec.partition_by == "bucket":
+                inner = device_stats(batch.withColumn("_folder", spec.folder()), lay, by="_folder")
+                folders = stored_folders(spark, spec, inner, "_folder")
+            keys = target_keys(spark, spec, bounds, folders)
+            matches, met = _stage(possible_matches(keys, batch, lay), f"{work}/matches", n=n)
+            add = new_rows(batch, matches, met["n"], seen["n"], lay, max_broadcast_keys)
+            # without folders an empty write would leave an empty file
+            if not spec.partition_columns and met["n"] and new_rows(
+                batch.select(*[column(k) for k in lay.key]), matches, met["n"], seen["n"], lay, max_broadcast_keys
+            ).isEmpty():
+                add = None
         if add is not None:
             write_rows(add, spec)
-        report = batch_report(registry, stats, lay)
+        report = delivery_report(registry, batch, lay).checkpoint(eager=True)
         if with_row_totals:
-            report = report.checkpoint(eager=True)
-            report = with_totals(report, _reporting_rows(spark, spec, report), lay)
-        report = report.checkpoint(eager=True)
-        log.info("stored data from %d listed devices", report.agg(F.sum("listed")).first()[0] or 0)
+            report = with_totals(report, _reporting_rows(spark, spec, report), lay).checkpoint(eager=True)
+        log.info("stored data from %d listed devices", listed["n"])
         return report
     finally:
         delete_path(spark, work)

@@ -91,6 +91,13 @@ class TableSpec:
         ]
         return F.concat_ws("/", *parts) if parts else None
 
+    def top_folder(self) -> Column | None:
+        """Name of a row's outermost folder; None without folders."""
+        if self.partition_by == "device":
+            return F.concat(F.lit(f"{self.layout.device}="), F.coalesce(column(self.layout.device).cast("string"), F.lit(_NULL_FOLDER)))
+        whole = self.folder()
+        return None if whole is None else F.substring_index(whole, "/", 1)
+
     @property
     def storage_schema(self) -> T.StructType:
         return T.StructType(list(self.layout.schema.fields) + self.derived_fields)
@@ -119,6 +126,11 @@ def _child_folders(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
 
 
+def existing_folders(spark: SparkSession, spec: TableSpec) -> list[str]:
+    """Names of the table's outermost folders."""
+    return _child_folders(spark, spec.path)
+
+
 def stored_folders(spark: SparkSession, spec: TableSpec, wanted: DataFrame, name: str) -> list[str]:
     """Those of the wanted folders (text column ``name``) that the table has.
 
@@ -158,7 +170,7 @@ def read_table(
     if spec.fmt != "parquet":
         return reader.load(spec.path).select(*columns)
     reader = reader.schema(spec.storage_schema)
-    if folders is not None and spec.derived_fields:
+    if folders is not None and spec.partition_columns:
         paths = [f"{spec.path.rstrip('/')}/{f}" for f in folders]
         return reader.option("basePath", spec.path).load(paths).select(*columns)
     return reader.load(spec.path).select(*columns)

@@ -150,11 +150,10 @@ def test_with_position_total_order(spark):
 def test_time_bounds_are_time_zone_free(spark):
     from pyspark.sql import types as T
 
-    from meterlake.plans.ingest import batch_summary
+    from meterlake.operators import TimeBounds, time_range
 
     def time_bounds(stats, dtype):
-        lay = Layout(_struct([("device_id", LONG, True), ("timestamp", dtype, True), ("event_id", LONG, True)]))
-        return batch_summary(stats, lay).bounds
+        return TimeBounds(*stats.agg(*time_range(F.col("_low"), F.col("_high"), dtype).values()).first(), dtype)
 
     ntz = spark.createDataFrame([("2024-03-31 02:30:00",)], "s string").select(
         F.col("s").cast("timestamp_ntz").alias("_low"), F.col("s").cast("timestamp_ntz").alias("_high"))
