@@ -1,8 +1,9 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
 Words are the runs of letters and digits of the lower-cased text; shingles
-are five words (a shorter text has one shingle, the whole word sequence, and
-so matches texts of the same words only; a text without words has none). A
+are five words. An item of one to four words has one shingle, all its words in
+order, and documents are cut into shingles of those lengths too, for the
+lengths that occur among the items. A text without words has no shingle. A
 document contains an item when it holds at least ``threshold`` of the item's
 distinct shingles, wherever they stand in the document.
 
@@ -68,18 +69,14 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 
 
 def shingle_hashes(words: list[str], size: int = WORDS) -> np.ndarray:
-    """A 63-bit hash of each shingle, in order; equal shingles hash equally."""
-    if not words:
+    """A 63-bit hash of each shingle of ``size`` words, in order; equal
+    shingles hash equally, and the size counts."""
+    if len(words) < size or not size:
         return np.empty(0, dtype=np.int64)
     own = _word_hashes(words)
-    if len(words) < size:
-        # a whole short text is no shingle of a longer one: the length counts
-        runs, n = [own[i : i + 1] for i in range(len(words))], len(words)
-    else:
-        runs, n = [own[i : len(own) - size + 1 + i] for i in range(size)], size
-    mixed = np.full(len(runs[0]), n, dtype=np.uint64)
-    for part in runs:
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + part
+    mixed = np.full(len(own) - size + 1, size, dtype=np.uint64)
+    for i in range(size):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + own[i : i + len(mixed)]
         mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(32)
@@ -105,23 +102,30 @@ def _blocks(text: str | None, size: int) -> Iterator[list[str]]:
         yield held
 
 
+def _cuts(text: str | None, sizes: list[int]) -> Iterator[tuple[list[str], int]]:
+    """The word blocks, each with every shingle length."""
+    for block in _blocks(text, max(sizes)):
+        for size in sizes:
+            yield block, size
+
+
 def _shingle_texts(words: list[str], size: int) -> list[str]:
-    if len(words) < size:
-        return [" ".join(words)] if words else []
-    return [" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
+    return [" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] if size else []
 
 
 def item_shingles(items: DataFrame, size: int = WORDS, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, no, hash, shingle, n): the distinct shingles of each item row,
-    ``no`` their rank by hash and ``n`` their number."""
+    """(item_id, no, hash, shingle, n, words): the distinct shingles of each
+    item row, ``no`` their rank by hash, ``n`` their number and ``words`` their
+    length."""
 
-    @F.pandas_udf("array<struct<no: int, hash: bigint, shingle: string, n: int>>")
+    @F.pandas_udf("array<struct<no: int, hash: bigint, shingle: string, n: int, words: int>>")
     def cut(texts: pd.Series) -> pd.Series:
         out = []
         for text in texts:
             words = words_of(text)
-            found = sorted(set(zip(shingle_hashes(words, size).tolist(), _shingle_texts(words, size), strict=True)))
-            out.append([{"no": i, "hash": h, "shingle": s, "n": len(found)} for i, (h, s) in enumerate(found)])
+            k = min(size, len(words))
+            found = sorted(set(zip(shingle_hashes(words, k).tolist(), _shingle_texts(words, k), strict=True)))
+            out.append([{"no": i, "hash": h, "shingle": s, "n": len(found), "words": k} for i, (h, s) in enumerate(found)])
         return pd.Series(out, dtype=object)
 
     rows = items.where(F.col(id_col).isNotNull())
@@ -149,7 +153,7 @@ def _filters(sketch: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
     return out
 
 
-def _document_sketch(docs: DataFrame, filters: dict, size: int) -> DataFrame:
+def _document_sketch(docs: DataFrame, filters: dict, sizes: list[int]) -> DataFrame:
     """(doc_id, text_hash, class, hash): what of each document may match."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast({c: (top, np.packbits(held)) for c, (top, held) in filters.items()})
@@ -161,18 +165,19 @@ def _document_sketch(docs: DataFrame, filters: dict, size: int) -> DataFrame:
             out = []
             for text in texts:
                 found: set = set()
-                for block in _blocks(text, size):
+                for block, size in _cuts(text, sizes):
                     hashes = shingle_hashes(block, size)
                     slots = hashes & (FILTER_BITS - 1)
                     for c, (top, held) in own.items():
                         found.update((c, h) for h in hashes[held[slots] & (hashes <= top)].tolist())
                 out.append([{"class": c, "hash": h} for c, h in sorted(found)])
             yield pd.Series(out, dtype=object)
+        _KNOWN.clear()  # a worker outlives its task
 
     return docs.withColumn("s", F.explode(sketch("text"))).select("doc_id", "text_hash", "s.*")
 
 
-def _candidate_shingles(docs: DataFrame, filters: dict, size: int) -> DataFrame:
+def _candidate_shingles(docs: DataFrame, filters: dict, sizes: list[int]) -> DataFrame:
     """(doc_id, text_hash, hash, shingle): distinct shingles of the candidate
     documents that some item may hold."""
     sc = docs.sparkSession.sparkContext
@@ -188,12 +193,13 @@ def _candidate_shingles(docs: DataFrame, filters: dict, size: int) -> DataFrame:
             out = []
             for text in texts:
                 found: set = set()
-                for block in _blocks(text, size):
+                for block, size in _cuts(text, sizes):
                     hashes = shingle_hashes(block, size)
                     for i in np.flatnonzero(own[hashes & (FILTER_BITS - 1)]).tolist():
                         found.add((int(hashes[i]), " ".join(block[i : i + size])))
                 out.append([{"hash": h, "shingle": s} for h, s in sorted(found)])
             yield pd.Series(out, dtype=object)
+        _KNOWN.clear()
 
     return docs.withColumn("s", F.explode(cut("text"))).select("doc_id", "text_hash", "s.*")
 
@@ -219,7 +225,9 @@ def contained_items(
     missing = F.floor(F.col("n") * (1 - threshold) + 1e-9)
     sketch = shingles.where(F.col("no") <= missing).select("class", "hash", "item_id", "item_row")
     filters = _filters(sketch)
-    hits = _document_sketch(rows, filters, size).join(sketch, ["class", "hash"])
+    # one to ``size`` lengths
+    sizes = sorted({size} | {r[0] for r in shingles.select("words").distinct().collect()})
+    hits = _document_sketch(rows, filters, sizes).join(sketch, ["class", "hash"])
     pairs = hits.select("doc_id", "text_hash", "item_id", "item_row").distinct()
     pairs = pairs.coalesce(files_for(docs.sparkSession, docs.count())).checkpoint()
 
@@ -227,7 +235,7 @@ def contained_items(
     if wanted.count() <= max_broadcast:
         wanted = F.broadcast(wanted)
     again = rows.join(wanted, (rows["text_hash"] == wanted["_hash"]) & rows["doc_id"].eqNullSafe(wanted["_id"]), "left_semi")
-    found = _candidate_shingles(again, _filters(shingles), size).distinct()
+    found = _candidate_shingles(again, _filters(shingles), sizes).distinct()
     # the documents' shingles meet the items' by hash and by text ...
     shared = found.join(shingles, ["hash", "shingle"]).select("doc_id", "text_hash", "item_id", "item_row", "n", "hash", "shingle")
     counted = shared.groupBy("doc_id", "text_hash", "item_id", "item_row", "n").agg(F.count(F.lit(1)).alias("n_shared"))

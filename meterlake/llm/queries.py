@@ -255,8 +255,13 @@ ORACLE_SQL = {
             SELECT 0 AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
             UNION ALL
             SELECT 1, item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') FROM benchmark),
-        starts AS (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0),
-        shingles AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM starts),
+        lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE kind = 1 AND len(w) > 0),
+        cuts AS (
+            SELECT kind, id, w, least(len(w), 5) AS k FROM words WHERE kind = 1 AND len(w) > 0
+            UNION ALL
+            SELECT kind, id, w, k FROM words JOIN lengths ON kind = 0 AND len(w) >= k),
+        starts AS (SELECT kind, id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM cuts),
+        shingles AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + k - 1], ' ') AS s FROM starts),
         sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 1 GROUP BY id)
         SELECT d.id AS doc_id, b.id AS item_id, count(*) / any_value(z.n) AS containment, count(*) AS n_shared,
                any_value(z.n) AS n_shingles

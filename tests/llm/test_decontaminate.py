@@ -8,15 +8,16 @@ from tests.llm.helpers import ODD_TEXTS, bag, docs, empty, read
 
 def cut(text, size=5):
     w = re.findall(r"[^\W_]+", (text or "").lower())
-    return {" ".join(w[i : i + size]) for i in range(len(w) - size + 1)} or ({" ".join(w)} if w else set())
+    return {" ".join(w[i : i + size]) for i in range(len(w) - size + 1)} if size else set()
 
 
 def brute(documents, items):
     out = {}
-    for d, text in documents:
-        own = cut(text)
-        for i, item in items:
-            of = cut(item)
+    for i, item in items:
+        size = min(5, len(re.findall(r"[^\W_]+", (item or "").lower())))
+        of = cut(item, size)
+        for d, text in documents:
+            own = cut(text, size)
             if i is not None and of and len(own & of) >= 0.8 * len(of) - 1e-9:
                 out[d, i] = max(out.get((d, i), 0), len(own & of) / len(of))
     return [(d, i, c) for (d, i), c in out.items()]
@@ -42,6 +43,9 @@ def fixture(spark):
     ]))
     rows += [(0, few), (0, "other"), (None, few)]
     items = [(1, few), (2, "three word text"), (3, None), (4, ""), (None, few), (5, " ".join(LONG[100:160])), (5, "one more item of five"), (1, few)]
+    # items of one to four words, found inside long texts and at their ends
+    rows += [(50, " ".join(LONG[:20_000]) + " lone, wolf! " + " ".join(LONG)), (51, "the end is Lone Wolf"), (52, "wolf lone"), (53, "lone")]
+    items += [(10, "lone wolf"), (11, "Lone"), (12, "word7 word8 word9 word10"), (13, "word7 word9 word10"), (14, "a three word text")]
     return rows, items
 
 
