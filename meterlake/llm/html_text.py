@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("script style noscript template iframe object svg math canvas audio video map datalist".split())
-JUNK = set("head nav footer aside form button select textarea input menu dialog label fieldset title".split())
+JUNK = set("head nav footer aside button select textarea input menu dialog label fieldset title".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup"
     " time tt u var".split()
@@ -68,6 +68,7 @@ SCOPES = set("ul ol dl table select html body article section div td th".split()
 LONG = 80  # characters that make a paragraph count fully
 SIBLING_SHARE = 0.2
 MENU_LINKS = 3
+TEASER_LINKS = 0.2  # share of linked text from which a further article is a teaser
 MOST = 0.5  # share of a page's text that no class name alone takes away
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""")
@@ -94,9 +95,10 @@ def _junk_kind(tag: str, attributes: str, inside_article: bool) -> tuple[bool, i
     of something else and does not count."""
     if tag in JUNK or tag in HIDDEN or (tag == "header" and not inside_article):
         return True, 0
-    named, seen = 0, set()
+    # a form goes like a named element, unless it holds most of the text; its controls always go
+    named, seen = int(tag == "form"), set()
     if not attributes:
-        return False, 0
+        return False, named
     for name, *values in _ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name in seen:
@@ -108,10 +110,12 @@ def _junk_kind(tag: str, attributes: str, inside_article: bool) -> tuple[bool, i
         if name == "role":
             if value in JUNK_ROLES:
                 return True, 0
-        elif name in ("class", "id") and tag not in ("html", "body", "main", "article"):
+        elif name in ("class", "id") and tag not in ("html", "body", "main"):
             for word in value.split():
                 parts = [x for x in _NAME.split(word) if x]
                 names = set(parts[: next((i for i, x in enumerate(parts) if x in NOT_ITSELF), len(parts))])
+                if tag == "article" and not names & COMMENTS:
+                    continue  # only reader comments make an article junk
                 if names & JUNK_NAMES or "header" in names and not inside_article:
                     named = max(named, 2 if names & COMMENTS else 1)
     return False, named
@@ -375,6 +379,8 @@ def main_text(page: str | None) -> str:
                 continue
             if sibling in totals and score(sibling) >= SIBLING_SHARE * score(best):
                 kept.add(sibling)
+            elif sibling.tag == best.tag == "article" and sibling.linked < TEASER_LINKS * max(sibling.chars, 1):
+                kept.add(sibling)  # a further article, not a teaser that links to one
             elif sibling.tag in ("p", "h1", "h2", "h3", "pre", "blockquote") and sibling.linked < 0.3 * max(sibling.chars, 1):
                 kept.add(sibling)
     inside: dict[Node, bool] = {}

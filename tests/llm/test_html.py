@@ -123,3 +123,22 @@ def test_short_parts_of_an_article_stay(open_, close):
 def test_menus_of_links_beside_the_text_stay_out():
     menu = "<div><a href=1>one link</a> <a href=2>two links</a> <a href=3>three</a></div>"
     assert H.main_text(f"<body>{menu}<div>{ARTICLE}</div>by the way, loose<div>{menu}</div></body>") == WANT + "\n\nby the way, loose"
+
+
+PARAGRAPH = "A sentence of the article, long enough to count, with commas, and some more words that say little. "
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<body><form action='/x'><nav>Home</nav><div><p>{PARAGRAPH}</p></div><input name=a><button>Go</button></form></body>", PARAGRAPH.strip()),
+        (f"<form><article><p>{PARAGRAPH}</p></article></form>", PARAGRAPH.strip()),
+        (f"<body><article><p>{PARAGRAPH}</p></article><form><p>Join us</p><label>Mail</label><input></form></body>", PARAGRAPH.strip()),
+        (f"<main><article><p>{PARAGRAPH * 5}</p></article><article><p>Short one.</p></article></main>", (PARAGRAPH * 5).strip() + "\n\nShort one."),
+        (f"<main><article><p>{PARAGRAPH * 5}</p></article><article><h2><a href=x>Read this other story</a></h2><p>More</p></article></main>", (PARAGRAPH * 5).strip()),
+        (f"<main><article><p>{PARAGRAPH * 5}</p><article class='comment'><p>I disagree.</p></article></article></main>", (PARAGRAPH * 5).strip()),
+        (f"<main><article><p>{PARAGRAPH * 5}</p></article><article class='comment'><p>{PARAGRAPH}</p></article></main>", (PARAGRAPH * 5).strip()),
+    ],
+)
+def test_forms_further_articles_and_comments(page, want):
+    assert H.main_text(page) == want
