@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.names import own_columns, unused
-from meterlake.llm.tables import files_for
+from meterlake.llm.tables import files_for, release_memory
 from meterlake.scratch import checkpoint_dir
 
 WORDS = 5
@@ -173,6 +173,7 @@ def _document_sketch(docs: DataFrame, filters: dict, sizes: list[int]) -> DataFr
                 out.append([{"class": c, "hash": h} for c, h in sorted(found)])
             yield pd.Series(out, dtype=object)
         _KNOWN.clear()  # a worker outlives its task
+        release_memory()
 
     return docs.withColumn("s", F.explode(sketch("text"))).select("doc_id", "text_hash", "s.*")
 
@@ -200,6 +201,7 @@ def _candidate_shingles(docs: DataFrame, filters: dict, sizes: list[int]) -> Dat
                 out.append([{"hash": h, "shingle": s} for h, s in sorted(found)])
             yield pd.Series(out, dtype=object)
         _KNOWN.clear()
+        release_memory()
 
     return docs.withColumn("s", F.explode(cut("text"))).select("doc_id", "text_hash", "s.*")
 

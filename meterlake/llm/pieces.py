@@ -44,10 +44,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.tables import release_memory
+
 SPACE = "▁"
 BLOCK_CHARS = 1 << 18  # characters of distinct words in one index
-KNOWN_WORDS = 250_000
-BATCH_CHARS = 1 << 20  # characters of texts taken together
+KNOWN_WORDS = 200_000
+BATCH_CHARS = 1 << 19  # characters of texts taken together
 LONG_WORD = 1 << 12
 PACK, CODE_BITS = 3, 21  # code points in one search key, bits of each
 NONE = np.iinfo(np.int64).max
@@ -469,6 +471,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out_col: st
         encoder = _encoder(model_path)
         for texts in batches:
             yield encode_array(encoder, texts)
+        release_memory()
 
     return docs.withColumn(out_col, ids(F.col(text_col)))
 
@@ -482,5 +485,6 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str
         model = load_model(model_path)
         for ids in batches:
             yield pd.Series([None if x is None else _decode(model, x) for x in ids], dtype=object)
+        release_memory()
 
     return docs.withColumn(out_col, text(F.col(ids_col)))

@@ -24,17 +24,17 @@ from meterlake.llm import (
     token_counts,
 )
 
-from meterlake.llm.tables import batches_of_texts, files_for
+from meterlake.llm.tables import batches_of_texts, text_files_for
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sized(out: DataFrame, source: DataFrame) -> DataFrame:
-    """A result about as long as its source, in as many partitions (files)
-    as the source's rows ask for."""
-    return out.coalesce(files_for(source.sparkSession, source.count()))
+def sized(out: DataFrame, source: DataFrame, text_col: str = "text") -> DataFrame:
+    """A result made from the source's texts, in as many partitions (files) as
+    their bytes ask for."""
+    return out.coalesce(text_files_for(source, text_col))
 
 
 def tokenizer_file(name: str) -> str:
@@ -48,7 +48,8 @@ def op1_merkle_fixity(spark, sf_dir):
     two hex digits of md5(page_id), 00: the replica's payload is changed, 01:
     the replica lacks the record, 02: the primary lacks it."""
     pages = table(spark, sf_dir, "pages")
-    mark = F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2)
+    # pages without an id are audited too, and are sound
+    mark = F.coalesce(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2), F.lit(""))
     sound = fixity.lay_out(fixity.page_records(pages))
     # the damaged copies keep their places
     changed = pages.where(mark == "00").withColumn("html", F.concat(F.lit("#"), F.expr("substring(coalesce(html, ''), 2)")))
@@ -139,7 +140,7 @@ def _sized_by(name: str, query):
     @functools.wraps(query)
     def run(spark, sf_dir):
         batches_of_texts(spark)
-        return sized(query(spark, sf_dir), table(spark, sf_dir, name))
+        return sized(query(spark, sf_dir), table(spark, sf_dir, name), "html" if name == "pages" else "text")
 
     return run
 

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.components import connected_components
 from meterlake.llm.names import keep_listed, own_columns, unused
-from meterlake.llm.tables import files_for
+from meterlake.llm.tables import files_for, release_memory
 from meterlake.scratch import checkpoint_dir
 
 WORDS = 3
@@ -108,6 +108,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
     def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([fingerprint(t, words) for t in batch], dtype="int64")
+        release_memory()
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(

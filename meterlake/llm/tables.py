@@ -10,9 +10,12 @@ where there are fewer partitions anyway, as there are at full scale.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROWS_PER_FILE = 20_000
+BYTES_PER_FILE = 16 << 20
 ROWS_PER_SMALL_FILE = 100_000
 
 
@@ -20,6 +23,19 @@ def files_for(spark: SparkSession, rows: int) -> int:
     return max(3 * spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE))
 
 
+def text_files_for(source: DataFrame, text_col: str) -> int:
+    """For what is made from whole texts: by their bytes, so that a task's
+    share does not grow with the length of the texts."""
+    held = source.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(3 * source.sparkSession.sparkContext.defaultParallelism, -(-held // BYTES_PER_FILE))
+
+
+def release_memory() -> None:
+    """Called by a Python function at the end of its task: Arrow's unused
+    memory goes back, as workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def small_files_for(rows: int) -> int:
     """For tables that no later stage works long on."""
     return max(1, -(-rows // ROWS_PER_SMALL_FILE))
