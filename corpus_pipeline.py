@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from meterlake.llm import decontaminate, exact_dedup, pieces, quality, simhash
 from meterlake.llm.queries import sized, table, tokenizer_file
 from meterlake.llm.tables import batches_of_texts
-from meterlake.scratch import scratch_path
+from meterlake.scratch import delete_path, scratch_path
 
 
 def _stage(operator):
     """A stage: Arrow batches that suit texts, and a result in as many files as
-    its input's rows ask for."""
+    the bytes of its input's texts ask for."""
 
     @functools.wraps(operator)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,10 +81,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``. Between stages the rows are a Parquet
-    table in the shared folder: a lost executor repeats one stage at most."""
-    docs = table(spark, sf_dir, "documents")
+    table in the shared folder: a lost executor repeats one stage at most. A
+    table goes when the next one is written; the last stays for the result."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, "stage-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
