@@ -20,7 +20,7 @@ from meterlake.plans import roles
 from meterlake.plans.ingest import ingest_day, load_day, store_batch, stored_rows
 from meterlake.scratch import scratch_path
 from meterlake.sources.csv import day_inputs, read_events, read_periodic, read_registry
-from meterlake.sources.table import TableSpec, create_table, read_device
+from meterlake.sources.table import TableSpec, create_table, read_device, read_devices
 
 NARROW = roles.NARROW
 
@@ -71,6 +71,14 @@ def q_one_device(spark, sf_dir):
     return with_position(read_device(spark, spec, roles.DEVICE_PROBE), _order())
 
 
+def q_many_devices(spark, sf_dir):
+    """The rows of an eighth of the suppliers, all of one bucket."""
+    spec = _spec(spark, "many-devices", "bucket")
+    create_table(roles.known_rows(spark, sf_dir), spec)
+    ids = roles.supplier_ids(spark, sf_dir)
+    return read_devices(spark, spec, ids.where(column(ids.columns[0]) % 8 == 3))
+
+
 def q_create_table(spark, sf_dir):
     spec = _spec(spark, "create")
     create_table(roles.known_rows(spark, sf_dir), spec)
@@ -227,6 +235,7 @@ QUERIES = {
     "combine_feeds": q_combine_feeds,
     "known_devices": q_known_devices,
     "one_device": q_one_device,
+    "many_devices": q_many_devices,
     "create_table": q_create_table,
     "insert_missing": q_insert_missing,
     "insert_missing_stored": q_insert_missing_stored,
@@ -386,6 +395,7 @@ ORACLE_SQL = {
         f"SELECT {COLS}, row_number() OVER (ORDER BY {_ORDER_SQL}) AS \"position\" "
         f'FROM ({_known_sql()}) k WHERE "device_id" = {roles.DEVICE_PROBE}'
     ),
+    "many_devices": f'SELECT {COLS} FROM ({_known_sql()}) k WHERE "device_id" % 8 = 3',
     "create_table": _known_sql(),
     "insert_missing": _MERGED,
     "insert_missing_stored": _MERGED,

@@ -14,6 +14,7 @@ from meterlake.sources.table import (
     create_table,
     ensure_schema,
     read_device,
+    read_devices,
     read_table,
     table_exists,
     write_rows,
@@ -27,6 +28,7 @@ __all__ = [
     "ensure_schema",
     "has_event_feed",
     "read_device",
+    "read_devices",
     "read_events",
     "read_feed",
     "read_periodic",

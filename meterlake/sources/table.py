@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from meterlake.functions.columns import column, day_of
 from meterlake.schemas import CANONICAL_LAYOUT, Layout
+from meterlake.scratch import checkpoint_dir
 
 log = logging.getLogger(__name__)
 
@@ -205,6 +206,33 @@ def read_device(
     return rows
 
 
+def read_devices(spark: SparkSession, spec: TableSpec, ids: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
+    """Rows of all devices listed in ``ids`` (first column; repeats and nulls
+    do not matter), in one scan.
+
+    Up to ``max_broadcast`` counted ids are broadcast. In the bucket and device
+    layouts the join is on the folder column too, so Spark opens only folders
+    that some id falls in (dynamic partition pruning); in the others the ids
+    meet the rows. More ids are joined by a shuffle.
+    """
+    lay = spec.layout
+    wanted = ids.select(column(ids.columns[0]).cast("long").alias("_device")).where("_device IS NOT NULL").distinct()
+    checkpoint_dir(spark)
+    wanted = wanted.checkpoint(eager=True)
+    rows = read_table(spark, spec, keep_partition=True)
+    match = column(lay.device) == F.col("_device")
+    # pruning is planned only for a filtered list; the bounds leave all of it
+    if spec.partition_by == "bucket":
+        wanted = wanted.withColumn("_bucket", spec.bucket_value(F.col("_device"))).where(F.col("_bucket") < spec.buckets)
+        match = match & (F.col("bucket") == F.col("_bucket"))
+    elif spec.partition_by == "device":
+        low, high = wanted.agg(F.min("_device"), F.max("_device")).first()
+        wanted = wanted.where(F.col("_device").between(low, high)) if low is not None else wanted
+    if wanted.count() <= max_broadcast:
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, match, "left_semi").select(*[column(n) for n in lay.names])
+
+
 def sort_keys(spec: TableSpec) -> list[Column]:
     """Clustering of stored rows: directory columns first (the writer keeps an
     order only if it starts with them), then day, device, time, event (nulls

@@ -193,6 +193,26 @@ def test_device_read_opens_its_bucket_and_period(spark, tmp_dir):
     assert period.count() == known.where((F.col("device_id") == 7) & F.col("timestamp").between(start, end)).count() > 0
 
 
+@pytest.mark.parametrize("partition_by", ["bucket", "device", "month"])
+def test_read_of_many_devices_opens_their_folders(spark, tmp_dir, partition_by):
+    from meterlake.sources import read_devices, write_rows
+
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, partition_by, buckets=5)
+    known = roles.known_rows(spark, SF_SMALL)
+    write_rows(known, spec)
+    ids = spark.createDataFrame([(2,), (7,), (7,), (None,), (10**6,)], "id long")
+    want = known.where("device_id IN (2, 7)").count()
+    for limit in (10, 0):
+        got = read_devices(spark, spec, ids, max_broadcast=limit)
+        assert got.count() == want > 0
+    assert read_devices(spark, spec, ids.where("id < 0")).count() == 0
+    few = read_devices(spark, spec, ids)
+    assert ("dynamicpruning" in _plan(few)) == (partition_by != "month")
+    # 2 and 7 share bucket 2
+    if partition_by == "bucket":
+        assert {f.split("bucket=")[1].split("/")[0] for f in _opened(few)} == {"2"}
+
+
 def _opened(df):
     """Files that rows come from (partition filters applied)."""
     return [r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()]
