@@ -61,31 +61,21 @@ def known_devices(
     return rows.join(right, column(layout.device, rows) == F.col("_known_id"), "left_semi")
 
 
-def first_row_per_device(rows: DataFrame, layout: Layout, max_broadcast: int = DEFAULT_BROADCAST_IDS) -> DataFrame:
+def first_row_per_device(rows: DataFrame, layout: Layout) -> DataFrame:
     """First row of each device in (time, event, other columns) order, nulls
     first.
 
-    The first time of each device is a hash aggregate of two primitives (is
-    any time null, smallest time), partial on the map side: a device holding a
-    third of all rows costs one small record per task, and the wide rows are
-    not sorted. Joined back, it leaves each device's rows of that time, and
-    only those are compared as a whole (ties become deterministic). The firsts
-    are one row per device; they are broadcast when counted to be few enough.
+    The input is read once. Each task sorts its own rows by device and order
+    and keeps one row per device (the limit that Spark puts below the exchange
+    of a ranked window), so what is shuffled is at most one row per device and
+    task, also for a device that holds a third of all rows or has no times at
+    all. The sort spills; no row is held for longer than the next one.
     """
-    checkpoint_dir(rows.sparkSession)
-    dev, time = column(layout.device), column(layout.time)
-    firsts = rows.groupBy(dev.alias("_dev")).agg(F.max(time.isNull()).alias("_none"), F.min(time).alias("_first"))
-    # where some time is null, the first time is null
-    firsts = firsts.select("_dev", F.when(~F.col("_none"), F.col("_first")).alias("_first")).checkpoint(eager=True)
-    if fits_broadcast(firsts, max_broadcast):
-        firsts = F.broadcast(firsts)
-    same = dev.eqNullSafe(F.col("_dev")) & time.eqNullSafe(F.col("_first"))
-    few = rows.join(firsts, same, "left_semi")
+    dev = column(layout.device)
     rest = [n for n in layout.names if n not in (layout.device, layout.time, layout.event)]
-    order = [layout.time, layout.event] + rest
-    packed = F.struct(*[column(n).alias(n) for n in order])
-    best = few.groupBy(dev.alias(layout.device)).agg(F.min(packed).alias("_best"))
-    return best.select(*[dev if n == layout.device else F.col("_best")[n].alias(n) for n in layout.names])
+    order = [column(n).asc_nulls_first() for n in (layout.time, layout.event, *rest)]
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(dev).orderBy(*order)))
+    return ranked.where("_rank = 1").select(*[column(n) for n in layout.names])
 
 
 def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:

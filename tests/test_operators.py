@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,15 +101,24 @@ def test_first_row_per_device_nulls_first(spark):
     assert None in got  # grouping keeps a null device group (inputs are filtered before)
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_first_row_plan_sorts_only_the_rows_of_the_first_time(spark, limit):
-    rows = frame(spark, MERGE_FIXTURE)
-    got = first_row_per_device(rows, MINI, max_broadcast=limit)
+def test_first_row_reads_its_input_once_and_shuffles_one_row_per_device_and_task(spark, tmp_dir):
+    path = f"{tmp_dir}/rows"
+    many = spark.range(0, 20_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 7).alias("device_id"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"),  # all of one order up to the measures
+        F.lit(None).cast("long").alias("event_id"),
+        (20_000 - F.col("id")).cast("double").alias("v"),
+    )
+    many.write.parquet(path)
+    rows = spark.read.parquet(path)
+    got = first_row_per_device(rows, MINI)
+    want = {r.device_id: r.v for r in rows.groupBy("device_id").agg(F.min("v").alias("v")).collect()}
+    assert {r.device_id: r.v for r in got.collect()} == want
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "LeftSemi" in plan
-    # the comparison of whole rows stands above the join with the first times
-    assert plan.index("SortAggregate") < plan.index("LeftSemi") and "SortAggregate" not in plan[plan.index("LeftSemi") :]
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, first_row_per_device(rows, MINI).collect()))
+    plan = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    below = plan[plan.index("Exchange hashpartitioning") :]
+    assert re.search(r"WindowGroupLimit.*Partial", below)
 
 
 def test_with_position_splits_rows_of_equal_order(spark):
