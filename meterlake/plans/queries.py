@@ -86,7 +86,7 @@ def q_create_table(spark, sf_dir):
 
 
 def _part(rows):
-    number = F.coalesce(column("event_id"), F.dayofmonth(column("timestamp")).cast("long"))
+    number = F.coalesce(column("event_id"), F.dayofmonth(column("timestamp")).cast("long"), F.lit(0))
     return F.pmod(column("device_id") + number, F.lit(5))
 
 
@@ -298,11 +298,13 @@ def _range_where(column_name: str, bounds) -> str:
         parts.append(f"{column_name} >= {_ts(low)}")
     if high is not None:
         parts.append(f"{column_name} < {_ts(high)}")
+    if low is None and parts:
+        parts = [f"({parts[0]} OR {column_name} IS NULL)"]
     return ("WHERE " + " AND ".join(parts)) if parts else ""
 
 
 _ORDER_SQL = ", ".join(f'"{n}" NULLS FIRST' for n in NARROW.names if n != NARROW.device)
-_PART = '("device_id" + COALESCE("event_id", CAST(day("timestamp") AS BIGINT))) % 5'
+_PART = '("device_id" + COALESCE("event_id", CAST(day("timestamp") AS BIGINT), 0)) % 5'
 _EXISTING = f'SELECT * FROM ({_known_sql()}) k WHERE {_PART} IN (0, 1, 2)'
 _DELIVERED = (
     'SELECT "device_id", "timestamp", "event_id", "qty" + 1000 AS "qty", "price", "value" + 1000 AS "value", "status" '

@@ -157,13 +157,15 @@ def event_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_range(df: DataFrame, time: str, bounds) -> DataFrame:
+    """Rows of a delivery; those without a time come with the first one (no
+    lower bound)."""
     low, high = bounds
     cond = F.lit(True)
     if low is not None:
         cond = cond & (column(time) >= F.lit(low).cast("timestamp_ntz"))
     if high is not None:
         cond = cond & (column(time) < F.lit(high).cast("timestamp_ntz"))
-    return df.where(cond)
+    return df.where(cond if low is not None else cond | column(time).isNull())
 
 
 def write_csv(df: DataFrame, path: str) -> None:
