@@ -14,6 +14,12 @@ Layouts (``TableSpec.partition_by``):
   suits small fleets only (files grow with devices x loads).
 * ``None`` — unpartitioned, still sorted.
 
+``TableSpec.order="zorder"`` (month layout) sorts by a space-filling
+key of device and day instead of by day first. A file then holds some devices
+on some days, so a device read and a one-day read both open only part of a
+backfilled month's files; a load of a single day is ordered by device either
+way.
+
 Partition values never become Python dates: folders are named and matched as
 text that Spark makes, so any timestamp Spark can hold can be stored.
 
@@ -37,6 +43,8 @@ from meterlake.scratch import checkpoint_dir
 
 log = logging.getLogger(__name__)
 
+# bits of each side of the space-filling key; 32 cells hold a month's days
+Z_BITS = 5
 _GRAINS = ("month", "day", "bucket", "device", None)
 # FIXED VALUE: folder value of a null partition
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -49,8 +57,13 @@ class TableSpec:
     partition_by: str | None = "month"
     fmt: str = "parquet"
     buckets: int = 16
+    order: str = "time"
 
     def __post_init__(self):
+        if self.order not in ("time", "zorder"):
+            raise ValueError(f"order must be 'time' or 'zorder', got {self.order!r}")
+        if self.order == "zorder" and self.partition_by != "month":
+            raise ValueError("order='zorder' is for the month layout")
         if self.partition_by not in _GRAINS:
             raise ValueError(f"partition_by must be one of {_GRAINS}, got {self.partition_by!r}")
 
@@ -247,6 +260,31 @@ def sort_keys(spec: TableSpec) -> list[Column]:
     return [k.asc_nulls_first() for k in [*keys, time, column(lay.event)]]
 
 
+def device_splits(rows: DataFrame, spec: TableSpec) -> list[int]:
+    """At most 2**Z_BITS - 1 device ids that cut the rows into about equal
+    shares. One pass over the device column; only the ids reach the driver."""
+    cells = 1 << Z_BITS
+    shares = F.array(*[F.lit(i / cells) for i in range(1, cells)])
+    cuts = rows.agg(F.percentile_approx(column(spec.layout.device), shares).alias("cuts")).first()["cuts"]
+    return sorted(set(cuts or []))
+
+
+def z_value(spec: TableSpec, splits: list[int]) -> Column:
+    """Space-filling key: the bits of the day of the month and of the device's
+    share in turn, the day's first. A null counts as zero."""
+    lay = spec.layout
+    time, device = column(lay.time), column(lay.device)
+    day = F.coalesce(F.dayofmonth(day_of(time, lay.type_of(lay.time))), F.lit(0))
+    share = F.lit(0)
+    for cut in splits:
+        share = share + F.when(device > F.lit(cut), 1).otherwise(0)
+    key = F.lit(0)
+    for bit in range(Z_BITS):
+        for side, value in ((0, share), (1, day)):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(value, bit).bitwiseAND(F.lit(1)), 2 * bit + side))
+    return key
+
+
 def warn_of_timestamps(spark: SparkSession, layout: Layout) -> None:
     """INT96 timestamps have no min/max statistics, so time filters on the
     table could not skip row groups; the setting is the session owner's."""
@@ -271,9 +309,13 @@ def write_rows(rows: DataFrame, spec: TableSpec, mode: str = "append") -> None:
     # a deterministic row hash, computed once, ends the range key: rows sharing
     # one key (e.g. a stuck meter clock) still spread over tasks, and a retried
     # task sends every row to the same range as before (unlike rand())
-    out = out.withColumns({**spec.derived_values(), "_row_hash": F.xxhash64(*[column(n) for n in lay.names])})
+    helpers = {"_row_hash": F.xxhash64(*[column(n) for n in lay.names])}
     keys = [*sort_keys(spec), F.col("_row_hash").asc()]
-    out = out.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_row_hash")
+    if spec.order == "zorder":
+        helpers["_z"] = z_value(spec, device_splits(out, spec))
+        keys.insert(len(spec.partition_columns), F.col("_z").asc())
+    out = out.withColumns({**spec.derived_values(), **helpers})
+    out = out.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*helpers)
     writer = out.write.format(spec.fmt).mode(mode)
     if spec.partition_columns:
         writer = writer.partitionBy(*spec.partition_columns)

@@ -175,6 +175,84 @@ def test_files_are_in_key_order(spark, tmp_dir, partition_by):
     assert checked >= (1 if partition_by is None else 3)
 
 
+def _months_files(spark, path, order):
+    """A month of 64 devices, an hourly row each, in files of 1,000 rows."""
+    from meterlake.sources import write_rows
+
+    rows = spark.range(0, 31 * 24 * 64).select(
+        (F.col("id") % 64 * 1000).alias("device_id"),
+        F.expr("timestamp_ntz'2024-03-01' + make_dt_interval(0, CAST(id div 64 AS INT))").alias("timestamp"),
+    )
+    rows = rows.unionByName(  # a null time and years out of the common
+        spark.sql("SELECT 5000L AS device_id, EXPLODE(ARRAY(NULL, timestamp_ntz'0001-01-31', timestamp_ntz'9999-12-31')) AS timestamp")
+    )
+    rows = rows.select(*[
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in roles.NARROW.schema.fields
+    ])
+    spec = TableSpec(path, roles.NARROW, order=order)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "1000")
+    try:
+        write_rows(rows, spec)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    folder = os.path.join(path, "month=2024-03-01")
+    return rows, spec, [os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet")]
+
+
+def _share_that_may_hold(files, name, low, high):
+    """Share of row groups whose statistics overlap low to high."""
+    hit = total = 0
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index(name)
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            total += 1
+            hit += stats.min <= high and stats.max >= low
+    return hit / total
+
+
+def test_zorder_bounds_device_and_day_reads_of_a_month(spark, tmp_dir):
+    import datetime as dt
+
+    from meterlake.sources import read_device, read_table
+
+    shares = {}
+    for order in ("time", "zorder"):
+        rows, spec, files = _months_files(spark, os.path.join(tmp_dir, order), order)
+        assert len(files) >= 40
+        devices = [_share_that_may_hold(files, "device_id", d, d) for d in range(0, 64_000, 1000)]
+        days = [
+            _share_that_may_hold(files, "timestamp", dt.datetime(2024, 3, d), dt.datetime(2024, 3, d, 23, 59)) for d in range(1, 32)
+        ]
+        shares[order] = max(devices), max(days)
+        assert read_table(spark, spec).exceptAll(rows).isEmpty() and rows.exceptAll(read_table(spark, spec)).isEmpty()
+        assert read_device(spark, spec, 5000).count() == 31 * 24 + 3
+    assert shares["zorder"][0] <= 0.35 and shares["zorder"][1] <= 0.35
+    assert shares["time"][0] > 0.6  # by day first, nearly every day's files may hold the device
+
+
+def test_zorder_is_for_the_month_layout():
+    with pytest.raises(ValueError):
+        TableSpec("t", partition_by="device", order="zorder")
+    with pytest.raises(ValueError):
+        TableSpec("t", order="hilbert")
+
+
+def test_loads_into_a_zorder_table_are_safe_to_repeat(spark, tmp_dir):
+    from meterlake.sources import read_table
+
+    stored = {}
+    for order in ("time", "zorder"):
+        in_dir = os.path.join(tmp_dir, f"in-{order}")
+        spec = TableSpec(os.path.join(tmp_dir, f"t-{order}"), roles.NARROW, order=order)
+        roles.write_day(spark, SF_SMALL, in_dir, roles.DAY_A)
+        for _ in range(2):
+            ingest_day(spark, roles.DAY_A[0], in_dir, spec, roles.NARROW_FEEDS)
+        stored[order] = sorted(map(repr, read_table(spark, spec).collect()))
+    assert stored["time"] == stored["zorder"] and stored["time"]
+
+
 def test_device_read_opens_its_bucket_and_period(spark, tmp_dir):
     from meterlake.sources import read_device, read_table, write_rows
 
