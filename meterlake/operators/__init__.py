@@ -11,7 +11,14 @@ from meterlake.operators.merge import (
     stored_keys,
     time_range,
 )
-from meterlake.operators.report import batch_report, delivery_report, device_stats, listed_devices, with_totals
+from meterlake.operators.report import (
+    batch_report,
+    delivery_report,
+    device_stats,
+    join_totals,
+    listed_devices,
+    with_totals,
+)
 from meterlake.operators.select import (
     DEFAULT_BROADCAST_IDS,
     first_row_per_device,
@@ -37,6 +44,7 @@ __all__ = [
     "in_words",
     "insert_missing",
     "insert_missing_salted",
+    "join_totals",
     "key_number",
     "known_devices",
     "listed_devices",

@@ -41,12 +41,20 @@ from meterlake.operators.merge import (
     insert_missing_salted,
     time_range,
 )
-from meterlake.operators.report import delivery_report, device_stats, with_totals
+from meterlake.operators.report import delivery_report, device_stats, join_totals, with_totals
 from meterlake.operators.select import DEFAULT_BROADCAST_IDS, known_devices, registry_ids
 from meterlake.schemas import CANONICAL_FEEDS, DayFeeds, Layout
 from meterlake.scratch import checkpoint_dir, delete_path, scratch_path
 from meterlake.sources.csv import day_inputs, has_event_feed, read_events, read_periodic, read_registry
-from meterlake.sources.table import TableSpec, existing_folders, read_table, stored_folders, table_exists, write_rows
+from meterlake.sources.table import (
+    TableSpec,
+    device_counts,
+    existing_folders,
+    read_table,
+    stored_folders,
+    table_exists,
+    write_rows,
+)
 
 log = logging.getLogger(__name__)
 
@@ -140,22 +148,29 @@ def store_batch(
             write_rows(add, spec)
         report = delivery_report(registry, batch, lay).checkpoint(eager=True)
         if with_row_totals:
-            report = with_totals(report, _reporting_rows(spark, spec, report), lay).checkpoint(eager=True)
+            report = _with_totals(spark, spec, report).checkpoint(eager=True)
         log.info("stored data from %d listed devices", listed["n"])
         return report
     finally:
         delete_path(spark, work)
 
 
-def _reporting_rows(spark: SparkSession, spec: TableSpec, report: DataFrame) -> DataFrame:
-    """Stored rows of folders that may hold a reporting device: with buckets,
-    those of its bucket (at most ``spec.buckets`` numbers reach the driver)."""
+def _with_totals(spark: SparkSession, spec: TableSpec, report: DataFrame) -> DataFrame:
+    """The report with the stored rows of its devices, from folders that may
+    hold a reporting one. One folder per device: from the files' footers (the
+    folders that reach the driver are among those that the table has). With
+    buckets: by a scan of the devices' buckets (at most ``spec.buckets`` numbers
+    reach the driver)."""
+    lay = spec.layout
+    active = report.where(F.col("rows_stored") > 0)
+    if spec.partition_by == "device" and spec.fmt == "parquet" and table_exists(spark, spec.path):
+        folders = stored_folders(spark, spec, active.select(spec.top_folder().alias("_folder")), "_folder")
+        return join_totals(report, device_counts(spark, spec, folders), lay)
     rows = read_table(spark, spec, keep_partition=True)
-    if spec.partition_by != "bucket":
-        return rows
-    bucket = spec.bucket_value(column(spec.layout.device)).alias("bucket")
-    used = report.where(F.col("rows_stored") > 0).select(bucket).distinct().collect()
-    return rows.where(F.col("bucket").isin([r["bucket"] for r in used]))
+    if spec.partition_by == "bucket":
+        used = active.select(spec.bucket_value(column(lay.device)).alias("bucket")).distinct().collect()
+        rows = rows.where(F.col("bucket").isin([r["bucket"] for r in used]))
+    return with_totals(report, rows, lay)
 
 
 def load_day(spark: SparkSession, date: str, in_dir: str, spec: TableSpec, feeds: DayFeeds = CANONICAL_FEEDS):

@@ -128,13 +128,22 @@ def _two_days(spark, sf_dir):
     return in_dir
 
 
-def q_batch_report_totals(spark, sf_dir):
+def _second_report(spark, sf_dir, partition_by):
     in_dir = _two_days(spark, sf_dir)
-    spec = _spec(spark, "report", "bucket")
+    spec = _spec(spark, "report", partition_by)
     ingest_day(spark, roles.DAY_A[0], in_dir, spec, roles.NARROW_FEEDS)
     return ingest_day(spark, roles.DAY_B[0], in_dir, spec, roles.NARROW_FEEDS, with_row_totals=True)
 
 
+def q_batch_report_totals(spark, sf_dir):
+    return _second_report(spark, sf_dir, "bucket")
+
+
+def q_batch_report_footers(spark, sf_dir):
+    """A folder per device: totals from the files' footers."""
+    return _second_report(spark, sf_dir, "device")
+
+
 def q_event_gate(spark, sf_dir):
     in_dir = scratch_path(spark, "in")
     whole = ("a", (None, None), (None, None))
@@ -241,6 +250,7 @@ QUERIES = {
     "insert_missing_stored": q_insert_missing_stored,
     "batch_report": q_batch_report,
     "batch_report_totals": q_batch_report_totals,
+    "batch_report_footers": q_batch_report_footers,
     "event_gate": q_event_gate,
     "csv_scan": q_csv_scan,
     "ingest_day": q_ingest_day,
@@ -438,3 +448,4 @@ ORACLE_SQL = {
         'ON b."device_id" = r."device_id"'
     ),
 }
+ORACLE_SQL["batch_report_footers"] = ORACLE_SQL["batch_report_totals"]

@@ -12,6 +12,7 @@ from meterlake.sources.csv import (
 from meterlake.sources.table import (
     TableSpec,
     create_table,
+    device_counts,
     ensure_schema,
     read_device,
     read_devices,
@@ -25,6 +26,7 @@ __all__ = [
     "TableSpec",
     "create_table",
     "day_inputs",
+    "device_counts",
     "ensure_schema",
     "has_event_feed",
     "read_device",

@@ -153,7 +153,7 @@ def stored_folders(spark: SparkSession, spec: TableSpec, wanted: DataFrame, name
     folders that exist.
     """
     found = [""]
-    for depth in range(1, len(spec.derived_fields) + 1):
+    for depth in range(1, len(spec.partition_columns) + 1):
         existing = [
             "/".join(filter(None, (above, child)))
             for above in found
@@ -246,6 +246,29 @@ def read_devices(spark: SparkSession, spec: TableSpec, ids: DataFrame, max_broad
     return rows.join(wanted, match, "left_semi").select(*[column(n) for n in lay.names])
 
 
+# SESSION OPTIONS of the footer reads: Spark's newer Parquet reader, and counts from footers
+_FOOTER_OPTIONS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def device_counts(spark: SparkSession, spec: TableSpec, folders: list[str] | None = None) -> DataFrame:
+    """(device, n_rows) of the stored rows, of all folders or of the given
+    ones (see ``stored_folders``); a device without rows has no row.
+
+    In the device layout a folder holds one device, so Spark adds up the row
+    counts of the files' footers and reads no column. Its reader for this is
+    chosen by session options; they are set on a session of its own, which
+    shares the context, and the caller's stay as they are. Other layouts
+    and formats scan the device column.
+    """
+    if spec.partition_by == "device" and spec.fmt == "parquet" and folders != []:
+        footers = spark.newSession()
+        for key, value in _FOOTER_OPTIONS.items():
+            footers.conf.set(key, value)
+        spark = footers
+    rows = read_table(spark, spec, folders=folders)
+    return rows.groupBy(column(spec.layout.device)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def sort_keys(spec: TableSpec) -> list[Column]:
     """Clustering of stored rows: directory columns first (the writer keeps an
     order only if it starts with them), then day, device, time, event (nulls

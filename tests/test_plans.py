@@ -310,3 +310,29 @@ def test_read_device_is_partition_or_pushed_filter(spark, tmp_dir):
     assert "EqualTo(device_id,7)" in plan_m
     want = known.where("device_id = 7").count()
     assert read_device(spark, by_device, 7).count() == read_device(spark, by_month, 7).count() == want > 0
+
+
+@pytest.mark.parametrize("partition_by", ["device", "bucket", "month", None])
+def test_device_counts_come_from_footers_where_a_folder_is_a_device(spark, tmp_dir, partition_by):
+    from meterlake.sources import device_counts, write_rows
+
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, partition_by, buckets=3)
+    assert device_counts(spark, spec).count() == 0
+    known = roles.known_rows(spark, SF_SMALL)
+    write_rows(known, spec)
+    write_rows(known, spec)  # several files a device
+    options = ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")
+    before = [spark.conf.get(o) for o in options]
+    counted = device_counts(spark, spec)
+    want = {r.device_id: 2 * r["count"] for r in known.groupBy("device_id").count().collect()}
+    assert {r.device_id: r.n_rows for r in counted.collect()} == want and want
+    assert ("PushedAggregation: [COUNT(*)]" in _plan(counted)) == (partition_by == "device")
+    # the caller's session keeps its options, also where its frames meet the counts
+    assert [spark.conf.get(o) for o in options] == before
+    met = known.select("device_id").distinct().join(counted, "device_id")
+    assert ("PushedAggregation: [COUNT(*)]" in _plan(met)) == (partition_by == "device")
+    assert {r.device_id: r.n_rows for r in met.collect()} == want
+    if partition_by == "device":
+        some = device_counts(spark, spec, ["device_id=2", "device_id=7"])
+        assert {r.device_id: r.n_rows for r in some.collect()} == {d: n for d, n in want.items() if d in (2, 7)}
+        assert device_counts(spark, spec, []).count() == 0
