@@ -9,9 +9,13 @@ its share of text outside links. The element with the best score is the
 container, or the nearest article (else main) element around it, or, without
 one, the outermost parent with no junk beside; all of it but its junk is kept.
 Text right beside it and siblings with enough points of their own, or with plain text under
-few links, are kept with it. Menus, page headers and footers, sidebars,
+few links, are kept with it, and so are a heading right before it, a header that
+is named as the article's, and the h1 outside of articles that says what the
+page's title (or its first part) says; of a page header only that h1 stays.
+Menus, page headers and footers, sidebars,
 notices, adverts, forms and reader comments — told by element, role, class or
-id, or as lists made of links — count nowhere and are left out. A class or id
+id, or as lists made of links (in an article: before its first paragraph; later
+ones are references) — count nowhere and are left out. A class or id
 alone leaves nothing out that holds most of the article or, on pages without
 an article or main element, most of the text.
 
@@ -38,7 +42,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 HIDDEN = set("script style noscript template iframe object svg math canvas audio video map datalist".split())
 JUNK = set("head nav footer aside button select textarea input menu dialog label fieldset title".split())
 INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup"
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup"
     " time tt u var".split()
 )
 LIST_LIKE = set("ul ol dl div section p table tbody tr".split())
@@ -51,6 +55,9 @@ JUNK_NAMES = set(
     " comment comments disqus reply replies respond social share sharing related recommended recommendations widget"
     " skip".split()
 )
+CONTROLS = set("select textarea input button".split())
+# class parts that, with header, name the article's own header
+ARTICLE_PARTS = set("post entry article story content".split())
 COMMENTS = set("comment comments disqus reply replies respond".split())
 # class parts after these name what the element has or lacks, not what it is
 NOT_ITSELF = set("no has have with without hide show not non".split())
@@ -69,11 +76,13 @@ LONG = 80  # characters that make a paragraph count fully
 SIBLING_SHARE = 0.2
 MENU_LINKS = 3
 TEASER_LINKS = 0.2  # share of linked text from which a further article is a teaser
+HEADER, OWN_HEADER = 3, 4
 MOST = 0.5  # share of a page's text that no class name alone takes away
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
+_TITLE_PARTS = re.compile(r"\s+[-–—:·•|»]\s+|\s*[|»]\s*")
 _NAME = re.compile(r"[^a-z0-9]+")
 _END_OF = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in HIDDEN | {"title", "textarea"}}
 
@@ -91,7 +100,8 @@ class Node:
 
 def _junk_kind(tag: str, attributes: str, inside_article: bool) -> tuple[bool, int]:
     """Whether it is junk by element, role or ``hidden``; and by a part of its
-    class or id alone (1, or 2 for reader comments, 0 if not). A part after no, has, with and the like tells
+    class or id alone (1, 2 for reader comments, 3 for a header, 0 if not; 4 for
+    the article's own header, which is none). A part after no, has, with and the like tells
     of something else and does not count."""
     if tag in JUNK or tag in HIDDEN or (tag == "header" and not inside_article):
         return True, 0
@@ -116,8 +126,14 @@ def _junk_kind(tag: str, attributes: str, inside_article: bool) -> tuple[bool, i
                 names = set(parts[: next((i for i, x in enumerate(parts) if x in NOT_ITSELF), len(parts))])
                 if tag == "article" and not names & COMMENTS:
                     continue  # only reader comments make an article junk
-                if names & JUNK_NAMES or "header" in names and not inside_article:
-                    named = max(named, 2 if names & COMMENTS else 1)
+                if names & JUNK_NAMES:
+                    kind = 2 if names & COMMENTS else 1
+                elif "header" in names and not inside_article:
+                    kind = OWN_HEADER if names & ARTICLE_PARTS else HEADER
+                else:
+                    continue
+                if named in (0, HEADER, OWN_HEADER) or kind == 2:
+                    named = kind
     return False, named
 
 
@@ -175,6 +191,8 @@ def parse(page: str) -> Node:
             continue
         if tag in _END_OF:
             end = _END_OF[tag].search(page, i)
+            if tag == "title":
+                node.kids.append(page[i : n if end is None else end.start()])
             i = n if end is None else end.start()  # its end tag comes next
             if end is not None:
                 k = page.find(">", i)
@@ -262,6 +280,70 @@ def _blocks(root: Node) -> list[tuple[Node, str, int]]:
     return out
 
 
+def _text(node: Node) -> str:
+    """Its text without junk, white space as one space."""
+    out, stack = [], [node]
+    while stack:
+        at = stack.pop()
+        if isinstance(at, str):
+            out.append(at)
+        elif at is node or not at.junk:
+            out.append(" " if at.tag not in INLINE else "")
+            stack.extend(reversed(at.kids))
+    return " ".join(entities.unescape("".join(out)).split())
+
+
+def _find_title(root: Node) -> tuple[Node | None, Node | None]:
+    """The h1 that the page's title names, with the page header that held it,
+    of which all else goes; nulls where none stands outside of articles.
+    Labels in articles are text, unless they are of a form or a control."""
+    title, inside, free, headed = None, [], [], []
+    stack: list = [(root, False, False, None)]
+    while stack:
+        node, article, form, header = stack.pop()
+        if node.tag == "title" and title is None:
+            title = _text(node).casefold()
+        if node.tag == "label" and article and not form:
+            node.junk = any(k.tag in CONTROLS for k in node.kids if not isinstance(k, str))
+        if node.tag == "header" and node.junk or node.named == HEADER:
+            header = header or node
+        elif node.junk and node.tag != "head" or node.named not in (0, OWN_HEADER) and node.tag != "form":
+            continue
+        if node.tag == "h1":
+            (inside if article else headed if header else free).append((node, header))
+        article, form = article or node.tag in ("article", "main"), form or node.tag in ("form", "fieldset")
+        stack.extend((k, article, form, header) for k in reversed(node.kids) if not isinstance(k, str))
+    if not title:
+        return None, None
+    names = {title, _TITLE_PARTS.split(title)[0]}
+    for found in (inside, free, headed):
+        for node, header in found:
+            if _text(node).casefold() in names:
+                if found is inside:
+                    return None, None
+                at = node
+                while header is not None and at is not header:
+                    at.parent.kids, at = [at], at.parent
+                if header is not None:
+                    header.junk, header.named = False, 0
+                return node, header
+    return None, None
+
+
+def _only_headings(node: Node) -> bool:
+    """Whether it has text, all of it in headings, little of it linked."""
+    stack, seen = [node], False
+    while stack:
+        at = stack.pop()
+        if at.tag in ("h1", "h2"):
+            seen = seen or at.chars > 0
+            continue
+        if any(k.strip() for k in at.kids if isinstance(k, str)):
+            return False
+        stack.extend(k for k in at.kids if not isinstance(k, str) and not k.junk)
+    return seen and node.linked < 0.3 * node.chars
+
+
 def _mark_named(root: Node) -> None:
     """Junk by class or id alone, unless it holds more than ``MOST`` of the
     text in article and main elements (of all text, on a page without them),
@@ -273,7 +355,7 @@ def _mark_named(root: Node) -> None:
         linked, inside = linked or node.tag == "a", inside or node.tag in ("article", "main")
         order.append((node, linked, inside))
         stack.extend((k, linked, inside) for k in node.kids if not isinstance(k, str) and not k.junk)
-    if not any(node.named for node, _, _ in order):
+    if not any(node.named not in (0, OWN_HEADER) for node, _, _ in order):
         return
     sizes: dict[Node, tuple[int, int]] = {}  # in article and main elements, in all
     for node, linked, inside in reversed(order):
@@ -283,19 +365,21 @@ def _mark_named(root: Node) -> None:
     of = 0 if sizes[root][0] else 1
     total = sizes[root][of]
     for node, _, _ in order:
-        if node.named:
+        if node.named not in (0, OWN_HEADER):
             held = sizes[node][of]
             node.junk = held <= MOST * total or node.named == 2 and total - held >= LONG
 
 
 def _mark_link_lists(root: Node) -> None:
-    """Lists made of links are menus wherever they stand."""
-    order, stack = [], [root]
+    """Lists made of links are menus; in an article those that stand before
+    its first paragraph."""
+    order, stack = [], [(root, None)]
     while stack:
-        node = stack.pop()
-        order.append(node)
-        stack.extend(k for k in node.kids if not isinstance(k, str))
-    for node in reversed(order):
+        node, article = stack.pop()
+        article = node if node.tag == "article" else article
+        order.append((node, article))
+        stack.extend((k, article) for k in reversed(node.kids) if not isinstance(k, str))
+    for node, _ in reversed(order):
         for kid in node.kids:
             if isinstance(kid, str):
                 size = len(" ".join(kid.split()))
@@ -306,13 +390,16 @@ def _mark_link_lists(root: Node) -> None:
                 node.linked += kid.linked
         if node.tag == "a":
             node.linked, node.links = node.chars, 1
-    for node in order:
+    begun: set[Node] = set()
+    for node, article in order:
+        if node.tag == "p" and not node.junk and node.linked < 0.8 * node.chars:
+            begun.add(article)
         items = node.tag in ("ul", "ol", "dl") and node.links >= MENU_LINKS
-        if items and node.linked >= 0.8 * node.chars:
+        if items and node.linked >= 0.8 * node.chars and (article is None or article not in begun):
             node.junk = True
 
 
-def _container(best: Node, root: Node) -> Node:
+def _container(best: Node, root: Node, header: Node | None = None) -> Node:
     """The nearest article or main element around the best one, with all that
     it holds; without one, or around it, the parents that hold no junk."""
     node = best
@@ -334,7 +421,7 @@ def _container(best: Node, root: Node) -> Node:
     for node in reversed(order):
         marked = node.junk and node.tag not in HIDDEN and node.tag not in ("head", "title", "input", "button")
         links = node.tag not in INLINE and node.links >= MENU_LINKS and node.linked >= 0.5 * node.chars
-        if marked or links or any(k in unclean for k in node.kids if not isinstance(k, str)) and not node.junk:
+        if marked or links or node is header or any(k in unclean for k in node.kids if not isinstance(k, str)) and not node.junk:
             unclean.add(node)
     # what is inside the best element counts neither for nor against its parents
     while at.parent is not None and not any(k in unclean for k in at.parent.kids if not isinstance(k, str) and k is not at):
@@ -347,6 +434,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    title, header = _find_title(root)
     _mark_named(root)
     _mark_link_lists(root)
     blocks = _blocks(root)
@@ -371,13 +459,17 @@ def main_text(page: str | None) -> str:
         return points * (1 - linked / max(chars, 1))
 
     best = max(totals, key=lambda x: (score(x), -order[x]))
-    best = _container(best, root)
-    kept = {best}
+    best = _container(best, root, header)
+    kept = {best, title} - {None}
     if best.parent is not None:
-        for sibling in best.parent.kids:
-            if isinstance(sibling, str) or sibling.junk or sibling not in totals and sibling.tag != "p":
+        siblings = [k for k in best.parent.kids if not isinstance(k, str)]
+        at = siblings.index(best)
+        if at and not siblings[at - 1].junk and _only_headings(siblings[at - 1]):
+            kept.add(siblings[at - 1])
+        for sibling in siblings:
+            if sibling.junk or sibling not in totals and sibling.tag != "p":
                 continue
-            if sibling in totals and score(sibling) >= SIBLING_SHARE * score(best):
+            if sibling.named == OWN_HEADER or sibling in totals and score(sibling) >= SIBLING_SHARE * score(best):
                 kept.add(sibling)
             elif sibling.tag == best.tag == "article" and sibling.linked < TEASER_LINKS * max(sibling.chars, 1):
                 kept.add(sibling)  # a further article, not a teaser that links to one

@@ -142,3 +142,45 @@ PARAGRAPH = "A sentence of the article, long enough to count, with commas, and s
 )
 def test_forms_further_articles_and_comments(page, want):
     assert H.main_text(page) == want
+
+
+LONG_ONE = (PARAGRAPH * 3).strip()
+REFERENCES = "<ul><li><a href=1>First source</a></li><li><a href=2>Second source</a></li><li><a href=3>Third source</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # titles of pages without an article element
+        ("<title>A &amp; B | Site</title><header><nav>Home</nav><h1>A &amp;  B</h1><p>slogan, yes</p></header><div><p>{p}</p></div><footer>no</footer>", "A & B\n\n{p}"),
+        ("<title>A - Site</title><div id=header><a href=/>Site</a><h1>A</h1></div><nav>no</nav><div><div><p>{p}</p></div></div>", "A\n\n{p}"),
+        ("<title>A</title><header><h1>Site</h1></header><div><p>{p}</p></div><footer>no</footer>", "{p}"),
+        ("<title>A</title><header><h1>A</h1></header><article><h1>A</h1><p>{p}</p></article>", "A\n\n{p}"),
+        ("<title>A</title><header><h1>A</h1></header><div><h1>A</h1><p>{p}</p></div>", "A\n\n{p}"),
+        ("<title>A</title><nav><h1>A</h1></nav><div><p>{p}</p></div>", "{p}"),
+        ("<nav>no</nav><div><h1>Title, alone</h1></div><div><p>{p}</p></div>", "Title, alone\n\n{p}"),
+        ("<nav>no</nav><div><h2><a href=/>Site</a></h2></div><div><p>{p}</p></div>", "{p}"),
+        ("<nav>no</nav><div class=post-header><h1>Title</h1><p>By Me</p></div><div><p>{p}</p></div>", "Title\n\nBy Me\n\n{p}"),
+        ("<nav>no</nav><div class=site-header><h1>Site</h1><p>By Me</p></div><div><p>{p}</p></div>", "{p}"),
+        # references and labels inside an article
+        ("<article><p>{p}</p><h2>Sources</h2>" + REFERENCES + "</article>", "{p}\n\nSources\n\nFirst source\n\nSecond source\n\nThird source"),
+        ("<article>" + REFERENCES + "<p>{p}</p></article>", "{p}"),
+        ("<main><p>{p}</p>" + REFERENCES + "</main>", "{p}"),
+        ("<article><p>{p}</p><p>See <label>Note</label>.</p></article>", "{p}\n\nSee Note."),
+        ("<article><p>{p}</p><label>Mail <input></label></article>", "{p}"),
+        ("<article><p>{p}</p><form><label>Mail</label></form></article>", "{p}"),
+    ],
+)
+def test_titles_references_and_labels(page, want):
+    assert H.main_text(f"<body>{page.format(p=LONG_ONE)}</body>") == want.format(p=LONG_ONE)
+
+
+@pytest.mark.parametrize("open_, close", [("<div class=story>", "</div>"), ("<td>", "</td>"), ("<section>", "</section>")])
+def test_whole_table_without_article_elements(open_, close):
+    """The pages with their article element as a plain one: the scores decide."""
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    for page in pages:
+        plain = page.replace("<article>", open_).replace("</article>", close)
+        assert H.main_text(plain) == H.main_text(page)
