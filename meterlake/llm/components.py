@@ -4,8 +4,10 @@ Alternates two star steps until nothing changes: *large* stars tie every
 larger neighbour of a node to the smallest node of its neighbourhood, *small*
 stars do so for the smaller neighbours. The minimum of a neighbourhood is a
 grouped ``min`` (partial on the map side), so a node with very many links
-costs one record per task; the join that brings it back is a plain inner join
-that AQE splits when skewed. Every round is a reliable checkpoint.
+costs one record per task. The join that brings it back is by node; hubs, the
+nodes of more than a thousandth of the links, are at most two thousand rows
+and are broadcast, so their links stay where they are. Every round is a
+reliable checkpoint.
 """
 
 from __future__ import annotations
@@ -17,20 +19,28 @@ from meterlake.llm.tables import small_files_for
 from meterlake.scratch import checkpoint_dir
 
 
-def _smallest(pairs: DataFrame) -> DataFrame:
-    """(u, v, m): each pair with the smallest of u and all its partners."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    return pairs.join(least, "u").withColumn("m", F.least("u", "m"))
+HUB_SHARE = 1000  # a hub has more than one in so many of the links
+HUB_LEAST = 256  # and more than so many
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _smallest(pairs: DataFrame, n: int) -> DataFrame:
+    """(u, v, m): each of about ``n`` pairs with the smallest of u and all its
+    partners."""
+    hub = F.col("_n") > max(HUB_LEAST, n // HUB_SHARE)
+    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+    hubs = F.broadcast(least.where(hub).drop("_n"))  # at most 2 * HUB_SHARE rows
+    rest = pairs.join(hubs, "u", "left_anti").join(least.where(~hub).drop("_n"), "u")
+    return pairs.join(hubs, "u").unionByName(rest).withColumn("m", F.least("u", "m"))
+
+
+def _large_star(links: DataFrame, n: int) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _smallest(both, n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, n: int) -> DataFrame:
     # every link goes from the larger to the smaller node
-    down = _smallest(links)
+    down = _smallest(links, n)
     ties = down.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
         down.select("u", F.col("m").alias("v"))
     )
@@ -54,7 +64,7 @@ def connected_components(links: DataFrame, a: str, b: str, files: int | None = N
     pairs = (pairs if files is None else pairs.coalesce(files)).checkpoint()
     before = _state(pairs)
     while before[0]:
-        pairs = _small_star(_large_star(pairs)).coalesce(small_files_for(before[0])).checkpoint()
+        pairs = _small_star(_large_star(pairs, before[0]), before[0]).coalesce(small_files_for(before[0])).checkpoint()
         now = _state(pairs)
         if now == before:
             break

@@ -124,3 +124,29 @@ def test_links_are_only_found_up_to_three_bits(spark):
 def test_empty(spark):
     assert S.near_groups(empty(spark)).count() == 0
     assert S.drop_near_copies(empty(spark)).count() == 0
+
+
+def test_hubs_meet_their_smallest_neighbour_without_a_shuffle(spark):
+    """Stars, a chain and pairs; one node holds most of the links."""
+    import collections
+
+    from meterlake.llm import components as C
+
+    links = [(5000, i) for i in range(1000, 2200)] + [(i, i + 1) for i in range(3000, 3040)] + [(7000 + 2 * i, 7001 + 2 * i) for i in range(50)]
+    links += [(2199, 3000), (9000, 5000), (1, 9000)]
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r.node: r.component for r in C.connected_components(df, "a", "b").collect()}
+    above = {x: x for pair in links for x in pair}
+
+    def top(x):
+        while above[x] != x:
+            x = above[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((top(a), top(b)))
+        above[b] = a
+    assert got == {x: top(x) for x in above}
+    assert collections.Counter(got.values())[1] > 1200
+    smallest = C._smallest(df.selectExpr("a AS u", "b AS v"), len(links))
+    assert "BroadcastHashJoin" in smallest._jdf.queryExecution().executedPlan().toString()
