@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 4000
-SAMPLE_LINES = 400
+SAMPLE_LINES = 100  # with SAMPLE_ROWS: at most 400,000 lines, 80 MB collected and twice 160 MB while fitting
 SPLIT_SEED = 17
 STEPS = 250
 RATE = 0.1
@@ -201,7 +201,8 @@ def fit(features: list[np.ndarray], labels: list[int], steps: int = STEPS) -> Li
     y = np.repeat(np.array(labels, dtype=np.float64), lengths)
     mean, scale = x.mean(axis=0), x.std(axis=0)
     mean[-1], scale = 0.0, np.where(scale > 1e-6, scale, 1.0)  # the last one is the constant
-    x = (x - mean) / scale
+    x -= mean
+    x /= scale
     inner = np.ones(len(y), dtype=bool)
     inner[np.cumsum(lengths) - lengths] = False
     seen = np.zeros((2, 2))

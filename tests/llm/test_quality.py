@@ -97,3 +97,38 @@ def test_without_labels_nothing_is_rejected(spark):
     ones = spark.createDataFrame([(i, 1, 0) for i in range(9)], LABELS)
     assert {r.score for r in Q.quality_scores(df, ones).collect()} == {1.0}
     assert Q.quality_scores(empty(spark), read(spark, "labels")).count() == 0
+
+
+def test_scores_of_whole_texts_equal_enumeration(spark):
+    """Marginals over all labelings, weighted by the bytes of the lines with words."""
+    from pyspark.sql import functions as F
+
+    texts = [
+        "A plain line of words.\nBUY NOW!!! $$$ {click} ||\nAnother line, quite plain.\n\nThe last one.",
+        "one line alone",
+        "\n\n",
+        "$$$ %%% ###\n$$$ %%% ###\nwords\n\n\nmore words, and more\n!!!!\nend",
+        "",
+    ]
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = Q.train(d, labels)
+    scored_ = docs(spark, texts).select("doc_id", Q.score_column(model, F.col("text")).alias("score"))
+    got = [r.score for r in scored_.orderBy("doc_id").collect()]
+    for text, score in zip(texts, got):
+        x, _, lengths = Q.line_features([text.encode()])
+        lines = text.encode().split(b"\n")
+        blank = np.array([not line.strip() for line in lines])
+        unary = np.where(blank, 0, ((x - model.mean) / model.scale) @ model.weights)
+        good = by_hand(unary, model.change, lengths)
+        weight = [0 if b else w for b, w in zip(blank, Q.line_features([text.encode()])[1])]
+        want = np.average(good, weights=weight) if sum(weight) else model.constant
+        assert np.isclose(score, want)
+    assert got[0] > got[3]
+
+
+def test_the_sample_is_bounded_in_lines(spark):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], LABELS)
+    long = docs(spark, [("a good line here.\n" if i % 2 else "BAD!! $$ BAD!!\n") * 5000 for i in range(60)])
+    model = Q.train(long, labels)
+    rows = Q.quality_scores(long, labels).collect()
+    assert model.weights is not None and all(r.predicted == r.doc_id % 2 for r in rows)
