@@ -12,12 +12,9 @@ Features are all word unigrams and bigrams (present or not) of the notice
 templates. A multinomial logistic regression (Spark ML) on this sparse
 vocabulary tells licence families apart, with ``unknown`` as one more class.
 
-Only paragraphs with a gate word are scored. Gate words are the template words
-in at most ``common`` of all the corpus's lines (counted over all of them), and
-of each template its rarest words until less than ``overlap`` of its bigrams
-are without one: a paragraph that can be confirmed therefore always has a gate
-word, however common the notices are. Not scored are paragraphs that share
-only common words with the templates; none of them can be confirmed.
+Every line and paragraph is scored, whatever its words: also one that shares
+only common words with the templates, which no template can confirm, is named
+when the classifier gives it to a family.
 
 Training rows: each notice template of a family, whole and with words missing
 at its ends, bare and inside of a corpus paragraph; and corpus paragraphs as
@@ -46,6 +43,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -143,7 +141,12 @@ def _with_words(rows: DataFrame) -> DataFrame:
 
 
 def _with_features(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
-    rows = rows.withColumn("grams", F.concat("words", bigrams(F.col("words"))))
+    # runs of words of the vocabulary: no gram over another word is in it
+    known = [w for w in vocabulary if " " not in w]
+    marked = F.array_join(F.transform("words", lambda w: F.when(w.isin(known), w).otherwise(F.lit(""))), " ")
+    runs = F.transform(F.split(marked, "  +"), lambda run: F.split(F.btrim(run), " "))
+    rows = rows.withColumn("_runs", runs)
+    rows = rows.withColumn("grams", F.flatten(F.transform("_runs", lambda run: F.concat(run, bigrams(run))))).drop("_runs")
     counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features")
     return counted.setBinary(True).transform(rows)
 
@@ -167,15 +170,15 @@ class LicenceModel:
     families: list[str]
     vocabulary: list[str]
     threshold: float
-    shares: dict[str, float]  # of the corpus's lines that hold a template word
-    common: float
+    docs: DataFrame  # the corpus trained on
     missed: float = 0.0  # share of the held-out notices missed or given to another family
     false: float = 0.0  # share of the held-out background given to a family
 
-    def gate(self, overlap: float) -> list[str]:
-        """The words one of which each paragraph with ``overlap`` of a
-        template's bigrams holds."""
-        return gate_words(self.shares, self.common, overlap)
+    @cached_property
+    def shares(self) -> dict[str, float]:
+        """Of the corpus's lines that hold a template word, counted over all of
+        them when first asked for; scoring does not need it."""
+        return _shares(self.docs, self.vocabulary)
 
 
 def _background(docs: DataFrame, known: list[list[str]], sample_docs: int, limit: int) -> DataFrame:
@@ -212,7 +215,9 @@ def _shares(docs: DataFrame, vocabulary: list[str]) -> dict[str, float]:
 
 def gate_words(shares: dict[str, float], common: float, overlap: float) -> list[str]:
     """The words of at most ``common`` of the lines and, of each template, the
-    rarest until less than ``overlap`` of its bigrams are without one."""
+    rarest until less than ``overlap`` of its bigrams are without one: a
+    paragraph that can be confirmed holds one of them. No step of the scan
+    leaves rows out by them."""
     gate = {w for w, share in shares.items() if share <= common}
     for _, notice in TEMPLATES:
         w = re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", notice.lower())
@@ -225,7 +230,7 @@ def gate_words(shares: dict[str, float], common: float, overlap: float) -> list[
 
 
 def train(
-    docs: DataFrame, sample_docs: int = SAMPLE_DOCS, background: int = BACKGROUND, floor: float = FLOOR, common: float = COMMON
+    docs: DataFrame, sample_docs: int = SAMPLE_DOCS, background: int = BACKGROUND, floor: float = FLOOR
 ) -> LicenceModel:
     """``docs``: doc_id, text."""
     spark = docs.sparkSession
@@ -234,7 +239,6 @@ def train(
     plain = _background(docs, [r["template"] for r in known.collect()], sample_docs, background)
     plain = plain.coalesce(2).checkpoint()  # a bounded sample
     vocabulary = _vocabulary(known)
-    shares = _shares(docs, vocabulary)
     # every stretch of a notice that leaves out at most a third of its words
     w = F.split("paragraph", " ")
     cut = known.select("family", w.alias("w"), F.size(w).alias("n"))
@@ -266,7 +270,7 @@ def train(
     notices = [(r["p"], r["right"]) for r in seen if not r["unknown"] and not r["blank"]]
     nothing = max(r["p"] for r in seen if r["unknown"] and r["blank"])
     threshold, missed, false = calibrate(notices, [r["p"] for r in seen if r["unknown"]], max(floor, nothing + 1e-6))
-    return LicenceModel(model, families, vocabulary, threshold, shares, common, missed, false)
+    return LicenceModel(model, families, vocabulary, threshold, docs, missed, false)
 
 
 def calibrate(notices: list[tuple[float, bool]], background: list[float], floor: float) -> tuple[float, float, float]:
@@ -291,8 +295,7 @@ def scan(docs: DataFrame, model: LicenceModel, overlap: float = OVERLAP, id_col:
     """One row per line or paragraph that the classifier gives to a family:
     doc_id, para_no, family, probability, similarity, confirmed, paragraph."""
     rows = _with_words(paragraphs(docs, id_col, text_col))
-    gate = model.gate(overlap)
-    rows = _with_features(rows.where(F.exists("words", lambda w: w.isin(gate))), model.vocabulary).drop("grams")
+    rows = _with_features(rows, model.vocabulary).drop("grams")
     scored = model.model.transform(rows).withColumn("p", vector_to_array("probability"))
     best = F.array_max(F.slice("p", 2, len(model.families)))
     scored = scored.withColumn("probability", best).where(F.col("probability") >= model.threshold)

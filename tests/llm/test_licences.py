@@ -175,3 +175,35 @@ def test_precision_and_recall_by_family(spark, model):
     for family in sorted(set(want.values()) | set(got.values())):
         named, own = {d for d, f in got.items() if f == family}, {d for d, f in want.items() if f == family}
         assert named == own, (family, [texts[d] for d in named ^ own])
+
+
+def test_every_paragraph_is_scored_also_without_a_gate_word(spark):
+    """The scan's rows are those of the classifier over all lines, also of lines
+    that hold only words that are common in the corpus."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    plain = [f"Line {i} of a plain text with the word {i * i}." for i in range(200)]
+    common = ["All rights reserved.", "Licensed under the MIT license.", "Released under the MIT License."]
+    model = L.train(docs(spark, plain + [x for x in common for _ in range(200)]))
+    cut = [" ".join(w[i:j]) for w in ([*x.rstrip(".").split()] for x in common) for i in range(len(w)) for j in range(i + 1, len(w) + 1)]
+    texts = [*cut, *plain[:20], "Nothing of it"]
+    rows = L._with_words(L.paragraphs(docs(spark, texts)))
+    scored = model.model.transform(L._with_features(rows, model.vocabulary))
+    best = F.array_max(F.slice(vector_to_array("probability"), 2, len(model.families)))
+    want = {r.doc_id: r.words for r in scored.where(best >= model.threshold).collect()}
+    assert {r.doc_id for r in L.scan(docs(spark, texts), model).collect()} == set(want)
+    gate = set(L.gate_words(model.shares, L.COMMON, L.OVERLAP))
+    assert any(gate.isdisjoint(w) for w in want.values())
+
+
+def test_features_are_the_words_and_pairs_of_the_vocabulary(spark):
+    vocabulary = ["a", "a b", "b", "b c", "c"]
+    texts = ["a b c", "a x b c", "x a", "a  b", "x", "c a b b", ""]
+    rows = L._with_features(L._with_words(docs(spark, texts).withColumnRenamed("text", "paragraph")), vocabulary)
+    got = {r.doc_id: [vocabulary[int(i)] for i in r.features.indices] for r in rows.collect()}
+    want = {}
+    for i, t in enumerate(texts):
+        w = t.split()
+        want[i] = sorted(g for g in {*w, *map(" ".join, zip(w, w[1:]))} if g in vocabulary)
+    assert got == want
