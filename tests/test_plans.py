@@ -336,3 +336,21 @@ def test_device_counts_come_from_footers_where_a_folder_is_a_device(spark, tmp_d
         some = device_counts(spark, spec, ["device_id=2", "device_id=7"])
         assert {r.device_id: r.n_rows for r in some.collect()} == {d: n for d, n in want.items() if d in (2, 7)}
         assert device_counts(spark, spec, []).count() == 0
+
+
+def test_wide_feed_files_are_packed_and_bounded(spark, tmp_dir):
+    """A delivery of the wide feeds takes far less than its text, in files of
+    a bounded number of lines, and reads back whole."""
+    import glob
+
+    from meterlake.schemas import PERIODIC_FEED
+    from meterlake.sources.csv import day_inputs, read_periodic
+
+    whole = ("d", (None, None), (None, None))
+    roles.write_full_day(spark, SF_SMALL, tmp_dir, whole)
+    path = day_inputs(tmp_dir, "d").periodic
+    files = glob.glob(os.path.join(path, "part-*"))
+    n = roles.table(spark, SF_SMALL, "lineitem").count()
+    assert files and all(f.endswith(".gz") for f in files) and len(files) >= n / roles._PACKED["maxRecordsPerFile"]
+    assert sum(map(os.path.getsize, files)) < 700 * n
+    assert read_periodic(spark, path, PERIODIC_FEED).count() == n
