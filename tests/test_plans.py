@@ -354,3 +354,20 @@ def test_wide_feed_files_are_packed_and_bounded(spark, tmp_dir):
     assert files and all(f.endswith(".gz") for f in files) and len(files) >= n / roles._PACKED["maxRecordsPerFile"]
     assert sum(map(os.path.getsize, files)) < 700 * n
     assert read_periodic(spark, path, PERIODIC_FEED).count() == n
+
+
+def test_canonical_inputs_are_deleted_once_stored(spark, monkeypatch):
+    from meterlake.plans import queries
+
+    made = []
+
+    def write(spark, sf_dir, in_dir, day):
+        made.append(in_dir.removeprefix("file:"))
+        assert not any(map(os.path.exists, made))
+        os.makedirs(made[-1])
+        return day[0]
+
+    monkeypatch.setattr(queries.roles, "write_full_day", write)
+    monkeypatch.setattr(queries, "ingest_day", lambda *args, **kwargs: None)
+    queries.q_ingest_canonical(spark, SF_SMALL)
+    assert len(made) == 2 and not any(map(os.path.exists, made))
