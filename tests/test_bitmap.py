@@ -87,6 +87,34 @@ def test_salted_merge_spreads_a_hot_key_and_null_times(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_hot_keys_are_counted_by_place_first(spark, monkeypatch):
+    """The hot keys are those of a plain count, and the keys of other places
+    are not shuffled; also where all keys share a few places."""
+    from meterlake.operators import merge
+
+    keyed = spark.range(4000).selectExpr("CASE WHEN id % 4 = 0 THEN id % 8 ELSE id END AS device_id", "id % 4 = 0 AS none")
+    want = {(r.device_id, r["count"]) for r in keyed.groupBy("device_id", "none").count().where("count > 50").collect()}
+    for places in (merge.HOT_PLACES, 3):
+        monkeypatch.setattr(merge, "HOT_PLACES", places)
+        hot = merge.hot_keys(keyed, ["device_id", "none"], 50)
+        assert {(r.device_id, r._n) for r in hot.collect()} == want and len(want) == 2
+    plan = _plan(hot)
+    assert plan.index("hashpartitioning(device_id") < plan.index("LeftSemi") < plan.index("hashpartitioning(_place")
+
+
+def test_a_load_joins_without_a_sort_while_a_task_can_hold_its_keys(spark, monkeypatch):
+    rows = roles.known_rows(spark, SF_SMALL)
+    target = rows.where("qty % 2 = 0 OR event_id % 2 = 0")
+    want = _bag(insert_missing(rows, target, roles.NARROW, "merge"))
+    n = rows.count()
+    for held, op in ((ingest.TASK_KEYS, "ShuffledHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(ingest, "TASK_KEYS", held)
+        new = ingest.new_rows(rows, target, n, n, roles.NARROW, 10)
+        anti = [line for line in _plan(new).splitlines() if "LeftAnti" in line]
+        assert anti and all(op in line for line in anti)
+        assert _bag(new) == want
+
+
 def test_a_load_over_the_key_limit_is_salted(spark, tmp_dir, monkeypatch):
     from meterlake.sources import TableSpec
 
