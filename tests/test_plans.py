@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.operators import insert_missing, known_devices, registry_ids
+from meterlake.operators import TimeBounds, insert_missing, known_devices, registry_ids
 from meterlake.plans import roles
 from meterlake.plans.ingest import ingest_day
 from meterlake.sources import TableSpec
@@ -338,6 +338,52 @@ def test_device_counts_come_from_footers_where_a_folder_is_a_device(spark, tmp_d
         assert device_counts(spark, spec, []).count() == 0
 
 
+def test_device_folders_are_listed_in_few_tasks(spark, tmp_dir):
+    """Neither a task nor a literal nor a JVM call per device folder: a load
+    into a folder per device opens the table by one short listing."""
+    from meterlake.plans import ingest
+    from meterlake.sources import table, write_rows
+
+    n, sc = 300, spark.sparkContext
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, partition_by="device")
+    rows = spark.range(n).selectExpr(
+        "id AS device_id", "timestamp_ntz'2024-01-01' AS timestamp", "id AS event_id", "1D AS qty", "1D AS price", "1D AS value", "'a' AS status"
+    )
+    write_rows(rows, spec)
+    assert sorted(table.existing_folders(spark, spec)) == sorted(f"device_id={i}" for i in range(n))
+    assert table.most_folders(spark, spec, rows.select("device_id")) is None
+    assert table.most_folders(spark, spec, rows.selectExpr("device_id + 297")) == ["device_id=297", "device_id=298", "device_id=299"]
+    assert table.most_folders(spark, spec, rows.selectExpr("device_id + 500")) == []
+    bounds = TimeBounds("2024-01-01 00:00:00", "2024-01-02 00:00:00", roles.NARROW.type_of("timestamp"))
+    for folders in (None, [f"device_id={i}" for i in range(n - 1)]):
+        sc.setJobGroup(f"listing-{folders is None}-{tmp_dir}", "listing")
+        try:
+            keys = ingest.target_keys(spark, spec, bounds, folders)
+            tracker = sc.statusTracker()
+            jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"listing-{folders is None}-{tmp_dir}")]
+            tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert tasks and max(tasks) <= table.LISTING_WAVES * sc.defaultParallelism < n - 1
+        assert keys.count() == (n if folders is None else n - 1)
+
+
+def test_two_loads_into_device_folders(spark, tmp_dir):
+    from meterlake.plans import ingest
+
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, partition_by="device")
+    rows, ids = roles.known_rows(spark, SF_SMALL), roles.supplier_ids(spark, SF_SMALL)
+    some = rows.where("device_id < 4 AND event_id IS NULL")
+    ingest.store_batch(some, ids, spec)
+    for batch in (some.where("device_id = 2"), rows):  # few of the folders, then all
+        report = ingest.store_batch(batch, ids, spec, with_row_totals=True)
+        want = {r.device_id: r["count"] for r in ingest.stored_rows(spark, spec).groupBy("device_id").count().collect()}
+        active = {r.device_id for r in batch.select("device_id").distinct().collect()}
+        assert {r.device_id: r.rows_total for r in report.collect() if r.rows_total is not None} == {d: want[d] for d in active}
+    added = rows.exceptAll(some).join(some.select("device_id", "timestamp"), ["device_id", "timestamp"], "left_anti")
+    assert ingest.stored_rows(spark, spec).exceptAll(some).where("event_id IS NULL").count() == added.where("event_id IS NULL").count()
+
+
 def test_wide_feed_files_are_packed_and_bounded(spark, tmp_dir):
     """A delivery of the wide feeds takes far less than its text, in files of
     a bounded number of lines, and reads back whole."""
