@@ -39,12 +39,14 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.token_counts import _SAFE_CUT as SAFE_CUT
 from meterlake.llm.token_counts import safe_pieces
 from meterlake.scratch import checkpoint_dir
 
 SPACE = "▁"
 GROUP_CHARS = 1 << 18  # characters of texts aligned together
-KNOWN_PIECES = 150_000  # pieces that a task remembers
+KNOWN_PIECES = 400_000  # pieces that a worker remembers
+RUN_PIECES = 256  # new pieces that are encoded as one text
 KNOWN_LENGTH = 64  # longer pieces are not remembered
 BROADCAST_PAIRS = 1 << 18
 PAIR_BITS = 32  # an id pair as one number: A's id above B's
@@ -155,6 +157,16 @@ class Tokenizers:
         return a, [x if x or p != " " else [self.space] for p, x in zip(pieces, b, strict=True)]
 
 
+_ALIGNERS: dict = {}
+
+
+def worker_aligner(path_a: str, path_b: str) -> Aligner:
+    """The worker's aligner, kept with the pieces it knows from task to task."""
+    if (path_a, path_b) not in _ALIGNERS:
+        _ALIGNERS[path_a, path_b] = Aligner(Tokenizers(path_a, path_b))
+    return _ALIGNERS[path_a, path_b]
+
+
 class Aligner:
     """Alignments of texts, with a bounded memory of pieces seen."""
 
@@ -169,7 +181,49 @@ class Aligner:
         )
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remembers the ids of A and of B of new pieces, as packed integers."""
+        """Remembers the ids of A and of B of new pieces, as packed integers.
+        Pieces are encoded put together, as in a text; those of a text that is
+        not spelled out in shorter ones, at last each on their own."""
+        # pieces that end in white space cannot be followed by another one
+        ends = [SAFE_CUT.match(p + " ", len(p)) is not None for p in pieces]
+        alone = [p for p, safe in zip(pieces, ends, strict=True) if not safe]
+        rest = [p for p, safe in zip(pieces, ends, strict=True) if safe]
+        for size in (RUN_PIECES, RUN_PIECES // 16):
+            runs = [rest[i : i + size] for i in range(0, len(rest), size)] if size > 1 else []
+            rest = [] if runs else rest
+            texts = ["".join(run) for run in runs]
+            for run, text, a, b in zip(runs, texts, *self.tokenizers.encode(texts), strict=True):
+                cut = self._cut(run, text, a, b)
+                if cut is None:
+                    rest += run
+                    continue
+                for known, packed in zip(self.known, cut, strict=True):
+                    known.update(zip(run, packed, strict=True))
+        if alone or rest:
+            self._learn_alone(alone + rest)
+
+    def _cut(self, run: list[str], text: str, *ids: list[int]) -> list[list[bytes]] | None:
+        """The packed ids of each piece of a run; None if a tokenizer does not
+        spell it out or a token goes over a piece's end."""
+        spelled = text.encode("utf-8")
+        # in bytes, also of pieces that are not ASCII
+        ends = np.cumsum([len(p) if p.isascii() else len(p.encode("utf-8")) for p in run])
+        out = []
+        for x, table, lengths in zip(ids, (self.tokenizers.bytes_a, self.tokenizers.bytes_b), (self.long_a, self.long_b), strict=True):
+            if b"".join([table[i] for i in x]) != spelled:
+                return None
+            flat = np.array(x, dtype=np.uint32)
+            long = np.cumsum(lengths[flat])
+            # after the last token that ends there: some tokens may have no bytes
+            at = np.searchsorted(long, ends, side="right")
+            if (long[at - 1] != ends).any():
+                return None
+            packed, at = flat.tobytes(), [0, *(4 * at).tolist()]
+            out.append([packed[y:z] for y, z in zip(at, at[1:], strict=False)])
+        return out
+
+    def _learn_alone(self, pieces: list[str]) -> None:
+        """The same, piece by piece."""
         spelled = [p.encode("utf-8") for p in pieces]
         sizes = np.array([len(x) for x in spelled])
         good = np.ones(len(pieces), dtype=bool)
@@ -279,7 +333,7 @@ def aligned_texts(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Tokenizers(path_a, path_b))
+        aligner = worker_aligner(path_a, path_b)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for start, end in text_blocks(texts):

@@ -101,6 +101,27 @@ def test_forgotten_pieces_change_nothing(monkeypatch):
     assert [x[:6] for x in whole] == [x[:6] for x in parts]
 
 
+def test_new_pieces_are_encoded_put_together(monkeypatch):
+    """Runs of pieces in one text, the odd ones alone; the same ids."""
+    texts = [" ".join(f"{w}{i}é{i % 13}" for i in range(400)) + tail for w, tail in (("x", ""), ("日", " tail  "), ("q", "\n"))]
+    for more, most in (([], 100), (ODD_TEXTS + MORE, 10_000)):
+        found = []
+        for size in (A.RUN_PIECES, 1):
+            monkeypatch.setattr(A, "RUN_PIECES", size)
+            aligner, seen = A.Aligner(A.Tokenizers(*map(tokenizer, PATHS))), []
+            encode = aligner.tokenizers.encode
+            aligner.tokenizers.encode = lambda pieces, seen=seen, encode=encode: seen.extend(pieces) or encode(pieces)
+            found.append([x[:6] for x in aligner.block(texts + more)])
+            assert (len(seen) <= most) if size > 1 else (len(seen) >= 1200)
+            monkeypatch.undo()
+        assert found[0] == found[1] and all(x[0] for x in found[0][:3])
+
+
+def test_a_worker_keeps_its_aligner():
+    paths = tuple(map(tokenizer, PATHS))
+    assert A.worker_aligner(*paths) is A.worker_aligner(*paths)
+
+
 def test_null_ids_repeats_and_empty_tables(spark):
     got = A.align(docs(spark, ["a b", "a b", None], ids=[None, 1, 1]), *map(tokenizer, PATHS)).collect()
     assert sorted((r.doc_id is None, r.n_a) for r in got) == [(False, 0), (False, 2), (True, 2)]
