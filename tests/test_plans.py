@@ -417,3 +417,30 @@ def test_canonical_inputs_are_deleted_once_stored(spark, monkeypatch):
     monkeypatch.setattr(queries, "ingest_day", lambda *args, **kwargs: None)
     queries.q_ingest_canonical(spark, SF_SMALL)
     assert len(made) == 2 and not any(map(os.path.exists, made))
+
+
+def test_canonical_feeds_are_packed_closer_and_read_whole(spark, tmp_dir):
+    import glob
+
+    from meterlake.plans import queries
+    from meterlake.schemas import PERIODIC_FEED
+    from meterlake.sources.csv import day_inputs, has_event_feed, read_periodic
+
+    whole = ("d", (None, None), (None, None))
+    sizes = {}
+    for name, packed in (("gzip", roles._PACKED), ("zstd", roles.ZSTD_PACKED)):
+        roles.write_full_day(spark, SF_SMALL, f"{tmp_dir}/{name}", whole, packed)
+        sizes[name] = sum(map(os.path.getsize, glob.glob(f"{day_inputs(f'{tmp_dir}/{name}', 'd').periodic}/part-*")))
+    assert sizes["zstd"] < sizes["gzip"] / 3
+    paths = day_inputs(f"{tmp_dir}/zstd", "d")
+    assert all(f.endswith(".zstd") for p in (paths.periodic, paths.events) for f in glob.glob(f"{p}/part-*"))
+    gzip = read_periodic(spark, day_inputs(f"{tmp_dir}/gzip", "d").periodic, PERIODIC_FEED)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")  # far less than a file: none is split
+    try:
+        zstd = read_periodic(spark, paths.periodic, PERIODIC_FEED)
+        assert zstd.count() == gzip.count() and zstd.exceptAll(gzip).isEmpty()
+        assert has_event_feed(spark, paths.events) and not has_event_feed(spark, paths.periodic)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    read = queries.q_canonical_feeds(spark, SF_SMALL).inputFiles()
+    assert read and all(f.endswith(".zstd") for f in read)
