@@ -444,3 +444,74 @@ def test_canonical_feeds_are_packed_closer_and_read_whole(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     read = queries.q_canonical_feeds(spark, SF_SMALL).inputFiles()
     assert read and all(f.endswith(".zstd") for f in read)
+
+
+@pytest.mark.parametrize("partition_by", ["month", "bucket", "device"])
+def test_a_large_batch_is_stored_in_slices_of_time(spark, tmp_dir, monkeypatch, partition_by):
+    """Each slice is bounded, all rows are stored once, those without a time
+    come last, and no shuffle files of a slice stay."""
+    from meterlake.plans import ingest
+
+    rows, ids = roles.odd_time_rows(spark, SF_SMALL), roles.supplier_ids(spark, SF_SMALL)
+    known = known_devices(rows, ids, roles.NARROW)
+    n = known.count()
+    monkeypatch.setattr(ingest, "WRITE_CELLS", n * len(roles.NARROW.names) // 4 + 7)
+    sizes, write = [], ingest.write_rows
+
+    def spy(part, spec_, mode="append"):
+        sizes.append((part.count(), part.where("timestamp IS NULL").count()))
+        write(part, spec_, mode)
+
+    monkeypatch.setattr(ingest, "write_rows", spy)
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, partition_by, buckets=2)
+    some = rows.where("device_id % 2 = 0")
+    ingest.store_batch(some, ids, spec)
+    first = len(sizes)
+    for limit in (10_000_000, 5):  # matches of a slice broadcast, then shuffled
+        ingest.store_batch(rows, ids, spec, max_broadcast_keys=limit)
+    assert first == 2 and len(sizes) == first + 2 * 4
+    assert all(size <= n * 0.3 for size, _ in sizes)
+    assert [bool(timeless) for _, timeless in sizes] == [False, True] + [False, False, False, True] * 2
+    stored, timed = ingest.stored_rows(spark, spec), "timestamp IS NOT NULL"
+    for one, other in ((stored, known), (known, stored)):
+        assert one.where(timed).exceptAll(other.where(timed)).isEmpty()
+    nulls = known.where("timestamp IS NULL")
+    assert stored.where("timestamp IS NULL").count() == 2 * nulls.count() + nulls.where("device_id % 2 = 0").count()
+
+
+def test_shuffle_files_of_a_load_are_deleted_with_its_write(spark, tmp_dir):
+    """And those that stay are of the narrow key and report shuffles."""
+    from meterlake.plans import ingest
+
+    def shuffled():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        tops = list(manager.localDirsString())
+        return sum(os.path.getsize(os.path.join(d, f)) for top in tops for d, _, fs in os.walk(top) for f in fs if f.startswith("shuffle_"))
+
+    rows, ids = roles.combined_rows(spark, SF_SMALL), roles.supplier_ids(spark, SF_SMALL)
+    size, write, seen = shuffled(), ingest.write_rows, []
+    spec = TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW)
+    ingest.write_rows = lambda *a, **b: (seen.append(shuffled()), write(*a, **b), seen.append(shuffled()))
+    try:
+        ingest.store_batch(rows, ids, spec)
+    finally:
+        ingest.write_rows = write
+    assert len(seen) == 2 and seen[1] <= seen[0]
+
+
+def test_inputs_may_go_once_they_are_staged(spark, tmp_dir):
+    from meterlake.plans import ingest
+    from meterlake.scratch import delete_path
+
+    in_dir, spec = os.path.join(tmp_dir, "in"), TableSpec(os.path.join(tmp_dir, "t"), roles.NARROW, "month")
+    kept = []
+
+    def gone():
+        kept.append(os.path.exists(spec.path))
+        delete_path(spark, in_dir)
+
+    date = roles.write_day(spark, SF_SMALL, in_dir)
+    want = known_devices(ingest.load_day(spark, date, in_dir, spec, roles.NARROW_FEEDS)[1], roles.supplier_ids(spark, SF_SMALL), roles.NARROW).count()
+    report = ingest.ingest_day(spark, date, in_dir, spec, roles.NARROW_FEEDS, when_staged=gone)
+    assert kept == [False] and not os.path.exists(in_dir)
+    assert want and ingest.stored_rows(spark, spec).count() == want == report.agg(F.sum("rows_stored")).first()[0]
