@@ -515,3 +515,19 @@ def test_inputs_may_go_once_they_are_staged(spark, tmp_dir):
     report = ingest.ingest_day(spark, date, in_dir, spec, roles.NARROW_FEEDS, when_staged=gone)
     assert kept == [False] and not os.path.exists(in_dir)
     assert want and ingest.stored_rows(spark, spec).count() == want == report.agg(F.sum("rows_stored")).first()[0]
+
+
+def test_device_files_have_no_checksum_files(spark, tmp_dir):
+    """A file per device is one file to create, also on a local file system."""
+    from meterlake.sources import read_table, write_rows
+
+    known = roles.known_rows(spark, SF_SMALL)
+    for grain in ("device", "month"):
+        spec = TableSpec(os.path.join(tmp_dir, grain), roles.NARROW, grain)
+        for _ in range(2):
+            write_rows(known, spec)
+        names = [f for _, _, fs in os.walk(spec.path) for f in fs]
+        assert any(f.endswith(".parquet") for f in names)
+        assert any(f.endswith(".crc") for f in names) == (grain == "month")
+        assert read_table(spark, spec).exceptAll(known.unionByName(known)).isEmpty()
+        assert read_table(spark, spec).count() == 2 * known.count()
